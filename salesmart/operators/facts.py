@@ -102,12 +102,12 @@ def lookup_keys(fresh: DataFrame, dims: dict[str, DataFrame], unknown: str = "-1
     )
 
 
-def split_by_calendar(fresh: DataFrame, dim_date: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows whose day the calendar has, and rows whose day is missing or outside it."""
-    span = dim_date.agg(F.min("date_sk").alias("lo"), F.max("date_sk").alias("hi"))
-    low, high = span.select("lo").scalar(), span.select("hi").scalar()
+def with_calendar(fresh: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """Mark the rows whose day the calendar has; a missing day is not in it."""
+    low = dim_date.agg(F.min("date_sk")).scalar()
+    high = dim_date.agg(F.max("date_sk")).scalar()
     inside = F.coalesce(F.col("date_sk").between(low, high), F.lit(False))
-    return fresh.filter(inside), fresh.filter(~inside)
+    return fresh.withColumn("in_calendar", inside)
 
 
 def full_fact_rows(

@@ -68,6 +68,11 @@ def without_balance(fresh: DataFrame, balances: DataFrame) -> DataFrame:
     return fresh.join(balances.select(*LINE), LINE, "left_anti")
 
 
+def first_entries(fresh: DataFrame) -> DataFrame:
+    """Every fresh line as a first sale."""
+    return fresh.withColumn("tx_type", F.lit(TX_ORIGINAL)).select(*_ENTRY)
+
+
 def upsert_entries(fresh: DataFrame, balances: DataFrame) -> DataFrame:
     """Reversals of what is booked, and the new state of every fresh line.
 

@@ -46,34 +46,51 @@ def _carry(df: DataFrame, sums: dict[str, F.Column], descending: bool) -> DataFr
     )
 
 
-def dense_ids(df: DataFrame, key: str, id_column: str, start: int = 1) -> DataFrame:
-    """Number the rows `start`, `start` + 1, ... in ascending order of a unique numeric key."""
-    ranged = _with_range(df, key)
-    offsets = _carry(ranged, {"__before": F.count(F.lit(1))}, descending=False)
-    return _number(ranged, offsets, [F.col(key)], id_column, start)
-
+def dense_ids(
+    df: DataFrame, key: str, id_column: str, start: int = 1, rows: int | None = None
+) -> DataFrame:
+    """Number the rows `start`, `start` + 1, ... in ascending order of a unique numeric key.
 
-def scattered_ids(df: DataFrame, keys: list[str], id_column: str, start: int = 1) -> DataFrame:
-    """Dense ids in an arbitrary but repeatable order: ranges of a hash, even under any skew."""
-    spread = F.xxhash64(*keys)
-    ranged = df.withColumn("__hash", spread).withColumn(
-        _RANGE, F.pmod(F.col("__hash"), F.lit(_ranges(df)))
-    )
-    offsets = _carry(ranged, {"__before": F.count(F.lit(1))}, descending=False)
-    order = [F.col("__hash"), *[F.col(k) for k in keys]]
-    return _number(ranged, offsets, order, id_column, start).drop("__hash")
+    `rows` is the number of rows, if the caller knows it.
+    """
+    if (df.count() if rows is None else rows) <= ONE_TASK_ROWS:
+        place = F.row_number().over(Window.orderBy(key))
+        return df.withColumn(id_column, (place.cast("long") + (start - 1)).cast("long"))
+    return _dense_ids_by_range(df, key, id_column, start)
 
 
-def _number(
-    ranged: DataFrame, offsets: DataFrame, order: list, id_column: str, start: int
-) -> DataFrame:
+def _dense_ids_by_range(df: DataFrame, key: str, id_column: str, start: int) -> DataFrame:
+    ranged = _with_range(df, key)
+    before = _carry(ranged, {"__before": F.count(F.lit(1))}, descending=False)
     # At most MAX_RANGES rows (plus one for nulls): a broadcast of proven size.
-    joined = ranged.join(F.broadcast(offsets), _RANGE)
-    place = F.row_number().over(Window.partitionBy(_RANGE).orderBy(*order))
+    joined = ranged.join(F.broadcast(before), _RANGE)
+    place = F.row_number().over(Window.partitionBy(_RANGE).orderBy(key))
     numbered = (place.cast("long") + F.col("__before") + (start - 1)).cast("long")
     return joined.withColumn(id_column, numbered).drop(_RANGE, "__before")
 
 
+def stored_order_ids(stored: DataFrame, id_column: str, start: int = 1) -> tuple[DataFrame, int]:
+    """Number the rows of Parquet files `start`, `start` + 1, ... as they lie in the files, and
+    say how many there are.
+
+    Only the row counts of the files meet in one place; the rows are neither shuffled nor sorted.
+    """
+    located = stored.select(
+        "*",
+        F.col("_metadata.file_path").alias("__file"),
+        F.col("_metadata.row_index").alias("__row"),
+    )
+    per_file = located.groupBy("__file").agg(F.count(F.lit(1)).alias("__rows"))
+    total = per_file.agg(F.coalesce(F.sum("__rows"), F.lit(0))).first()[0]
+    earlier = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
+    before = per_file.select(
+        "__file", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__before")
+    )
+    numbered = (F.col("__before") + F.col("__row") + start).cast("long")
+    rows = located.join(before, "__file").withColumn(id_column, numbered)
+    return rows.drop("__file", "__row", "__before"), total
+
+
 def running_total(
     df: DataFrame, value: str, totals: dict[str, F.Column], descending: bool = True
 ) -> DataFrame:

@@ -30,29 +30,34 @@ def next_versions(dim_rows: DataFrame, delta: DataFrame, key: str) -> DataFrame:
     return delta.join(highest, key, "left").withColumn("version", version).drop("__top")
 
 
+def really_changed(current: DataFrame, delta: DataFrame, dim: str) -> DataFrame:
+    """Members of `delta` that are new or differ from their current row in an attribute."""
+    sk, key = DIM_KEYS[dim]
+    attrs = [name for name, _ in DIM_ATTRS[dim]]
+    return (
+        delta.alias("n")
+        .join(current.alias("o"), F.col(f"n.{key}") == F.col(f"o.{key}"), "left")
+        .filter(F.col(f"o.{sk}").isNull() | ~same_values("n", "o", attrs))
+        .select("n.*")
+    )
+
+
 def scd2_apply(
     current: DataFrame,
     delta: DataFrame,
     dim: str,
     batch_ts: datetime,
     first_sk: int,
-    only_if_changed: bool = False,
+    rows: int | None = None,
 ) -> Scd2Change:
     """Expire the current row of every member in `delta` and put its new version in place.
 
-    Any member in `delta` gets a new version, even when no attribute differs, unless
-    `only_if_changed`.
+    Any member in `delta` gets a new version, even when no attribute differs; `really_changed`
+    leaves those out. New versions get surrogate keys from `first_sk` on, by natural key.
     """
     sk, key = DIM_KEYS[dim]
     attrs = [name for name, _ in DIM_ATTRS[dim]]
-    if only_if_changed:
-        delta = (
-            delta.alias("n")
-            .join(current.alias("o"), F.col(f"n.{key}") == F.col(f"o.{key}"), "left")
-            .filter(F.col(f"o.{sk}").isNull() | ~same_values("n", "o", attrs))
-            .select("n.*")
-        )
-    fresh = dense_ids(delta, key, sk, first_sk)
+    fresh = dense_ids(delta, key, sk, first_sk, rows)
     now = F.lit(batch_ts).cast("timestamp")
     hit = F.col(f"n.{sk}").isNotNull()
     both = current.alias("o").join(
@@ -82,10 +87,12 @@ def scd2_apply(
     return Scd2Change(conform(merged, DIMS[dim]), conform(expired, DIMS[dim]))
 
 
-def first_versions(members: DataFrame, dim: str, batch_ts: datetime, first_sk: int = 1) -> DataFrame:
+def first_versions(
+    members: DataFrame, dim: str, batch_ts: datetime, first_sk: int = 1, rows: int | None = None
+) -> DataFrame:
     """Every member as version 1, for a load into an emptied dimension."""
     sk, key = DIM_KEYS[dim]
-    loaded = dense_ids(members, key, sk, first_sk).withColumns(
+    loaded = dense_ids(members, key, sk, first_sk, rows).withColumns(
         {
             "version": F.lit(1),
             "valid_from": F.lit(batch_ts).cast("timestamp"),

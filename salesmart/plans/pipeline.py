@@ -6,13 +6,12 @@ from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from salesmart.operators import dimensions, facts, ledger
-from salesmart.operators.ordering import scattered_ids
-from salesmart.operators.scd2 import first_versions, scd2_apply
-from salesmart.schema import DIM_KEYS, DIM_SOURCE, FACT, TX_ORIGINAL
-from salesmart.session import stage
+from salesmart.operators.ordering import stored_order_ids
+from salesmart.operators.scd2 import first_versions, really_changed, scd2_apply
+from salesmart.schema import DIM_KEYS, DIM_SOURCE
+from salesmart.session import in_parallel, stage
 from salesmart.sources.tables import Sources, max_versions
 from salesmart.store import Batch, Snapshot, Store
 
@@ -59,58 +58,46 @@ def run_incremental(
     if stream_epoch is not None and last.stream_epoch == stream_epoch:
         return LoadResult(None)  # a replay of the epoch that was committed last
     batch = last.following(batch_ts or utc_now(), "incremental")
+    store.drop_attempt(batch.batch_id)
     # Six rows.
     highs = {r.source_table: r.max_row_version for r in max_versions(sources).collect()}
 
-    current = {}
-    for dim in DIM_KEYS:
-        current[dim], batch = _load_dim(sources, store, before, batch, dim, highs, options)
+    loads = in_parallel(
+        lambda dim: _load_dim(sources, store, before, batch, dim, highs, options), DIM_KEYS
+    )
+    for load in loads:
+        batch = load.recorded(batch, highs)
+    current = {load.dim: load.current for load in loads}
 
-    positions = before.positions()
-    fresh = None
     marks = facts.Marks(
         last.marks["orders"], last.marks["order_details"], highs["orders"], highs["order_details"]
     )
     changed = marks.orders_high > marks.orders_low or marks.details_high > marks.details_low
-    touched = facts.affected_orders(sources, marks) if changed else None
-    pending = before.quarantine()
-    if changed and pending is not None:
-        touched = touched.union(pending.select("order_id")).distinct()
-    if options.touch_on_delete:
-        # The re-booking below covers the lines that are left; the deletions follow in phase 2.
-        gone = ledger.deleted_balances(positions, sources.order_details).select("order_id")
-        touched = gone.distinct() if touched is None else touched.union(gone).distinct()
+    touched = _touched_orders(sources, before, marks, changed, options)
+    positions = before.positions()
     if touched is not None:
-        fresh, batch = _load_lines(
-            sources, store, before.dim_date(), batch, touched, current, positions
-        )
-        if changed:
-            batch = _mark(batch, "orders", max(highs["orders"], marks.orders_low))
-            batch = _mark(
-                batch, "order_details", max(highs["order_details"], marks.details_low)
-            )
+        booked, batch = _load_lines(sources, store, before, batch, touched, current)
+        if booked is not None:
+            positions = positions.unionByName(ledger.as_positions(booked))
+    if changed:
+        batch = _mark(batch, "orders", max(highs["orders"], marks.orders_low))
+        batch = _mark(batch, "order_details", max(highs["order_details"], marks.details_low))
 
-    booked = positions if fresh is None else positions.unionByName(ledger.as_positions(fresh))
     deleted = stage(
-        ledger.deletion_entries(booked, sources.order_details), f"{store.root}/stage/deleted"
-    )
-    gone_rows = store.append_fact(
-        batch.batch_id, 2, _with_ids(deleted, batch.next_fact_id)
-    )
-    count = gone_rows.count()
-    batch = replace(
-        batch, fact_rows=batch.fact_rows + count, next_fact_id=batch.next_fact_id + count
+        ledger.deletion_entries(positions, sources.order_details), f"{store.root}/stage/deleted"
     )
+    reversed_rows, batch = _append(store, batch, 2, deleted)
+    if reversed_rows is not None:
+        positions = positions.unionByName(ledger.as_positions(reversed_rows))
     if not (batch.fact_rows or batch.dims_written or changed):
         return LoadResult(None)
-    if fresh is None:
-        store.append_fact(batch.batch_id, 1, gone_rows.limit(0))  # over a failed attempt's rows
     if batch.batch_id - last.positions_asof >= options.roll_up_every:
-        everything = booked.unionByName(ledger.as_positions(gone_rows))
-        store.write_positions(batch.batch_id, ledger.rolled_up(everything))
+        store.write_positions(batch.batch_id, ledger.rolled_up(positions))
         batch = replace(batch, positions_asof=batch.batch_id)
     store.commit(replace(batch, stream_epoch=stream_epoch))
-    return LoadResult(batch.batch_id, batch.fact_rows, batch.dims_written, bool(batch.quarantine_batch))
+    return LoadResult(
+        batch.batch_id, batch.fact_rows, batch.dims_written, bool(batch.quarantine_batch)
+    )
 
 
 def _mark(batch: Batch, source: str, version: int) -> Batch:
@@ -121,6 +108,25 @@ def _mark(batch: Batch, source: str, version: int) -> Batch:
     )
 
 
+@dataclass(frozen=True)
+class _DimLoad:
+    dim: str
+    current: DataFrame
+    new_rows: int | None = None  # None: the source had not changed
+    expired: bool = False
+
+    def recorded(self, batch: Batch, highs: dict[str, int]) -> Batch:
+        if self.new_rows is None:
+            return batch
+        source = DIM_SOURCE[self.dim]
+        return replace(
+            _mark(batch, source, highs[source]),
+            dims_written=(*batch.dims_written, self.dim),
+            dims_expired=(*batch.dims_expired, *([self.dim] if self.expired else [])),
+            next_sk={**batch.next_sk, self.dim: batch.next_sk[self.dim] + self.new_rows},
+        )
+
+
 def _load_dim(
     sources: Sources,
     store: Store,
@@ -129,69 +135,89 @@ def _load_dim(
     dim: str,
     highs: dict[str, int],
     options: LoadOptions,
-) -> tuple[DataFrame, Batch]:
+) -> _DimLoad:
     source = DIM_SOURCE[dim]
     low, high = before.last.marks[source], highs[source]
-    first_sk = before.last.next_sk[dim]
     current = before.current_dim(dim)
     if high <= low:
-        return current, batch
-    changed = dimensions.changed_since(sources[source], low, high)
-    delta = stage(dimensions.MEMBERS[dim](sources, changed), f"{store.root}/stage/{dim}")
-    change = scd2_apply(
-        current, delta, dim, batch.batch_ts, first_sk, options.only_if_changed
-    )
-    store.write_dim(dim, batch.batch_id, change.current, change.expired)
-    path = f"{store.root}/{dim}/current/snapshot={batch.batch_id}"
-    written = store.spark.read.schema(current.schema).parquet(path)
-    batch = replace(
-        _mark(batch, source, high),
-        dims_written=(*batch.dims_written, dim),
-        next_sk={**batch.next_sk, dim: _next_sk(written, dim, first_sk)},
+        return _DimLoad(dim, current)
+    delta = dimensions.MEMBERS[dim](
+        sources, dimensions.changed_since(sources[source], low, high)
     )
-    return written, batch
-
-
-def _next_sk(current: DataFrame, dim: str, at_least: int) -> int:
-    top = current.agg(F.max(DIM_KEYS[dim][0])).first()[0]
-    return max(at_least, (top or 0) + 1)
+    if options.only_if_changed:
+        delta = really_changed(current, delta, dim)
+    delta = stage(delta, f"{store.root}/stage/{dim}")
+    rows = delta.count()
+    first_sk = before.last.next_sk[dim]
+    change = scd2_apply(current, delta, dim, batch.batch_ts, first_sk, rows)
+    loaded_before = first_sk > 1  # else there are no members whose rows could expire
+    expired = change.expired if loaded_before else None
+    written = store.write_dim(dim, batch.batch_id, change.current, expired)
+    return _DimLoad(dim, written, rows, loaded_before)
+
+
+def _touched_orders(
+    sources: Sources, before: Snapshot, marks: facts.Marks, changed: bool, options: LoadOptions
+) -> DataFrame | None:
+    """Orders whose lines are to be booked anew; None when there are none for sure."""
+    touched = []
+    if changed:
+        touched.append(facts.affected_orders(sources, marks))
+        quarantine = before.quarantine()
+        if quarantine is not None:
+            touched.append(quarantine.select("order_id"))
+    if options.touch_on_delete:
+        gone = ledger.deleted_balances(before.positions(), sources.order_details)
+        touched.append(gone.select("order_id"))
+    if not touched:
+        return None
+    union = touched[0]
+    for more in touched[1:]:
+        union = union.union(more).distinct()
+    return union
 
 
 def _load_lines(
     sources: Sources,
     store: Store,
-    dim_date: DataFrame,
+    before: Snapshot,
     batch: Batch,
     touched: DataFrame,
     current: dict[str, DataFrame],
-    positions: DataFrame,
-) -> tuple[DataFrame, Batch]:
+) -> tuple[DataFrame | None, Batch]:
     """Phase 1: reverse and re-book the lines of the touched orders."""
     order_ids = stage(touched, f"{store.root}/stage/touched")
     lines = facts.lines_of(sources, order_ids)
     orders = sources.orders.join(order_ids, "order_id", "left_semi")
-    drawn = facts.fresh_lines(lines, orders)
-    dated, undated = facts.split_by_calendar(drawn, dim_date)
-    fresh = stage(facts.lookup_keys(dated, current), f"{store.root}/stage/fresh")
-    quarantine = stage(undated, f"{store.root}/quarantine/batch_id={batch.batch_id}")
-    balances = stage(
-        ledger.open_balances(positions, fresh), f"{store.root}/stage/balances"
-    )
-    entries = ledger.upsert_entries(fresh, balances)
-    booked = store.append_fact(batch.batch_id, 1, _with_ids(entries, batch.next_fact_id))
-    count = booked.count()
-    batch = replace(
-        batch,
-        fact_rows=count,
-        next_fact_id=batch.next_fact_id + count,
-        quarantine_batch=0 if quarantine.isEmpty() else batch.batch_id,
+    keyed = facts.lookup_keys(facts.fresh_lines(lines, orders), current)
+    drawn = stage(facts.with_calendar(keyed, before.dim_date()), f"{store.root}/stage/fresh")
+    fresh = drawn.filter("in_calendar").drop("in_calendar")
+    undated = drawn.filter("NOT in_calendar").drop("in_calendar")
+    if undated.isEmpty():
+        batch = replace(batch, quarantine_batch=0)
+    else:
+        stage(undated, f"{store.root}/quarantine/batch_id={batch.batch_id}")
+        batch = replace(batch, quarantine_batch=batch.batch_id)
+    entries = ledger.first_entries(fresh)
+    if before.last.next_fact_id > 1:  # else the ledger is empty
+        balances = ledger.open_balances(before.positions(), fresh)
+        balances = stage(balances, f"{store.root}/stage/balances")
+        entries = ledger.upsert_entries(fresh, balances)
+    entries = stage(entries, f"{store.root}/stage/entries")
+    return _append(store, batch, 1, entries)
+
+
+def _append(
+    store: Store, batch: Batch, phase: int, entries: DataFrame
+) -> tuple[DataFrame | None, Batch]:
+    """Number staged entries and add them to the ledger, if there are any."""
+    numbered, count = stored_order_ids(entries, "fact_id", batch.next_fact_id)
+    if not count:
+        return None, batch
+    rows = store.append_fact(batch.batch_id, phase, numbered)
+    return rows, replace(
+        batch, fact_rows=batch.fact_rows + count, next_fact_id=batch.next_fact_id + count
     )
-    return booked, batch
-
-
-def _with_ids(entries: DataFrame, start: int) -> DataFrame:
-    keys = ["order_id", "product_id", "product_sk", "tx_type", "date_sk", "unit_price"]
-    return scattered_ids(entries, keys, "fact_id", start).select(*FACT.fieldNames())
 
 
 # --- full refresh -------------------------------------------------------------------------
@@ -202,17 +228,13 @@ class _Log:
 
     def __init__(self, store: Store):
         self._store, self._entries = store, []
-        self._begin = self._step_begin = utc_now()
+        self._begin = utc_now()
         self._add(STEP_START, None, STATUS_START, "load started", None)
 
     def _add(self, step, rows, status, message, seconds):
         self._entries.append((utc_now(), step, rows, status, message, seconds))
 
-    def begin(self):
-        self._step_begin = utc_now()
-
-    def done(self, step: str, rows: int):
-        seconds = seconds_between(self._step_begin, utc_now())
+    def done(self, step: str, rows: int, seconds: int):
         self._add(step, rows, STATUS_OK, f"{step}: {rows} rows loaded", seconds)
 
     def end(self):
@@ -254,34 +276,32 @@ def run_full_refresh(
         highs = {r.source_table: r.max_row_version for r in max_versions(sources).collect()}
         for source, high in highs.items():
             batch = _mark(batch, source, high)
-        dims = {}
-        for dim, source in DIM_SOURCE.items():
-            log.begin()
-            members = stage(
-                dimensions.MEMBERS[dim](sources, sources[source]), f"{store.root}/stage/{dim}"
-            )
-            rows = first_versions(members, dim, batch.batch_ts, batch.next_sk[dim])
-            store.write_dim(dim, batch.batch_id, rows, None)
-            path = f"{store.root}/{dim}/current/snapshot={batch.batch_id}"
-            dims[dim] = spark.read.schema(rows.schema).parquet(path)
-            count = dims[dim].count()
-            batch = replace(
-                batch,
-                dims_written=(*batch.dims_written, dim),
-                next_sk={**batch.next_sk, dim: batch.next_sk[dim] + count},
-            )
-            log.done(dim, count)
-        log.begin()
+        store.drop_attempt(batch.batch_id)
+        loads = in_parallel(
+            lambda dim: _reload_dim(sources, store, batch, dim), DIM_SOURCE
+        )
+        for load, seconds in loads:
+            batch = load.recorded(batch, highs)
+            log.done(load.dim, load.new_rows, seconds)
+        begin = utc_now()
+        dims = {load.dim: load.current for load, _ in loads}
         keyed = facts.full_fact_rows(sources, dims, before.dim_date(), ratio_mode)
-        rows = stage(keyed.withColumn("tx_type", F.lit(TX_ORIGINAL)), f"{store.root}/stage/fresh")
-        booked = store.append_fact(batch.batch_id, 1, _with_ids(rows, batch.next_fact_id))
-        store.append_fact(batch.batch_id, 2, booked.limit(0))  # over a failed attempt's rows
-        count = booked.count()
-        batch = replace(batch, fact_rows=count, next_fact_id=batch.next_fact_id + count)
-        log.done("fact_sales", count)
+        entries = stage(ledger.first_entries(keyed), f"{store.root}/stage/entries")
+        _, batch = _append(store, batch, 1, entries)
+        log.done("fact_sales", batch.fact_rows, seconds_between(begin, utc_now()))
         store.commit(batch)
         log.end()
-        return LoadResult(batch.batch_id, count, batch.dims_written)
+        return LoadResult(batch.batch_id, batch.fact_rows, batch.dims_written)
     except Exception as error:
         log.failed(error)
         raise
+
+
+def _reload_dim(sources: Sources, store: Store, batch: Batch, dim: str) -> tuple[_DimLoad, int]:
+    begin = utc_now()
+    members = dimensions.MEMBERS[dim](sources, sources[DIM_SOURCE[dim]])
+    members = stage(members, f"{store.root}/stage/{dim}")
+    count = members.count()
+    rows = first_versions(members, dim, batch.batch_ts, batch.next_sk[dim], count)
+    written = store.write_dim(dim, batch.batch_id, rows)
+    return _DimLoad(dim, written, count), seconds_between(begin, utc_now())

@@ -5,6 +5,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,14 +54,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder on any file system Spark can reach; nothing happens if it is not there."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def _drop_path(spark: SparkSession, path: str) -> None:
     try:
-        hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-        hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+        remove_path(spark, path)
     except Exception:  # the session has ended already; the folder is the cluster's to expire
         pass
 
 
+def in_parallel(work: Callable, items: Iterable) -> list:
+    """Run independent Spark jobs side by side and return their results in order."""
+    items = list(items)
+    with ThreadPoolExecutor(max_workers=max(1, len(items))) as pool:
+        return list(pool.map(work, items))
+
+
 def stage(df: DataFrame, path: str) -> DataFrame:
     """Write `df` once and read it back: cuts the lineage and survives lost executors."""
     df.write.mode("overwrite").parquet(path)

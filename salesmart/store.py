@@ -35,7 +35,7 @@ from salesmart.schema import (
     TRACKED,
     conform,
 )
-from salesmart.session import stage
+from salesmart.session import in_parallel, remove_path, stage
 
 _MANIFEST = T.StructType(
     [
@@ -45,6 +45,7 @@ _MANIFEST = T.StructType(
         T.StructField("marks", T.MapType(T.StringType(), T.LongType())),
         T.StructField("marked_at", T.MapType(T.StringType(), T.TimestampType())),
         T.StructField("dims_written", T.ArrayType(T.StringType())),
+        T.StructField("dims_expired", T.ArrayType(T.StringType())),
         T.StructField("next_sk", T.MapType(T.StringType(), T.LongType())),
         T.StructField("fact_rows", T.LongType()),
         T.StructField("next_fact_id", T.LongType()),
@@ -73,7 +74,8 @@ class Batch:
     kind: str
     marks: dict[str, int]
     marked_at: dict[str, datetime]
-    dims_written: tuple[str, ...] = ()
+    dims_written: tuple[str, ...] = ()  # dimensions with a new current snapshot
+    dims_expired: tuple[str, ...] = ()  # dimensions with newly expired rows
     next_sk: dict[str, int] = field(default_factory=lambda: {d: 1 for d in DIM_KEYS})
     fact_rows: int = 0
     next_fact_id: int = 1
@@ -89,6 +91,7 @@ class Batch:
             batch_ts=batch_ts,
             kind=kind,
             dims_written=(),
+            dims_expired=(),
             fact_rows=0,
             stream_epoch=None,
         )
@@ -122,28 +125,29 @@ class Snapshot:
         rows = [(t, marks.get(t, 0), times.get(t)) for t in TRACKED]
         return self._spark.createDataFrame(rows, LOAD_CONTROL)
 
-    def _written(self, dim: str) -> list[int]:
-        base = self.last.base_batch
-        return [b.batch_id for b in self._batches if b.batch_id >= base and dim in b.dims_written]
+    def _since_refresh(self) -> list[Batch]:
+        return [b for b in self._batches if b.batch_id >= self.last.base_batch]
 
     def current_dim(self, dim: str) -> DataFrame:
-        path = f"{self._root}/{dim}/current/snapshot={self._written(dim)[-1]}"
+        written = [b.batch_id for b in self._since_refresh() if dim in b.dims_written]
+        path = f"{self._root}/{dim}/current/snapshot={written[-1]}"
         return self._spark.read.schema(DIMS[dim]).parquet(path)
 
     def dim(self, dim: str) -> DataFrame:
         """All versions of all members."""
-        paths = [f"{self._root}/{dim}/history/batch_id={b}" for b in self._written(dim)]
-        history = self._spark.read.schema(DIMS[dim]).parquet(*paths)
-        return self.current_dim(dim).unionByName(history)
+        current = self.current_dim(dim)
+        expired = [b.batch_id for b in self._since_refresh() if dim in b.dims_expired]
+        if not expired:
+            return current
+        paths = [f"{self._root}/{dim}/history/batch_id={b}" for b in expired]
+        return current.unionByName(self._spark.read.schema(DIMS[dim]).parquet(*paths))
 
     def dim_date(self) -> DataFrame:
         return self._spark.read.schema(DIM_DATE).parquet(f"{self._root}/dim_date")
 
     def fact(self) -> DataFrame:
         """Ledger rows of the committed batches, with the number of the batch that added each."""
-        adding = [
-            b.batch_id for b in self._batches if b.batch_id >= self.last.base_batch and b.fact_rows
-        ]
+        adding = [b.batch_id for b in self._since_refresh() if b.fact_rows]
         if not adding:
             return self._spark.createDataFrame([], _STORED_FACT)
         stored = self._spark.read.schema(_STORED_FACT).parquet(f"{self._root}/fact_sales")
@@ -203,8 +207,7 @@ class Store:
         if dim_date is None:
             dim_date = build_calendar(spark, DEFAULT_START, DEFAULT_END)
         dim_date.write.mode("overwrite").parquet(f"{store.root}/dim_date")
-        for dim in DIMS:
-            store.write_dim(dim, 0, unknown_member(spark, dim, batch_ts), None)
+        in_parallel(lambda dim: store.write_dim(dim, 0, unknown_member(spark, dim, batch_ts)), DIMS)
         store.commit(
             Batch(
                 batch_id=0,
@@ -226,7 +229,13 @@ class Store:
                 return []
             raise
         found = [
-            Batch(**{**r.asDict(), "dims_written": tuple(r.dims_written)})
+            Batch(
+                **{
+                    **r.asDict(),
+                    "dims_written": tuple(r.dims_written),
+                    "dims_expired": tuple(r.dims_expired),
+                }
+            )
             for r in sorted(rows, key=lambda r: r.batch_id)
         ]
         return [b for b in found if as_of is None or b.batch_id <= as_of]
@@ -247,15 +256,18 @@ class Store:
 
     # --- writing ------------------------------------------------------------------------
 
-    def write_dim(self, dim: str, batch_id: int, current: DataFrame, expired: DataFrame | None):
-        conform(current, DIMS[dim]).write.mode("overwrite").parquet(
-            f"{self.root}/{dim}/current/snapshot={batch_id}"
-        )
-        if expired is None:
-            expired = self.spark.createDataFrame([], DIMS[dim])
-        conform(expired, DIMS[dim]).write.mode("overwrite").parquet(
-            f"{self.root}/{dim}/history/batch_id={batch_id}"
-        )
+    def write_dim(
+        self, dim: str, batch_id: int, current: DataFrame, expired: DataFrame | None = None
+    ) -> DataFrame:
+        if expired is not None:
+            path = f"{self.root}/{dim}/history/batch_id={batch_id}"
+            conform(expired, DIMS[dim]).write.mode("overwrite").parquet(path)
+        path = f"{self.root}/{dim}/current/snapshot={batch_id}"
+        return stage(conform(current, DIMS[dim]), path)
+
+    def drop_attempt(self, batch_id: int) -> None:
+        """Remove ledger rows that a failed attempt at a batch left behind."""
+        remove_path(self.spark, f"{self.root}/fact_sales/batch_id={batch_id}")
 
     def append_fact(self, batch_id: int, phase: int, rows: DataFrame) -> DataFrame:
         path = f"{self.root}/fact_sales/batch_id={batch_id}/phase={phase}"
