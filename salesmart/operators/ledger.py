@@ -86,8 +86,13 @@ def upsert_entries(fresh: DataFrame, balances: DataFrame) -> DataFrame:
 
 
 def deleted_balances(positions: DataFrame, source_lines: DataFrame) -> DataFrame:
-    """Open balances whose line is gone from the source."""
-    return open_balances(positions).join(source_lines.select(*LINE), LINE, "left_anti")
+    """Open balances whose line is gone from the source.
+
+    Rows are distributed by line once, which serves both the netting and the anti join. A line
+    has few rows, so no part gets much more than the others.
+    """
+    balances = open_balances(positions.repartition(*LINE))
+    return balances.join(source_lines.select(*LINE), LINE, "left_anti")
 
 
 def deletion_entries(positions: DataFrame, source_lines: DataFrame) -> DataFrame:

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 MAX_RANGES = 256
 # Up to here one task sorts the rows faster than several jobs can agree on ranges.
 ONE_TASK_ROWS = 200_000
+# A path and a number per file: some ten megabytes.
+BROADCAST_FILES = 50_000
 
 _RANGE = "__range"
 
@@ -81,11 +83,15 @@ def stored_order_ids(stored: DataFrame, id_column: str, start: int = 1) -> tuple
         F.col("_metadata.row_index").alias("__row"),
     )
     per_file = located.groupBy("__file").agg(F.count(F.lit(1)).alias("__rows"))
-    total = per_file.agg(F.coalesce(F.sum("__rows"), F.lit(0))).first()[0]
+    total, files = per_file.agg(
+        F.coalesce(F.sum("__rows"), F.lit(0)), F.count(F.lit(1))
+    ).first()
     earlier = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
     before = per_file.select(
         "__file", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__before")
     )
+    if files <= BROADCAST_FILES:
+        before = F.broadcast(before)
     numbered = (F.col("__before") + F.col("__row") + start).cast("long")
     rows = located.join(before, "__file").withColumn(id_column, numbered)
     return rows.drop("__file", "__row", "__before"), total

@@ -219,14 +219,24 @@ def _dims() -> dict[str, str]:
     return tables
 
 
+def _date_key(d: str) -> str:
+    return f"cast(year({d}) * 10000 + month({d}) * 100 + day({d}) as integer)"
+
+
 def _calendar() -> str:
     months, weekdays = _list(MONTH_NAMES), _list(WEEKDAY_NAMES)
+    parts = {
+        "year": "year(d)",
+        "quarter": "quarter(d)",
+        "month": "month(d)",
+        "day": "day(d)",
+        "weekday": "dayofweek(d) + 1",
+        "week": "(dayofyear(d) + dayofweek(date_trunc('year', d)) - 1) // 7 + 1",
+    }
+    numbers = ", ".join(f"cast({text} as integer) as {name}" for name, text in parts.items())
     return f"""
-        select year(d) * 10000 + month(d) * 100 + day(d) as date_sk, cast(d as date) as date,
-          year(d) as year, quarter(d) as quarter, month(d) as month,
-          {months}[month(d)] as month_name, day(d) as day, dayofweek(d) + 1 as weekday,
-          {weekdays}[dayofweek(d) + 1] as weekday_name,
-          (dayofyear(d) + dayofweek(date_trunc('year', d)) - 1) // 7 + 1 as week
+        select {_date_key("d")} as date_sk, cast(d as date) as date, {numbers},
+          {months}[month(d)] as month_name, {weekdays}[dayofweek(d) + 1] as weekday_name
         from (select unnest(generate_series(
             make_date(year(min(o_orderdate)), 1, 1), make_date(year(max(o_orderdate)), 12, 31),
             interval 1 day)) as d from orders)"""
@@ -253,7 +263,7 @@ def _drawn(lines: str, orders: str, affected: str | None, mode: str = "float") -
         with l as (select *, {_LINE_AMOUNT} as sale_amount from {lines} {only}),
           s as (select order_id, sum(sale_amount) as subtotal from l group by 1)
         select l.order_id, l.product_id, o.customer_id, o.employee_id, o.ship_via as shipper_id,
-          year(o.order_date) * 10000 + month(o.order_date) * 100 + day(o.order_date) as date_sk,
+          {_date_key("o.order_date")} as date_sk,
           l.unit_price, l.quantity, l.discount, l.sale_amount,
           cast({_ratio(mode)} as decimal(19,4)) as freight_alloc
         from l join {orders} o on o.order_id = l.order_id join s on s.order_id = l.order_id"""
@@ -461,9 +471,8 @@ def _queries() -> dict[str, str]:
             join full_d_product p on p.product_sk = f.product_sk group by category_name""",
         **{name: _rollup(*path) for name, path in HIERARCHIES.items()},
         "dim_date": "select * from cal",
-        "date_key_style112": """
-            select order_id,
-              year(order_date) * 10000 + month(order_date) * 100 + day(order_date) as date_sk,
+        "date_key_style112": f"""
+            select order_id, {_date_key("order_date")} as date_sk,
               cast(strftime(order_date, '%Y%m%d') as integer) as date_sk_style112
             from src_orders""",
         "max_row_versions": _marks("max_row_version"),

@@ -12,10 +12,9 @@ from salesmart.store import Star
 _SUMS = ("sales", "units", "freight", "discounts", "lines")
 
 
-def _per_order(fact: DataFrame, sk: str | None) -> DataFrame:
-    """Additive measures per (surrogate key, order): the grain every measure can be taken from."""
-    keys = ["order_id"] if sk is None else [sk, "order_id"]
-    return fact.groupBy(*keys).agg(
+def _per_order(rows: DataFrame, *keys: str) -> DataFrame:
+    """Additive measures per order within the keys: the grain every measure can be taken from."""
+    return rows.groupBy(*keys, "order_id").agg(
         F.sum("sale_amount").alias("sales"),
         F.sum("quantity").alias("units"),
         F.sum("freight_alloc").alias("freight"),
@@ -24,6 +23,11 @@ def _per_order(fact: DataFrame, sk: str | None) -> DataFrame:
     )
 
 
+def _joined(star: Star, dim: str, columns: tuple[str, ...]) -> DataFrame:
+    sk = f"{dim}_sk"
+    return star.fact.join(star.dim(dim).select(sk, *columns), sk)
+
+
 def _measures(grouped, *extra: F.Column) -> DataFrame:
     sums = [F.sum(name).alias(name) for name in _SUMS]
     return grouped.agg(*extra, F.countDistinct("order_id").alias("orders"), *sums)
@@ -42,22 +46,20 @@ def _finish(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def kpi_global(star: Star) -> DataFrame:
-    return _finish(_measures(_per_order(star.fact, None)))
+    return _finish(_measures(_per_order(star.fact)))
 
 
 def kpi_by(star: Star, dim: str, *columns: str) -> DataFrame:
     """The measures per combination of attributes of one dimension."""
-    sk = f"{dim}_sk"
-    joined = _per_order(star.fact, sk).join(star.dim(dim).select(sk, *columns), sk)
-    return _finish(_measures(joined.groupBy(*columns)), *columns)
+    rows = _per_order(_joined(star, dim, columns), *columns)
+    return _finish(_measures(rows.groupBy(*columns)), *columns)
 
 
 def rollup(star: Star, dim: str, *path: str) -> DataFrame:
     """The measures at every level of a drill-down path; `level` is the grouping id, 0 the
-    finest and the highest value the grand total."""
-    sk = f"{dim}_sk"
-    joined = _per_order(star.fact, sk).join(star.dim(dim).select(sk, *path), sk)
-    rolled = _measures(joined.rollup(*path), F.grouping_id().cast("long").alias("level"))
+    finest and the highest value the grand total. Levels are spread over order rows, not lines."""
+    rows = _per_order(_joined(star, dim, path), *path)
+    rolled = _measures(rows.rollup(*path), F.grouping_id().cast("long").alias("level"))
     return _finish(rolled, *path, "level").orderBy(F.desc("level"), *path)
 
 

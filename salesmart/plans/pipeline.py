@@ -186,10 +186,9 @@ def _load_lines(
     current: dict[str, DataFrame],
 ) -> tuple[DataFrame | None, Batch]:
     """Phase 1: reverse and re-book the lines of the touched orders."""
-    order_ids = stage(touched, f"{store.root}/stage/touched")
-    lines = facts.lines_of(sources, order_ids)
-    orders = sources.orders.join(order_ids, "order_id", "left_semi")
-    keyed = facts.lookup_keys(facts.fresh_lines(lines, orders), current)
+    # Staged, because the lines are read twice: for the subtotals and by themselves.
+    lines = stage(facts.lines_of(sources, touched), f"{store.root}/stage/lines")
+    keyed = facts.lookup_keys(facts.fresh_lines(lines, sources.orders), current)
     drawn = stage(facts.with_calendar(keyed, before.dim_date()), f"{store.root}/stage/fresh")
     fresh = drawn.filter("in_calendar").drop("in_calendar")
     undated = drawn.filter("NOT in_calendar").drop("in_calendar")

@@ -1,8 +1,9 @@
 """The thirteen sales reports over the star.
 
-Additive measures are first summed per surrogate key, which needs no dimension and shrinks the
-fact map-side; attributes are joined to the sums. Reports that count distinct orders keep the
-order number in that first step.
+Reports by product or customer with additive measures only first sum per surrogate key, which
+shrinks the fact map-side, and join attributes to the sums: these dimensions can be too large to
+broadcast. The others join first. Joins carry no hints: Catalyst broadcasts what is small by its
+statistics, and splits skewed partitions of the rest.
 """
 
 from __future__ import annotations
@@ -54,11 +55,10 @@ def _resum(*names: str) -> list[F.Column]:
 
 
 def sales_by_quarter(star: Star) -> DataFrame:
-    per_order = _summed(star.fact, ["date_sk", "order_id"], _units(), _sales(), _freight())
-    joined = per_order.join(star.date.select("date_sk", "year", "quarter"), "date_sk")
+    joined = star.fact.join(star.date.select("date_sk", "year", "quarter"), "date_sk")
     return (
         joined.groupBy("year", "quarter")
-        .agg(_orders(), *_resum("units", "sales", "freight"))
+        .agg(_orders(), _units(), _sales(), _freight())
         .orderBy("year", "quarter")
     )
 
@@ -84,7 +84,7 @@ def top_products(star: Star, n: int = 10) -> DataFrame:
 def category_share(star: Star) -> DataFrame:
     joined = star.fact.join(star.product.select("product_sk", "category_name"), "product_sk")
     sums = joined.groupBy("category_name").agg(_orders(), _units(), _sales())
-    shared = _with_total(sums, "sales", _fits_one_task(star.product))
+    shared = _with_total(sums, "sales", _fits_one_task(star, "dim_product"))
     return (
         shared.withColumn("pct", pct2(F.col("sales"), F.col("total_sales")))
         .drop("total_sales")
@@ -96,7 +96,7 @@ def employee_rank(star: Star) -> DataFrame:
     attrs = ["full_name", "title", "supervisor_name"]
     joined = star.fact.join(star.employee.select("employee_sk", *attrs), "employee_sk")
     sums = joined.groupBy(*attrs).agg(_orders(), _sales())
-    if _fits_one_task(star.employee):
+    if _fits_one_task(star, "dim_employee"):
         by_sales = Window.orderBy(F.desc("sales"))
         ranked = sums.withColumn("ranking", F.rank().over(by_sales).cast("int"))
     else:
@@ -106,42 +106,41 @@ def employee_rank(star: Star) -> DataFrame:
 
 def country_sales(star: Star, ignore_case: bool = False) -> DataFrame:
     """`ignore_case` groups countries that differ in case or trailing blanks only."""
-    per_order = _summed(star.fact, ["customer_sk", "order_id"], _sales())
-    joined = per_order.join(star.customer.select("customer_sk", "country"), "customer_sk")
+    joined = star.fact.join(star.customer.select("customer_sk", "country"), "customer_sk")
+    # One row per customer and order is left to the two distinct counts.
+    per_order = _summed(joined, ["country", "customer_sk", "order_id"], _sales())
     measures = [
         F.countDistinct("customer_sk").alias("customers"),
         _orders(),
         *_resum("sales"),
     ]
     if ignore_case:
-        folded = joined.withColumn("__folded", fold(F.col("country")))
+        folded = per_order.withColumn("__folded", fold(F.col("country")))
         sums = folded.groupBy("__folded").agg(F.min("country").alias("country"), *measures)
         sums = sums.drop("__folded")
     else:
-        sums = joined.groupBy("country").agg(*measures)
+        sums = per_order.groupBy("country").agg(*measures)
     return sums.withColumn("ticket", money_div(F.col("sales"), F.col("orders"))).orderBy(
         F.desc("sales"), "country"
     )
 
 
 def shipper_freight(star: Star) -> DataFrame:
-    per_order = _summed(star.fact, ["shipper_sk", "order_id"], _freight())
     names = star.shipper.select("shipper_sk", F.col("company_name").alias("shipper"))
     return (
-        per_order.join(names, "shipper_sk")
+        star.fact.join(names, "shipper_sk")
         .groupBy("shipper")
-        .agg(F.countDistinct("order_id").alias("shipments"), *_resum("freight"))
+        .agg(F.countDistinct("order_id").alias("shipments"), _freight())
         .withColumn("freight_per_order", money_div(F.col("freight"), F.col("shipments")))
         .orderBy(F.desc("freight"), "shipper")
     )
 
 
 def monthly_variation(star: Star) -> DataFrame:
-    per_day = _summed(star.fact, ["date_sk"], _sales())
     months = (
-        per_day.join(star.date.select("date_sk", "year", "month", "month_name"), "date_sk")
+        star.fact.join(star.date.select("date_sk", "year", "month", "month_name"), "date_sk")
         .groupBy("year", "month", "month_name")
-        .agg(*_resum("sales"))
+        .agg(_sales())
     )
     # One row per calendar month reaches this window.
     previous = F.lag("sales").over(Window.orderBy("year", "month"))
@@ -230,7 +229,7 @@ def pareto_scalable(star: Star) -> DataFrame:
 
 def pareto_abc(star: Star) -> DataFrame:
     """Products by sales with their cumulative share; equal sales share one cumulative share."""
-    if not _fits_one_task(star.product):
+    if not _fits_one_task(star, "dim_product"):
         return pareto_scalable(star)
     sums = _with_total(product_sales(star), "sales", one_task=True)
     by_sales = Window.orderBy(F.desc("sales"))  # the default frame takes ties together
@@ -250,11 +249,10 @@ def supplier_performance(star: Star) -> DataFrame:
 
 
 def weekday_sales(star: Star) -> DataFrame:
-    per_order = _summed(star.fact, ["date_sk", "order_id"], _sales())
     return (
-        per_order.join(star.date.select("date_sk", "weekday", "weekday_name"), "date_sk")
+        star.fact.join(star.date.select("date_sk", "weekday", "weekday_name"), "date_sk")
         .groupBy("weekday", "weekday_name")
-        .agg(_orders(), *_resum("sales"))
+        .agg(_orders(), _sales())
         .withColumn("ticket", money_div(F.col("sales"), F.col("orders")))
         .orderBy("weekday")
     )
@@ -289,9 +287,9 @@ def _with_total(sums: DataFrame, column: str, one_task: bool) -> DataFrame:
     return sums.withColumn(f"total_{column}", sums.agg(total.cast(MONEY_SUM)).scalar())
 
 
-def _fits_one_task(dim: DataFrame) -> bool:
-    """Whether a sort of at most one row per dimension row is small. Reads Parquet footers only."""
-    return dim.count() <= ONE_TASK_ROWS
+def _fits_one_task(star: Star, dim: str) -> bool:
+    """Whether one task may sort as many rows as the dimension has at most."""
+    return star.members_at_most[dim] <= ONE_TASK_ROWS
 
 
 REPORTS = {

@@ -140,13 +140,13 @@ def _incremental_noop(w: Workspace) -> DataFrame:
 
 
 def _reconcile_deletes(w: Workspace) -> DataFrame:
-    fact = w.incremental.at(2).fact()
+    fact = w.ledger_star.fact
     undeleted = ledger.as_positions(fact.filter(F.col("tx_type") != TX_DELETION))
     return ledger.deletion_entries(undeleted, w.states.state(2).order_details)
 
 
 def _net_positions(w: Workspace) -> DataFrame:
-    sums = ledger.net_positions(w.incremental.at(2).fact())
+    sums = ledger.net_positions(w.ledger_star.fact)
     return sums.select(
         "order_id",
         "product_id",
@@ -161,7 +161,7 @@ def _control_after_batch(w: Workspace) -> DataFrame:
 
 
 def _full_fact(w: Workspace) -> DataFrame:
-    return w.full.at().fact().select(*LEDGER)
+    return w.full_star.fact.select(*LEDGER)
 
 
 def _full_fact_money_ratio(w: Workspace) -> DataFrame:
@@ -179,13 +179,13 @@ def _date_keys(w: Workspace) -> DataFrame:
 
 
 def _check_fk(w: Workspace) -> DataFrame:
-    star = w.incremental.at(2).star()
+    star = w.ledger_star
     dims = {dim: (star.dim(dim), sk) for dim, (sk, _) in DIM_KEYS.items()}
     return quality.check_fk(star.fact, {**dims, "dim_date": (star.date, "date_sk")})
 
 
 def _check_keys(w: Workspace) -> DataFrame:
-    star = w.incremental.at(2).star()
+    star = w.ledger_star
     known = {
         dim: (star.dim(dim).filter(F.col(sk) != UNKNOWN_SK), sk)
         for dim, (sk, _) in DIM_KEYS.items()
@@ -201,23 +201,23 @@ def _on_workspace(build: Callable[[Workspace], DataFrame]) -> Query:
 
 def all_queries() -> dict[str, Query]:
     on_full = {
-        name: (lambda w, report=report: report(w.full.at().star()))
+        name: (lambda w, report=report: report(w.full_star))
         for name, report in reports.REPORTS.items()
     }
     on_ledger = {
-        f"{name}_ledger": (lambda w, report=report: report(w.incremental.at(2).star()))
+        f"{name}_ledger": (lambda w, report=report: report(w.ledger_star))
         for name, report in reports.REPORTS.items()
     }
     rollups = {
-        name: (lambda w, path=path: kpis.rollup(w.full.at().star(), *path))
+        name: (lambda w, path=path: kpis.rollup(w.full_star, *path))
         for name, path in kpis.HIERARCHIES.items()
     }
     builders: dict[str, Callable[[Workspace], DataFrame]] = {
         **on_full,
         **on_ledger,
-        "pareto_scalable": lambda w: reports.pareto_scalable(w.full.at().star()),
-        "kpi_global": lambda w: kpis.kpi_global(w.full.at().star()),
-        "kpi_by_category": lambda w: kpis.kpi_by(w.full.at().star(), "product", "category_name"),
+        "pareto_scalable": lambda w: reports.pareto_scalable(w.full_star),
+        "kpi_global": lambda w: kpis.kpi_global(w.full_star),
+        "kpi_by_category": lambda w: kpis.kpi_by(w.full_star, "product", "category_name"),
         **rollups,
         "dim_date": lambda w: calendar_for(w.base.orders),
         "date_key_style112": _date_keys,
@@ -245,10 +245,10 @@ def all_queries() -> dict[str, Query]:
         "full_fact_money_ratio": _full_fact_money_ratio,
         "full_refresh_log": lambda w: w.full.log_history(),
         "check_row_counts": lambda w: quality.check_row_counts(
-            w.base.order_details, w.full.at().fact()
+            w.base.order_details, w.full_star.fact
         ),
-        "check_freight": lambda w: quality.check_freight(w.full.at().fact(), w.base.orders),
-        "check_calendar": lambda w: quality.check_calendar(w.full.at().dim_date()),
+        "check_freight": lambda w: quality.check_freight(w.full_star.fact, w.base.orders),
+        "check_calendar": lambda w: quality.check_calendar(w.full_star.date),
         "check_fk": _check_fk,
         "check_keys": _check_keys,
         "stream_equals_batch": stream_and_batch_ledgers,

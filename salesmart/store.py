@@ -107,6 +107,7 @@ class Star:
     employee: DataFrame
     shipper: DataFrame
     date: DataFrame
+    members_at_most: dict[str, int]  # per dimension: a bound on its rows, known without a job
 
     def dim(self, name: str) -> DataFrame:
         return getattr(self, name.removeprefix("dim_"))
@@ -178,6 +179,7 @@ class Snapshot:
             employee=self.dim("dim_employee"),
             shipper=self.dim("dim_shipper"),
             date=self.dim_date(),
+            members_at_most=dict(self.last.next_sk),
         )
 
     def register_views(self) -> None:

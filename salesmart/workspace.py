@@ -13,7 +13,7 @@ from salesmart.session import scratch_path
 from salesmart.sources.changes import ChangeRules, SourceStates
 from salesmart.sources.retail import read_retail
 from salesmart.sources.tables import Sources
-from salesmart.store import Store
+from salesmart.store import Star, Store
 
 _FIRST_DAY = datetime(2026, 1, 1, tzinfo=timezone.utc)
 
@@ -55,6 +55,15 @@ class Workspace:
             run_incremental(self.spark, self.states.state(number), store, batch_time(number))
         return store
 
+    @cached_property
+    def full_star(self) -> Star:
+        return self.full.at().star()
+
+    @cached_property
+    def ledger_star(self) -> Star:
+        """The star after batch 2, with reversals in its ledger."""
+        return self.incremental.at(2).star()
+
 
 _OPEN: dict[tuple[str, str], Workspace] = {}
 
