@@ -44,30 +44,30 @@ def order_subtotals(lines: DataFrame) -> DataFrame:
     return lines.groupBy("order_id").agg(F.sum("sale_amount").alias("subtotal"))
 
 
-def fresh_lines(lines: DataFrame, orders: DataFrame, ratio_mode: str = "float") -> DataFrame:
-    """Lines with what their order says and their share of its freight.
+def order_heads(lines: DataFrame, orders: DataFrame, ratio_mode: str = "float") -> DataFrame:
+    """What the order says about each of its lines, with the subtotal of the order.
 
-    Subtotals are joined back rather than computed in a window over the order, so one order with
-    very many lines is summed map-side and its join can be split.
+    Subtotals are joined rather than computed in a window over the order, so one order with very
+    many lines is summed map-side and its join can be split.
     """
     key = date_key_style112 if ratio_mode == "float" else date_key
-    heads = orders.select(
+    return orders.select(
         "order_id",
         "customer_id",
         "employee_id",
         F.col("ship_via").alias("shipper_id"),
-        F.to_date("order_date").alias("order_day"),
+        key(F.to_date("order_date")).alias("date_sk"),
         "freight",
     ).join(order_subtotals(lines), "order_id")
+
+
+def _allocated(lines: DataFrame, heads: DataFrame, ratio_mode: str, *columns: str) -> DataFrame:
     share = allocate(F.col("freight"), F.col("sale_amount"), F.col("subtotal"), ratio_mode)
     return lines.join(heads, "order_id").select(
         "order_id",
         "product_id",
-        "customer_id",
-        "employee_id",
-        "shipper_id",
-        "order_day",
-        key(F.col("order_day")).alias("date_sk"),
+        *columns,
+        "date_sk",
         "unit_price",
         "quantity",
         "discount",
@@ -76,30 +76,50 @@ def fresh_lines(lines: DataFrame, orders: DataFrame, ratio_mode: str = "float")
     )
 
 
-def lookup_keys(fresh: DataFrame, dims: dict[str, DataFrame], unknown: str = "-1") -> DataFrame:
-    """Replace natural keys by the surrogate keys of the current versions.
+def fresh_lines(lines: DataFrame, orders: DataFrame, ratio_mode: str = "float") -> DataFrame:
+    """Lines with what their order says and their share of its freight."""
+    heads = order_heads(lines, orders, ratio_mode)
+    return _allocated(lines, heads, ratio_mode, "customer_id", "employee_id", "shipper_id")
+
+
+def lookup(rows: DataFrame, dims: dict[str, DataFrame], names: list[str], unknown: str):
+    """Add the surrogate keys of the current versions.
 
     `-1`: a member that is not there becomes the unknown member. `drop`: the row is dropped.
     """
     if unknown not in ("-1", "drop"):
         raise ValueError(f"unknown must be '-1' or 'drop', not {unknown!r}")
-    rows = fresh
-    for dim, (sk, key) in DIM_KEYS.items():
+    for dim in names:
+        sk, key = DIM_KEYS[dim]
         current = dims[dim].filter("is_current").select(key, sk)
         rows = rows.join(current, key, "inner" if unknown == "drop" else "left")
         if unknown == "-1":
             rows = rows.withColumn(sk, F.coalesce(F.col(sk), F.lit(UNKNOWN_SK).cast("long")))
-    return rows.select(
-        *[sk for sk, _ in DIM_KEYS.values()],
-        "date_sk",
-        "order_id",
-        "product_id",
-        "unit_price",
-        "quantity",
-        "discount",
-        "sale_amount",
-        "freight_alloc",
-    )
+    return rows
+
+
+def keyed_lines(
+    lines: DataFrame,
+    orders: DataFrame,
+    dims: dict[str, DataFrame],
+    unknown: str = "-1",
+    ratio_mode: str = "float",
+    dim_date: DataFrame | None = None,
+) -> DataFrame:
+    """Fresh lines with surrogate in place of natural keys.
+
+    All keys but the product's belong to the order: they are looked up per order, before the
+    lines are joined, so that lines move for their order and their product only. With `dim_date`
+    lines of a day that it does not have are dropped.
+    """
+    heads = order_heads(lines, orders, ratio_mode)
+    per_order = [dim for dim in DIM_KEYS if dim != "dim_product"]
+    heads = lookup(heads, dims, per_order, unknown)
+    if dim_date is not None:
+        heads = heads.join(dim_date.select("date_sk"), "date_sk")
+    keys = [DIM_KEYS[dim][0] for dim in per_order]
+    rows = lookup(_allocated(lines, heads, ratio_mode, *keys), dims, ["dim_product"], unknown)
+    return rows.select("product_sk", *[c for c in rows.columns if c != "product_sk"])
 
 
 def with_calendar(fresh: DataFrame, dim_date: DataFrame) -> DataFrame:
@@ -111,9 +131,8 @@ def with_calendar(fresh: DataFrame, dim_date: DataFrame) -> DataFrame:
 
 
 def full_fact_rows(
-    sources: Sources, dims: dict[str, DataFrame], dim_date: DataFrame, ratio_mode: str = "money"
+    sources: Sources, dims: dict[str, DataFrame], dim_date: DataFrame, ratio_mode: str = "float"
 ) -> DataFrame:
     """Every source line with all five lookups; a line that misses one is left out."""
-    fresh = fresh_lines(lines_of(sources, None), sources.orders, ratio_mode)
-    keyed = lookup_keys(fresh, dims, unknown="drop")
-    return keyed.join(dim_date.select("date_sk"), "date_sk")
+    lines = lines_of(sources, None)
+    return keyed_lines(lines, sources.orders, dims, "drop", ratio_mode, dim_date)

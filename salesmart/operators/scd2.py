@@ -59,32 +59,24 @@ def scd2_apply(
     attrs = [name for name, _ in DIM_ATTRS[dim]]
     fresh = dense_ids(delta, key, sk, first_sk, rows)
     now = F.lit(batch_ts).cast("timestamp")
-    hit = F.col(f"n.{sk}").isNotNull()
-    both = current.alias("o").join(
-        fresh.alias("n"), F.col(f"o.{key}") == F.col(f"n.{key}"), "full_outer"
-    )
-
-    def pick(column: str) -> F.Column:
-        new, old = F.col(f"n.{column}"), F.col(f"o.{column}")
-        return F.when(hit, new).otherwise(old).alias(column)
-
-    merged = both.select(
-        pick(sk),
-        pick(key),
-        *[pick(a) for a in attrs],
-        F.when(hit, F.coalesce(F.col("o.version"), F.lit(0)) + 1)
-        .otherwise(F.col("o.version"))
-        .cast("int")
-        .alias("version"),
-        F.when(hit, now).otherwise(F.col("o.valid_from")).alias("valid_from"),
+    replaced = current.join(delta.select(key), key, "left_semi")
+    expired = replaced.withColumns({"valid_to": now, "is_current": F.lit(False)})
+    top = replaced.select(key, F.col("version").alias("__top"))
+    successors = fresh.join(top, key, "left").select(
+        sk,
+        key,
+        *attrs,
+        (F.coalesce(F.col("__top"), F.lit(0)) + 1).cast("int").alias("version"),
+        now.alias("valid_from"),
         F.lit(None).cast("timestamp").alias("valid_to"),
         F.lit(True).alias("is_current"),
-        pick("source_version"),
+        "source_version",
     )
-    expired = current.join(delta.select(key), key, "left_semi").withColumns(
-        {"valid_to": now, "is_current": F.lit(False)}
+    # Two filters of the current rows by a usually small delta: they need no shuffle then.
+    kept = current.join(delta.select(key), key, "left_anti").select(*successors.columns)
+    return Scd2Change(
+        conform(kept.unionByName(successors), DIMS[dim]), conform(expired, DIMS[dim])
     )
-    return Scd2Change(conform(merged, DIMS[dim]), conform(expired, DIMS[dim]))
 
 
 def first_versions(

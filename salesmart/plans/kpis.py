@@ -23,6 +23,25 @@ def _per_order(rows: DataFrame, *keys: str) -> DataFrame:
     )
 
 
+def _per_line(rows: DataFrame, *keys: str) -> DataFrame:
+    """The same columns with one row per fact row."""
+    return rows.select(
+        *keys,
+        "order_id",
+        F.col("sale_amount").alias("sales"),
+        F.col("quantity").alias("units"),
+        F.col("freight_alloc").alias("freight"),
+        F.col("discount").alias("discounts"),
+        F.lit(1).cast("long").alias("lines"),
+    )
+
+
+def _grain(star: Star, dim: str, columns: tuple[str, ...]) -> DataFrame:
+    """Rows to spread over groups: per order, unless the dimension is as fine as the lines."""
+    rows = _joined(star, dim, columns)
+    return _per_line(rows, *columns) if dim == "product" else _per_order(rows, *columns)
+
+
 def _joined(star: Star, dim: str, columns: tuple[str, ...]) -> DataFrame:
     sk = f"{dim}_sk"
     return star.fact.join(star.dim(dim).select(sk, *columns), sk)
@@ -51,14 +70,14 @@ def kpi_global(star: Star) -> DataFrame:
 
 def kpi_by(star: Star, dim: str, *columns: str) -> DataFrame:
     """The measures per combination of attributes of one dimension."""
-    rows = _per_order(_joined(star, dim, columns), *columns)
+    rows = _grain(star, dim, columns)
     return _finish(_measures(rows.groupBy(*columns)), *columns)
 
 
 def rollup(star: Star, dim: str, *path: str) -> DataFrame:
     """The measures at every level of a drill-down path; `level` is the grouping id, 0 the
-    finest and the highest value the grand total. Levels are spread over order rows, not lines."""
-    rows = _per_order(_joined(star, dim, path), *path)
+    finest and the highest value the grand total."""
+    rows = _grain(star, dim, path)
     rolled = _measures(rows.rollup(*path), F.grouping_id().cast("long").alias("level"))
     return _finish(rolled, *path, "level").orderBy(F.desc("level"), *path)
 

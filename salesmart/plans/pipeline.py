@@ -60,7 +60,8 @@ def run_incremental(
     batch = last.following(batch_ts or utc_now(), "incremental")
     store.drop_attempt(batch.batch_id)
     # Six rows.
-    highs = {r.source_table: r.max_row_version for r in max_versions(sources).collect()}
+    found = max_versions(sources, last.marks).collect()
+    highs = {r.source_table: r.max_row_version for r in found}
 
     loads = in_parallel(
         lambda dim: _load_dim(sources, store, before, batch, dim, highs, options), DIM_KEYS
@@ -80,8 +81,8 @@ def run_incremental(
         if booked is not None:
             positions = positions.unionByName(ledger.as_positions(booked))
     if changed:
-        batch = _mark(batch, "orders", max(highs["orders"], marks.orders_low))
-        batch = _mark(batch, "order_details", max(highs["order_details"], marks.details_low))
+        batch = _mark(batch, "orders", highs["orders"])
+        batch = _mark(batch, "order_details", highs["order_details"])
 
     deleted = stage(
         ledger.deletion_entries(positions, sources.order_details), f"{store.root}/stage/deleted"
@@ -186,9 +187,11 @@ def _load_lines(
     current: dict[str, DataFrame],
 ) -> tuple[DataFrame | None, Batch]:
     """Phase 1: reverse and re-book the lines of the touched orders."""
-    # Staged, because the lines are read twice: for the subtotals and by themselves.
-    lines = stage(facts.lines_of(sources, touched), f"{store.root}/stage/lines")
-    keyed = facts.lookup_keys(facts.fresh_lines(lines, sources.orders), current)
+    # Staged order numbers have a known size: few of them are broadcast to the scan of the lines.
+    # Lines are staged because they are read twice, for the subtotals and by themselves.
+    order_ids = stage(touched, f"{store.root}/stage/touched")
+    lines = stage(facts.lines_of(sources, order_ids), f"{store.root}/stage/lines")
+    keyed = facts.keyed_lines(lines, sources.orders, current)
     drawn = stage(facts.with_calendar(keyed, before.dim_date()), f"{store.root}/stage/fresh")
     fresh = drawn.filter("in_calendar").drop("in_calendar")
     undated = drawn.filter("NOT in_calendar").drop("in_calendar")

@@ -98,7 +98,7 @@ def _fresh(w: Workspace) -> DataFrame:
 
 
 def _fresh_lines(w: Workspace) -> DataFrame:
-    return _fresh(w).drop("order_day")
+    return _fresh(w)
 
 
 def _freight_proration(w: Workspace) -> DataFrame:
@@ -111,7 +111,8 @@ def _current_dims(at: Snapshot) -> dict[str, DataFrame]:
 
 
 def _fact_sk_lookup(w: Workspace) -> DataFrame:
-    return facts.lookup_keys(_fresh(w), _current_dims(w.incremental.at(2)))
+    dims = _current_dims(w.incremental.at(2))
+    return facts.keyed_lines(_affected_lines(w), w.states.state(2).orders, dims)
 
 
 def _existing_balances(w: Workspace) -> DataFrame:

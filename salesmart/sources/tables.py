@@ -73,15 +73,22 @@ def read_jdbc(
     return Sources(**tables)
 
 
-def max_versions(sources: Sources) -> DataFrame:
-    """One row per tracked table: its highest row version, 0 when it is empty."""
-    frames = [
-        sources[name].agg(
-            F.lit(name).alias("source_table"),
-            F.coalesce(F.max("row_version"), F.lit(0).cast("long")).alias("max_row_version"),
+def max_versions(sources: Sources, above: dict[str, int] | None = None) -> DataFrame:
+    """One row per tracked table: its highest row version, 0 when it is empty.
+
+    With `above`, only rows above a table's mark are looked at, so that Parquet skips row groups
+    without any; a table with none keeps its mark.
+    """
+    frames = []
+    for name in TRACKED:
+        mark = (above or {}).get(name, 0)
+        rows = sources[name]
+        if above is not None:
+            rows = rows.filter(F.col("row_version") > F.lit(mark))
+        highest = F.coalesce(F.max("row_version"), F.lit(mark).cast("long"))
+        frames.append(
+            rows.agg(F.lit(name).alias("source_table"), highest.alias("max_row_version"))
         )
-        for name in TRACKED
-    ]
     union = frames[0]
     for frame in frames[1:]:
         union = union.unionByName(frame)
