@@ -125,8 +125,12 @@ def _new_lines(w: Workspace) -> DataFrame:
     return ledger.without_balance(fresh, balances).select("order_id", "product_id", "quantity")
 
 
-def _ledger_after(batch: int) -> Callable[[Workspace], DataFrame]:
-    return lambda w: w.incremental.at(batch).fact().select(*LEDGER, "batch_id")
+def _incremental_ledger(w: Workspace) -> DataFrame:
+    return w.ledger_star.fact.select(*LEDGER, "batch_id")
+
+
+def _restored_ledger(w: Workspace) -> DataFrame:
+    return w.restored.at(3).fact().select(*LEDGER, "batch_id")
 
 
 def _incremental_noop(w: Workspace) -> DataFrame:
@@ -235,8 +239,8 @@ def all_queries() -> dict[str, Query]:
         "fact_sk_lookup": _fact_sk_lookup,
         "existing_balances": _existing_balances,
         "new_lines": _new_lines,
-        "incremental_ledger": _ledger_after(2),
-        "incremental_ledger_restored": _ledger_after(3),
+        "incremental_ledger": _incremental_ledger,
+        "incremental_ledger_restored": _restored_ledger,
         "incremental_noop": _incremental_noop,
         "reconcile_deletes": _reconcile_deletes,
         "net_positions": _net_positions,

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.schema import SOURCES, TRACKED, conform
+from salesmart.session import in_parallel
 
 
 @dataclass(frozen=True)
@@ -43,8 +44,9 @@ def read_parquet(spark: SparkSession, root: str) -> Sources:
 
 
 def write_parquet(sources: Sources, root: str) -> None:
-    for name in SOURCES:
-        sources[name].write.mode("overwrite").parquet(f"{root}/{name}")
+    in_parallel(
+        lambda name: sources[name].write.mode("overwrite").parquet(f"{root}/{name}"), SOURCES
+    )
 
 
 def read_jdbc(

@@ -4,7 +4,8 @@ from datetime import datetime
 from decimal import Decimal
 
 from salesmart.schema import SOURCES
-from salesmart.sources.tables import Sources
+from salesmart.session import scratch_path
+from salesmart.sources.tables import Sources, read_parquet, write_parquet
 
 DEFAULTS = {
     "categories": [("C1", "Drinks", "Cold and hot")],
@@ -30,4 +31,11 @@ def sources(spark, **tables) -> Sources:
             for row in tables.get(name, DEFAULTS[name])
         ]
         frames[name] = spark.createDataFrame(rows, schema)
-    return Sources(**frames)
+    return Sources(**frames).checked()
+
+
+def stored(spark, source: Sources) -> Sources:
+    """The same tables read back from Parquet."""
+    path = scratch_path(spark, "source")
+    write_parquet(source, path)
+    return read_parquet(spark, path)

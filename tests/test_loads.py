@@ -274,3 +274,24 @@ def test_money_ratio_cuts_the_share(spark):
         ]
     )
     assert [str(v) for v in third.first()] == ["33.3333", "33.3300"]
+
+
+def test_views_for_readers(spark, store):
+    store.at().register_views()
+    rows = spark.sql(
+        "SELECT customer_company_name, product_name, sum(sale_amount) AS sales FROM v_sales "
+        "WHERE order_id = 1 AND year = 1996 GROUP BY ALL HAVING sum(quantity) > 0 ORDER BY 2"
+    ).collect()
+    assert [(r.customer_company_name, r.product_name, str(r.sales)) for r in rows] == [
+        ("Ann Ltd", "Green Tea", "10.0000"),
+        ("Ann Ltd", "Mug", "30.0000"),
+    ]
+    assert spark.table("dim_shipper").count() == 2
+
+
+def test_version_filter_reaches_the_scan(spark):
+    source = micro.stored(spark, micro.sources(spark))
+    assert source.order_details.collect() == micro.sources(spark).order_details.collect()
+    marks = pipeline.facts.Marks(orders_low=5, details_low=6)
+    plan = pipeline.facts.affected_orders(source, marks)._jdf.queryExecution().toString()
+    assert "GreaterThan(row_version,5)" in plan and "GreaterThan(row_version,6)" in plan
