@@ -15,7 +15,7 @@ from salesmart.sources.retail import read_retail
 from salesmart.sources.tables import Sources
 from salesmart.store import Star, Store
 
-_FIRST_DAY = datetime(2026, 1, 1, tzinfo=timezone.utc)
+_FIRST_DAY = datetime(2026, 1, 1, 12, tzinfo=timezone.utc)
 
 
 def batch_time(number: int) -> datetime:
