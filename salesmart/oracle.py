@@ -9,6 +9,7 @@ import re
 
 from salesmart.functions.dates import MONTH_NAMES, WEEKDAY_NAMES
 from salesmart.plans.kpis import HIERARCHIES
+from salesmart.plans.pipeline import STATUS_OK, STATUS_START, STEP_END, STEP_START
 from salesmart.plans.reports import CLASS_A, CLASS_B, CLASS_C
 from salesmart.schema import (
     DIM_ATTRS,
@@ -539,6 +540,8 @@ def _queries() -> dict[str, str]:
             + ["select 'fact_sales', count(*), 0, 0 from led2"]
         ),
     }
+    queries["full_refresh_log"] = _full_refresh_log()
+    queries["stream_equals_batch"] = _both_ledgers()
     queries["pareto_scalable"] = queries["q10_pareto_abc"]
     for dim, (sk, key) in DIM_KEYS.items():
         name = dim.removeprefix("dim_")
@@ -553,6 +556,40 @@ def _queries() -> dict[str, str]:
     return queries
 
 
+def _full_refresh_log() -> str:
+    """What one full refresh logs, newest first in Spark; the order does not matter here."""
+    counts = {
+        "dim_product": "full_d_product",
+        "dim_customer": "full_d_customer",
+        "dim_employee": "full_d_employee",
+        "dim_shipper": "full_d_shipper",
+        "fact_sales": "full_fact",
+    }
+    steps = [
+        f"""
+        select cast({place} as bigint) as log_id, '{step}' as step, n as rows_affected,
+          '{STATUS_OK}' as status, '{step}: ' || n || ' rows loaded' as message
+        from (select count(*) as n from {table})"""
+        for place, (step, table) in enumerate(counts.items(), 2)
+    ]
+    none = "cast(null as bigint)"
+    ends = [
+        f"select 1, '{STEP_START}', {none}, '{STATUS_START}', 'load started'",
+        f"select 7, '{STEP_END}', {none}, '{STATUS_OK}', 'load finished'",
+    ]
+    return " union all ".join([*steps, *ends])
+
+
+def _both_ledgers() -> str:
+    """The ledger of two batches summed once for the streamed and once for the batch load."""
+    measures = ", ".join(
+        f"count(*) as rows_{s}, cast(sum(quantity) as bigint) as units_{s}, "
+        f"{_sum('sale_amount')} as sales_{s}, {_sum('freight_alloc')} as freight_{s}"
+        for s in ("stream", "batch")
+    )
+    return f"select batch_id, tx_type, {measures} from led2 group by batch_id, tx_type"
+
+
 def _marks(column: str) -> str:
     tables = {
         "products": "s2_products",

@@ -248,7 +248,9 @@ def all_queries() -> dict[str, Query]:
         **{f"full_{dim}": _loaded(dim) for dim in DIM_KEYS},
         "full_fact": _full_fact,
         "full_fact_money_ratio": _full_fact_money_ratio,
-        "full_refresh_log": lambda w: w.full.log_history(),
+        "full_refresh_log": lambda w: w.full.log_history().select(
+            "log_id", "step", "rows_affected", "status", "message"
+        ),
         "check_row_counts": lambda w: quality.check_row_counts(
             w.base.order_details, w.full_star.fact
         ),

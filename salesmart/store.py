@@ -3,12 +3,13 @@
     dim_date/
     <dim>/current/snapshot=N      current rows after batch N
     <dim>/history/batch_id=N      rows that batch N expired
-    fact_sales/batch_id=N/phase=P appended ledger rows (phase 1 upserts, 2 deletions)
+    fact_sales/load=N/phase=P     appended ledger rows (phase 1 upserts, 2 deletions)
     positions/asof=N              net balances up to batch N
     manifest/batch_id=N           written last: what is not in a manifest row does not exist
 
 A batch that fails leaves files that no reader looks at; its retry has the same number and
-overwrites them. There is one writer at a time.
+overwrites them. There is one writer at a time. Frequent small batches leave many small files;
+`Store.compact` rewrites them as one batch.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesmart.operators.calendar import DEFAULT_END, DEFAULT_START, build_calendar
-from salesmart.operators.ledger import as_positions
+from salesmart.operators.ledger import as_positions, rolled_up
 from salesmart.operators.scd2 import unknown_member
 from salesmart.schema import (
     DIM_DATE,
@@ -59,7 +60,8 @@ _MANIFEST = T.StructType(
 _STORED_FACT = T.StructType(
     [
         *FACT.fields,
-        T.StructField("batch_id", T.LongType()),
+        T.StructField("batch_id", T.LongType()),  # the batch that added the row
+        T.StructField("load", T.LongType()),  # the batch whose files hold it
         T.StructField("phase", T.IntegerType()),
     ]
 )
@@ -80,7 +82,7 @@ class Batch:
     fact_rows: int = 0
     next_fact_id: int = 1
     positions_asof: int = 0  # 0: no balances rolled up yet
-    base_batch: int = 0  # batches before it were replaced by a full refresh
+    base_batch: int = 0  # files of batches before it were replaced: by a refresh or compacted
     quarantine_batch: int = 0  # the batch whose quarantine is pending; 0: none
     stream_epoch: str | None = None
 
@@ -126,18 +128,18 @@ class Snapshot:
         rows = [(t, marks.get(t, 0), times.get(t)) for t in TRACKED]
         return self._spark.createDataFrame(rows, LOAD_CONTROL)
 
-    def _since_refresh(self) -> list[Batch]:
+    def _since_base(self) -> list[Batch]:
         return [b for b in self._batches if b.batch_id >= self.last.base_batch]
 
     def current_dim(self, dim: str) -> DataFrame:
-        written = [b.batch_id for b in self._since_refresh() if dim in b.dims_written]
+        written = [b.batch_id for b in self._since_base() if dim in b.dims_written]
         path = f"{self._root}/{dim}/current/snapshot={written[-1]}"
         return self._spark.read.schema(DIMS[dim]).parquet(path)
 
     def dim(self, dim: str) -> DataFrame:
         """All versions of all members."""
         current = self.current_dim(dim)
-        expired = [b.batch_id for b in self._since_refresh() if dim in b.dims_expired]
+        expired = [b.batch_id for b in self._since_base() if dim in b.dims_expired]
         if not expired:
             return current
         paths = [f"{self._root}/{dim}/history/batch_id={b}" for b in expired]
@@ -146,18 +148,21 @@ class Snapshot:
     def dim_date(self) -> DataFrame:
         return self._spark.read.schema(DIM_DATE).parquet(f"{self._root}/dim_date")
 
-    def fact(self) -> DataFrame:
-        """Ledger rows of the committed batches, with the number of the batch that added each."""
-        adding = [b.batch_id for b in self._since_refresh() if b.fact_rows]
-        if not adding:
+    def _stored_rows(self, after: int = 0) -> DataFrame:
+        loads = [b.batch_id for b in self._since_base() if b.fact_rows and b.batch_id > after]
+        if not loads:
             return self._spark.createDataFrame([], _STORED_FACT)
         stored = self._spark.read.schema(_STORED_FACT).parquet(f"{self._root}/fact_sales")
-        return stored.filter(F.col("batch_id").between(adding[0], adding[-1]))
+        return stored.filter(F.col("load").between(loads[0], loads[-1]))
+
+    def fact(self) -> DataFrame:
+        """Ledger rows of the committed batches, with the number of the batch that added each."""
+        return self._stored_rows().drop("load", "phase")
 
     def positions(self) -> DataFrame:
         """Everything booked so far, as balances to be netted: the last roll-up plus newer rows."""
         asof = self.last.positions_asof
-        newer = as_positions(self.fact().filter(F.col("batch_id") > F.lit(asof)))
+        newer = as_positions(self._stored_rows(after=asof))
         if not asof:
             return newer
         rolled = self._spark.read.schema(POSITION).parquet(f"{self._root}/positions/asof={asof}")
@@ -223,14 +228,18 @@ class Store:
         return store
 
     def batches(self, as_of: int | None = None) -> list[Batch]:
-        """Committed batches in order: one small row per batch that changed anything."""
+        """Committed batches in order, from the base of the last one on: one small row for each
+        that changed anything since."""
         try:
-            rows = self.spark.read.schema(_MANIFEST).parquet(f"{self.root}/manifest").collect()
+            stored = self.spark.read.schema(_MANIFEST).parquet(f"{self.root}/manifest")
         except AnalysisException as e:
             if e.getCondition() == "PATH_NOT_FOUND":
                 return []
             raise
-        found = [
+        if as_of is not None:
+            stored = stored.filter(F.col("batch_id") <= as_of)
+        base = stored.agg(F.max("base_batch")).scalar()
+        return [
             Batch(
                 **{
                     **r.asDict(),
@@ -238,9 +247,8 @@ class Store:
                     "dims_expired": tuple(r.dims_expired),
                 }
             )
-            for r in sorted(rows, key=lambda r: r.batch_id)
+            for r in stored.filter(F.col("batch_id") >= base).orderBy("batch_id").collect()
         ]
-        return [b for b in found if as_of is None or b.batch_id <= as_of]
 
     def at(self, as_of: int | None = None) -> Snapshot:
         """The star as of a batch; as of the last committed one by default."""
@@ -269,17 +277,40 @@ class Store:
 
     def drop_attempt(self, batch_id: int) -> None:
         """Remove ledger rows that a failed attempt at a batch left behind."""
-        remove_path(self.spark, f"{self.root}/fact_sales/batch_id={batch_id}")
+        remove_path(self.spark, f"{self.root}/fact_sales/load={batch_id}")
 
     def append_fact(self, batch_id: int, phase: int, rows: DataFrame) -> DataFrame:
-        path = f"{self.root}/fact_sales/batch_id={batch_id}/phase={phase}"
-        return stage(conform(rows, FACT), path)
+        path = f"{self.root}/fact_sales/load={batch_id}/phase={phase}"
+        numbered = conform(rows, FACT).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        return stage(numbered, path)
 
     def write_positions(self, batch_id: int, positions: DataFrame) -> None:
         conform(positions, POSITION).write.mode("overwrite").parquet(
             f"{self.root}/positions/asof={batch_id}"
         )
 
+    def compact(self, batch_ts: datetime) -> None:
+        """Rewrite the files of all batches as those of one. Rows keep their batch numbers."""
+        before = self.at()
+        batch = before.last.following(batch_ts, "compact")
+        self.drop_attempt(batch.batch_id)
+        for dim in DIMS:
+            history = before.dim(dim).filter("NOT is_current")
+            self.write_dim(dim, batch.batch_id, before.current_dim(dim), history)
+        stage(before.fact(), f"{self.root}/fact_sales/load={batch.batch_id}/phase=0")
+        self.write_positions(batch.batch_id, rolled_up(before.positions()))
+        self.commit(
+            replace(
+                batch,
+                dims_written=tuple(DIMS),
+                dims_expired=tuple(DIMS),
+                fact_rows=before.last.next_fact_id - 1,
+                positions_asof=batch.batch_id,
+                base_batch=batch.batch_id,
+                stream_epoch=before.last.stream_epoch,
+            )
+        )
+
     # --- audit log ------------------------------------------------------------------------
 
     def append_log(self, entries: list[tuple]) -> None:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.operators.dimensions import changed_since
+from salesmart.schema import MONEY_SUM
 from salesmart.session import scratch_path
 from salesmart.streaming.runner import CHANGE_NOTICE, start_incremental_stream
 from salesmart.workspace import Workspace, batch_time
@@ -46,8 +47,8 @@ def stream_and_batch_ledgers(workspace: Workspace) -> DataFrame:
         return df.groupBy("batch_id", "tx_type").agg(
             F.count(F.lit(1)).alias(f"rows_{suffix}"),
             F.sum("quantity").alias(f"units_{suffix}"),
-            F.sum("sale_amount").alias(f"sales_{suffix}"),
-            F.sum("freight_alloc").alias(f"freight_{suffix}"),
+            F.sum("sale_amount").cast(MONEY_SUM).alias(f"sales_{suffix}"),
+            F.sum("freight_alloc").cast(MONEY_SUM).alias(f"freight_{suffix}"),
         )
 
     return summed(streamed.at(2).fact(), "stream").join(

@@ -228,6 +228,21 @@ def test_options(spark, root):
     assert [(r.order_id, r.product_id, r.quantity) for r in rolled] == [(1, 1, 2)]
     # Nothing is left to do, with the balances read from the roll-up.
     assert run_incremental(spark, one, store, at(4), options).fact_rows == 0
+    # Compaction changes files only.
+    def state():
+        rows = store.at().fact().drop("fact_id").collect()
+        return sorted(map(str, rows)), sorted(map(str, store.at().dim("dim_product").collect()))
+
+    was = state()
+    store.compact(at(5))
+    assert state() == was and len(store.batches()) == 1
+    assert len(store.batches(as_of=2)) == 3
+    more = micro.sources(spark, order_details=[(1, 1, "5", 4, "0", 2)], products=bumped)
+    run_incremental(spark, more, store, at(6))
+    assert entries(store, 4) == [
+        (1, 1, TX_NEW_VERSION, 4, "10.0000"),
+        (1, 1, TX_REVERSAL, -2, "-10.0000"),
+    ]
 
 
 def test_full_refresh_drops_unmatched_and_logs(spark, root):
