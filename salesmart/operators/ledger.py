@@ -85,18 +85,19 @@ def upsert_entries(fresh: DataFrame, balances: DataFrame) -> DataFrame:
     return reversals(balances, TX_REVERSAL).unionByName(states)
 
 
-def deleted_balances(positions: DataFrame, source_lines: DataFrame) -> DataFrame:
-    """Open balances whose line is gone from the source.
+def missing_lines(positions: DataFrame, source_lines: DataFrame) -> DataFrame:
+    """Booked lines that are gone from the source. Only the two numbers of a line are moved."""
+    return positions.select(*LINE).join(source_lines.select(*LINE), LINE, "left_anti")
 
-    Rows are distributed by line once, which serves both the netting and the anti join. A line
-    has few rows, so no part gets much more than the others.
-    """
-    balances = open_balances(positions.repartition(*LINE))
-    return balances.join(source_lines.select(*LINE), LINE, "left_anti")
+
+def deleted_balances(positions: DataFrame, source_lines: DataFrame) -> DataFrame:
+    """Open balances whose line is gone from the source."""
+    return open_balances(positions, missing_lines(positions, source_lines))
 
 
-def deletion_entries(positions: DataFrame, source_lines: DataFrame) -> DataFrame:
-    return reversals(deleted_balances(positions, source_lines), TX_DELETION)
+def deletion_entries(positions: DataFrame, missing: DataFrame) -> DataFrame:
+    """Entries that take back what is still open of missing lines."""
+    return reversals(open_balances(positions, missing), TX_DELETION)
 
 
 def net_positions(fact: DataFrame) -> DataFrame:

@@ -84,12 +84,16 @@ def run_incremental(
         batch = _mark(batch, "orders", highs["orders"])
         batch = _mark(batch, "order_details", highs["order_details"])
 
-    deleted = stage(
-        ledger.deletion_entries(positions, sources.order_details), f"{store.root}/stage/deleted"
+    # Staged, so that few missing lines are broadcast to the scan of the ledger.
+    missing = stage(
+        ledger.missing_lines(positions, sources.order_details), f"{store.root}/stage/missing"
     )
-    reversed_rows, batch = _append(store, batch, 2, deleted)
-    if reversed_rows is not None:
-        positions = positions.unionByName(ledger.as_positions(reversed_rows))
+    if not missing.isEmpty():
+        deleted = ledger.deletion_entries(positions, missing)
+        deleted = stage(deleted, f"{store.root}/stage/deleted")
+        reversed_rows, batch = _append(store, batch, 2, deleted)
+        if reversed_rows is not None:
+            positions = positions.unionByName(ledger.as_positions(reversed_rows))
     if not (batch.fact_rows or batch.dims_written or changed):
         return LoadResult(None)
     if batch.batch_id - last.positions_asof >= options.roll_up_every:

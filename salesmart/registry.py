@@ -147,7 +147,8 @@ def _incremental_noop(w: Workspace) -> DataFrame:
 def _reconcile_deletes(w: Workspace) -> DataFrame:
     fact = w.ledger_star.fact
     undeleted = ledger.as_positions(fact.filter(F.col("tx_type") != TX_DELETION))
-    return ledger.deletion_entries(undeleted, w.states.state(2).order_details)
+    missing = ledger.missing_lines(undeleted, w.states.state(2).order_details)
+    return ledger.deletion_entries(undeleted, missing)
 
 
 def _net_positions(w: Workspace) -> DataFrame:
