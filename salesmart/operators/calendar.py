@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from salesmart.functions import dates
 from salesmart.schema import DIM_DATE
 
-# The range of the reference calendar.
+# The default range, three years of 1,096 days.
 DEFAULT_START = date(1996, 1, 1)
 DEFAULT_END = date(1998, 12, 31)
 

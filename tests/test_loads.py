@@ -177,9 +177,13 @@ def test_control(store):
 def test_unchanged_source_adds_nothing(spark, root):
     store = Store.create(spark, root, at(1))
     source = micro.sources(spark)
-    assert run_incremental(spark, source, store, at(2)).fact_rows == 1
+    assert run_incremental(spark, source, store, at(2), stream_epoch="s:0").fact_rows == 1
     result = run_incremental(spark, source, store, at(3))
     assert result.batch_id is None and store.at().last.batch_id == 1
+    # A replay of the committed epoch does nothing either, whatever the source holds by now.
+    changed = micro.sources(spark, order_details=[(1, 1, "5", 9, "0", 2)])
+    replay = run_incremental(spark, changed, store, at(3), stream_epoch="s:0")
+    assert replay.batch_id is None and len(entries(store)) == 1
 
 
 def test_failed_batch_can_be_run_again(spark, root, monkeypatch):

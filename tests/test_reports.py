@@ -5,7 +5,6 @@ from datetime import datetime
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from salesmart.operators.calendar import build_calendar
 from salesmart.plans import kpis, reports
