@@ -99,3 +99,28 @@ def shingle_hashes(hashes: np.ndarray, size: int = SHINGLE) -> np.ndarray:
 def shingle_set(text: str | None, cache: WordHashes, size: int = SHINGLE) -> np.ndarray:
     """The sorted distinct shingles of a text."""
     return np.unique(shingle_hashes(word_hashes(words_of(text), cache), size))
+
+
+#: Bits of a sieve: half a megabyte, whatever the number of values.
+SIEVE_BITS = 1 << 22
+
+
+def sieve_slot(value: str) -> Column:
+    return F.pmod(F.xxhash64(value), F.lit(SIEVE_BITS)).cast("int")
+
+
+def sieve(values: DataFrame, column: str) -> np.ndarray:
+    """A fixed-size bitmap of a column's values: what it lacks is not among them.
+
+    It spares rows a shuffle before an exact join; fuller, it spares fewer, with equal results.
+    """
+    slot = sieve_slot(column)
+    bits = (
+        values.groupBy(F.shiftright(slot, 5).alias("word"))
+        .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(F.lit(31)))))
+        .collect()  # SIEVE_BITS / 32 rows at most
+    )
+    words = np.zeros(SIEVE_BITS // 32, np.uint32)
+    for word, value in bits:
+        words[word] = value & 0xFFFFFFFF
+    return np.unpackbits(words.view(np.uint8), bitorder="little")

@@ -134,7 +134,7 @@ def mix_sources(
     rows are ordered only within the cut.
 
     Adds `mix_pass` (from 1), `mix_order` (0 to 1: sorting all rows by it reads every source at
-    its weight all along) and `mix_weight`. Columns of those names are replaced.
+    its weight all along), `mix_weight` and `mix_tokens`. Columns of those names are replaced.
 
     Defined cases: a null source is a source of its own; a null text has no words; documents
     without words have no quota to spend and are read once, in the first pass (with weight null if their
@@ -142,7 +142,7 @@ def mix_sources(
     order; an empty table stays empty.
     """
     scratch = Scratch(docs.sparkSession, "mix")
-    out = ["mix_pass", "mix_order", "mix_weight"]
+    out = ["mix_pass", "mix_order", "mix_weight", "mix_tokens"]
     docs = docs.drop(*[c for c in out if c in docs.columns and c not in (source, key, text)])
     columns = docs.columns
     blocks, seed = target.blocks, target.seed
@@ -230,5 +230,8 @@ def mix_sources(
         )
         .filter("__upto <= __left")
     )
-    kept = [*columns, "mix_pass", "mix_order", F.col("__weight").alias("mix_weight")]
+    kept = [
+        *columns, "mix_pass", "mix_order", F.col("__weight").alias("mix_weight"),
+        F.col("__tokens").alias("mix_tokens"),
+    ]
     return whole.select(*kept).unionByName(cut.select(*kept))

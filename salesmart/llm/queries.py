@@ -7,13 +7,54 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import chat, mixing, sharding
-from salesmart.llm.common import WORD, table, whole_text
+from salesmart.llm import (
+    chat,
+    decontamination,
+    fingerprints,
+    line_dedup,
+    mixing,
+    near_dedup,
+    passages,
+    secrets,
+    sharding,
+    toxicity,
+)
+from salesmart.llm.common import table, whole_text
 
 #: In the weights of op9, no source is read more than so many times.
 MIX = mixing.Target(repeats=2.0)
 
 
+#: From this share of votes on, a candidate counts as a secret.
+SECRET_SCORE = 0.5
+
+
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate of every document with its score; secrets themselves are not shown.
+
+    The tables hold no labelled findings: two thirds of the documents are labelled by format.
+    """
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    path = F.concat_ws("/", "lang", "source")
+    found = secrets.candidates(docs, path)
+    learned = found.filter(~toxicity.held_out(F.col("doc_id")))
+    scanner = secrets.fit_scanner(docs, secrets.labelled_by_format(learned))
+    return secrets.scan(found, scanner).select(
+        "doc_id",
+        "place",
+        F.char_length("candidate").alias("n_chars"),
+        F.sha2(F.encode("candidate", "UTF-8"), 256).alias("candidate_sha256"),
+        "score",
+        (F.col("score") >= SECRET_SCORE).alias("secret"),
+    )
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Law `bytes`: eight contiguous shards by doc_id."""
     text = F.col("text")
@@ -33,6 +74,10 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the formatted conversations say when they are read back."""
     said = "\\### Assistant: </turn> ok"
@@ -66,6 +111,27 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_with_next(table(spark, sf_dir, "documents"))
+
+
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of words that several documents have, and which of them go."""
+    return passages.repeated_spans(table(spark, sf_dir, "documents")).drop("row")
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What line dedup leaves of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.drop_repeated_lines(docs).select(
+        "doc_id",
+        "n_lines",
+        "n_removed",
+        F.char_length(whole_text()).alias("clean_chars"),
+        F.md5(F.encode(whole_text(), "UTF-8")).alias("clean_md5"),
+    )
+
+
 def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every reading of every document, with its place in the mix."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
@@ -73,15 +139,39 @@ def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select(
         "doc_id",
         "source",
-        F.regexp_count(whole_text(), F.lit(WORD)).cast("long").alias("tokens"),
+        F.col("mix_tokens").alias("tokens"),
         "mix_pass",
         "mix_order",
         "mix_weight",
     )
 
 
+#: From this score on, a text counts as toxic.
+TOXIC_SCORE = 0.7
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A score for every document; the third that is held out teaches nothing."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").filter(~toxicity.held_out(F.col("doc_id")))
+    model = toxicity.fit_toxicity(docs, labels)
+    return toxicity.score_toxicity(docs, model).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= TOXIC_SCORE).cast("int").alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secrets": op1_secrets,
+    "op2_decontamination": op2_decontamination,
     "op3_sharding": op3_sharding,
+    "op4_near_dedup": op4_near_dedup,
     "op5_chat_format": op5_chat_format,
+    "op6_fingerprints": op6_fingerprints,
+    "op7_substring_dedup": op7_substring_dedup,
+    "op8_line_dedup": op8_line_dedup,
     "op9_mix": op9_mix,
+    "op10_toxicity": op10_toxicity,
 }
