@@ -1,0 +1,113 @@
+import random
+from collections import Counter
+
+from tests_llm_help import ODD, text_of
+
+from salesmart.llm import near_dedup
+
+
+def shingles(text):
+    words = (text or "").encode().lower().split()
+    if not words:
+        return set()
+    return {b" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def by_hand(rows):
+    """Component and set size of each id, over all pairs."""
+    sets = {}
+    for i, t in rows:
+        sets.setdefault(i, []).append(shingles(t))
+    parent = {i: i for i in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    ids = sorted(sets)
+    for n, a in enumerate(ids):
+        for b in ids[n + 1 :]:
+            for x in sets[a]:
+                for y in sets[b]:
+                    if x and y and 100 * len(x & y) >= 75 * len(x | y):
+                        low, high = sorted((find(a), find(b)))
+                        parent[high] = low
+    return {i: find(i) for i in ids}
+
+
+def edited(rng, text, edits):
+    words = text.split()
+    for _ in range(edits):
+        words[rng.randrange(len(words))] = f"e{rng.randrange(10**6)}"
+    return " ".join(words)
+
+
+def check(df, rows):
+    got = near_dedup.near_duplicates(df).collect()
+    known = [(i, t) for i, t in rows if i is not None]
+    want = by_hand(known)
+    assert Counter((r.doc_id, r.n_shingles) for r in got) == Counter(
+        (i, len(shingles(t))) for i, t in rows
+    )
+    for r in got:
+        if r.doc_id is None:
+            assert r.component_id is None and r.kept
+        else:
+            assert r.component_id == want[r.doc_id]
+            assert r.kept == (r.component_id == r.doc_id)
+
+
+def test_components_equal_brute_force(frame):
+    rng = random.Random(4)
+    rows = []
+    boiler = text_of(rng, 60)
+    for _ in range(60):  # groups of edited copies, some chained, some with much text in common
+        base = text_of(rng, rng.choice([3, 5, 8, 30, 80, 200]))
+        if rng.random() < 0.4:
+            base += " " + boiler
+        rows.append(base)
+        for _ in range(rng.randrange(0, 6)):
+            rows.append(edited(rng, rng.choice(rows[-3:]), rng.randrange(0, 4)))
+    rows = list(enumerate(rng.sample(rows, len(rows))))
+    check(frame(rows), rows)
+
+
+def test_one_large_group_of_distinct_texts(frame):
+    """Edited copies of one text, similar to some and not to others: lists longer than a block."""
+    rng = random.Random(5)
+    base = text_of(rng, 120)
+    rows = [(i, edited(rng, base, rng.randrange(1, 7))) for i in range(400)]
+    check(frame(rows), rows)
+
+
+def test_texts_between_the_thresholds_are_compared_in_blocks(frame):
+    """Half of each text is common: many shared postings, no link but the planted one."""
+    rng = random.Random(6)
+    half = text_of(rng, 150)
+    rows = [(i, half + " " + text_of(rng, 60)) for i in range(300)]
+    rows.append((300, edited(rng, rows[299][1], 1)))
+    check(frame(rows), rows)
+
+
+def test_odd_rows(frame):
+    check(frame(ODD), ODD)
+    same_id = [(1, "a b c d e f g h"), (2, "other words that stand for themselves here"),
+               (1, "other words that stand for themselves here")]
+    check(frame(same_id), same_id)
+    assert not near_dedup.near_duplicates(frame([])).collect()
+
+
+def test_one_of_each_group_stays(frame):
+    rng = random.Random(7)
+    base = text_of(rng, 100)
+    rows = [(3, base), (5, edited(rng, base, 1)), (9, base), (4, text_of(rng, 40)), *ODD]
+    left = near_dedup.drop_near_duplicates(frame(rows)).collect()
+    assert Counter(r.doc_id for r in left) == Counter(
+        [3, 4, None, *{i for i, _ in ODD if i is not None and i != 106}, 106]
+    )
+
+
+def test_matches_needed():
+    assert near_dedup.least_matches(64, 75) in range(26, 34)
+    assert near_dedup.least_matches(64, 100) == 64
