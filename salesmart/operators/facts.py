@@ -66,6 +66,7 @@ def _allocated(lines: DataFrame, heads: DataFrame, ratio_mode: str, *columns: st
     return lines.join(heads, "order_id").select(
         "order_id",
         "product_id",
+        "line_no",
         *columns,
         "date_sk",
         "unit_price",
@@ -124,10 +125,10 @@ def keyed_lines(
 
 def with_calendar(fresh: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Mark the rows whose day the calendar has; a missing day is not in it."""
-    low = dim_date.agg(F.min("date_sk")).scalar()
-    high = dim_date.agg(F.max("date_sk")).scalar()
-    inside = F.coalesce(F.col("date_sk").between(low, high), F.lit(False))
-    return fresh.withColumn("in_calendar", inside)
+    days = dim_date.select("date_sk", F.lit(True).alias("__day"))
+    return fresh.join(days, "date_sk", "left").select(
+        *fresh.columns, F.coalesce("__day", F.lit(False)).alias("in_calendar")
+    )
 
 
 def full_fact_rows(

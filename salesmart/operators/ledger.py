@@ -17,7 +17,8 @@ from salesmart.schema import (
     TX_REVERSAL,
 )
 
-LINE = ["order_id", "product_id"]
+# A line of an order; `line_no` tells lines of one product apart.
+LINE = ["order_id", "product_id", "line_no"]
 _ENTRY = [c for c in FACT.fieldNames() if c != "fact_id"]
 
 
@@ -86,7 +87,7 @@ def upsert_entries(fresh: DataFrame, balances: DataFrame) -> DataFrame:
 
 
 def missing_lines(positions: DataFrame, source_lines: DataFrame) -> DataFrame:
-    """Booked lines that are gone from the source. Only the two numbers of a line are moved."""
+    """Booked lines that are gone from the source. Only the three numbers of a line are moved."""
     return positions.select(*LINE).join(source_lines.select(*LINE), LINE, "left_anti")
 
 

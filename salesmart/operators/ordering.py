@@ -1,128 +1,107 @@
 """Global order without a single task: dense ids, running totals and ranks.
 
-Rows are split into value ranges, each range is numbered or summed by itself, and the ranges'
-totals are carried forward. Only the range totals (at most `MAX_RANGES` rows) meet in one place.
+Rows are sorted into files by a range exchange on the key itself, of whatever type, nulls
+included. Each file is numbered or summed by itself and the files' totals are carried forward;
+only one row per file meets in one place. There is one way for every size.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_RANGES = 256
-# Up to here one task sorts the rows faster than several jobs can agree on ranges.
-ONE_TASK_ROWS = 200_000
-# A path and a number per file: some ten megabytes.
-BROADCAST_FILES = 50_000
+from salesmart.session import scratch_path, stage
 
-_RANGE = "__range"
+_FILE, _ROW = "__file", "__row"
 
 
-def _ranges(df: DataFrame) -> int:
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(2, min(MAX_RANGES, partitions))
+def _by_file() -> list[Column]:
+    """Files of one write in the order of their partitions: numbers of more digits come later."""
+    return [F.length(_FILE), F.col(_FILE)]
 
 
-def _with_range(df: DataFrame, column: str) -> DataFrame:
-    """Add the index of the value range each row falls in; the bounds are fixed literals, so every
-    evaluation of the result splits the rows alike."""
-    position = "__position"
-    df = df.withColumn(position, F.col(column).cast("double"))
-    n = _ranges(df)
-    cuts = df.approxQuantile(position, [i / n for i in range(1, n)], 0.25 / n)
-    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
-    if len(splits) < 3:
-        return df.withColumn(_RANGE, F.lit(0.0)).drop(position)
-    cut = Bucketizer(splits=splits, inputCol=position, outputCol=_RANGE, handleInvalid="keep")
-    return cut.transform(df).drop(position)
+def _located(stored: DataFrame) -> DataFrame:
+    """Stored rows with the file they lie in and their place in it."""
+    return stored.select(
+        "*",
+        F.col("_metadata.file_path").alias(_FILE),
+        F.col("_metadata.row_index").alias(_ROW),
+    )
 
 
-def _carry(df: DataFrame, sums: dict[str, F.Column], descending: bool) -> DataFrame:
-    """Per range, the sums over all ranges before it. One row per range."""
-    totals = df.groupBy(_RANGE).agg(*[expr.alias(name) for name, expr in sums.items()])
-    order = F.col(_RANGE).desc() if descending else F.col(_RANGE)
-    before = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+def _carry(located: DataFrame, sums: dict[str, Column]) -> DataFrame:
+    """Per file, the sums over all files before it."""
+    totals = located.groupBy(_FILE).agg(*[expr.alias(name) for name, expr in sums.items()])
+    before = Window.orderBy(*_by_file()).rowsBetween(Window.unboundedPreceding, -1)
     return totals.select(
-        _RANGE, *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(n) for n in sums]
+        _FILE, *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(n) for n in sums]
     )
 
 
-def dense_ids(
-    df: DataFrame, key: str, id_column: str, start: int = 1, rows: int | None = None
-) -> DataFrame:
-    """Number the rows `start`, `start` + 1, ... in ascending order of a unique numeric key.
+def sorted_files(df: DataFrame, *order: Column) -> DataFrame:
+    """The rows written in order: file by file, and within each file."""
+    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    return stage(ordered, scratch_path(df.sparkSession, "sorted"))
 
-    `rows` is the number of rows, if the caller knows it.
-    """
-    if (df.count() if rows is None else rows) <= ONE_TASK_ROWS:
-        place = F.row_number().over(Window.orderBy(key))
-        return df.withColumn(id_column, (place.cast("long") + (start - 1)).cast("long"))
-    return _dense_ids_by_range(df, key, id_column, start)
 
+def dense_ids(df: DataFrame, key: str, id_column: str, start: int = 1) -> DataFrame:
+    """Number the rows `start`, `start` + 1, ... in ascending order of a unique key.
 
-def _dense_ids_by_range(df: DataFrame, key: str, id_column: str, start: int) -> DataFrame:
-    ranged = _with_range(df, key)
-    before = _carry(ranged, {"__before": F.count(F.lit(1))}, descending=False)
-    # At most MAX_RANGES rows (plus one for nulls): a broadcast of proven size.
-    joined = ranged.join(F.broadcast(before), _RANGE)
-    place = F.row_number().over(Window.partitionBy(_RANGE).orderBy(key))
-    numbered = (place.cast("long") + F.col("__before") + (start - 1)).cast("long")
-    return joined.withColumn(id_column, numbered).drop(_RANGE, "__before")
+    A null key comes first. The key may be of any type that has an order.
+    """
+    ordered = sorted_files(df, F.col(key).asc_nulls_first())
+    return stored_order_ids(ordered, id_column, start)[0]
 
 
 def stored_order_ids(stored: DataFrame, id_column: str, start: int = 1) -> tuple[DataFrame, int]:
     """Number the rows of Parquet files `start`, `start` + 1, ... as they lie in the files, and
     say how many there are.
 
-    Only the row counts of the files meet in one place; the rows are neither shuffled nor sorted.
+    Only the row counts of the files meet in one place; the rows are neither shuffled nor sorted
+    if the counts are few enough to be broadcast.
     """
-    located = stored.select(
-        "*",
-        F.col("_metadata.file_path").alias("__file"),
-        F.col("_metadata.row_index").alias("__row"),
-    )
-    per_file = located.groupBy("__file").agg(F.count(F.lit(1)).alias("__rows"))
-    total, files = per_file.agg(
-        F.coalesce(F.sum("__rows"), F.lit(0)), F.count(F.lit(1))
-    ).first()
-    earlier = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
-    before = per_file.select(
-        "__file", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__before")
-    )
-    if files <= BROADCAST_FILES:
-        before = F.broadcast(before)
-    numbered = (F.col("__before") + F.col("__row") + start).cast("long")
-    rows = located.join(before, "__file").withColumn(id_column, numbered)
-    return rows.drop("__file", "__row", "__before"), total
+    located = _located(stored)
+    before = _carry(located, {"__before": F.count(F.lit(1))})
+    numbered = (F.col("__before") + F.col(_ROW) + start).cast("long")
+    rows = located.join(before, _FILE).withColumn(id_column, numbered)
+    return rows.drop(_FILE, _ROW, "__before"), stored.count()
 
 
 def running_total(
-    df: DataFrame, value: str, totals: dict[str, F.Column], descending: bool = True
+    df: DataFrame, value: str, totals: dict[str, Column], descending: bool = True
 ) -> DataFrame:
     """For each distinct `value`: each total over all rows up to and including that value.
 
-    Equal values share one total. They are folded into one row first, so that ties, however many,
-    are not a hot range.
+    Equal values share one total, null ones too: nulls come first when ascending and last when
+    descending. They are folded into one row first, so that ties, however many, are not a hot key.
     """
     names = list(totals)
     folded = df.groupBy(value).agg(*[totals[n].alias(n) for n in names])
-    ranged = _with_range(folded, value)
-    carried = _carry(ranged, {f"__{n}": F.sum(n) for n in names}, descending)
-    order = F.col(value).desc() if descending else F.col(value)
-    within = Window.partitionBy(_RANGE).orderBy(order)
+    column = F.col(value)
+    order = column.desc_nulls_last() if descending else column.asc_nulls_first()
+    located = _located(sorted_files(folded, order))
+    carried = _carry(located, {f"__{n}": F.sum(n) for n in names})
+    within = Window.partitionBy(_FILE).orderBy(_ROW)
     running = [
         (F.sum(n).over(within) + F.col(f"__{n}")).cast(folded.schema[n].dataType).alias(n)
         for n in names
     ]
-    return ranged.join(F.broadcast(carried), _RANGE).select(value, *running)
+    return located.join(carried, _FILE).select(value, *running)
+
+
+def with_running_total(
+    df: DataFrame, value: str, totals: dict[str, Column], descending: bool = True
+) -> DataFrame:
+    """The rows of `df` with `running_total` of their value; null values keep their rows."""
+    upto = running_total(df, value, totals, descending).withColumnRenamed(value, "__value")
+    return df.join(upto, F.col(value).eqNullSafe(F.col("__value"))).drop("__value")
 
 
 def rank_descending(df: DataFrame, value: str, rank_column: str) -> DataFrame:
     """1 + the number of rows with a greater value: ties share a rank and leave a gap."""
     counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("__own"))
     upto = running_total(df, value, {"__upto": F.count(F.lit(1))})
-    ranks = counts.join(upto, value).select(
-        value, (F.col("__upto") - F.col("__own") + 1).cast("int").alias(rank_column)
-    )
-    return df.join(ranks, value)
+    ranks = counts.join(
+        upto.withColumnRenamed(value, "__of"), F.col(value).eqNullSafe(F.col("__of"))
+    ).select("__of", (F.col("__upto") - F.col("__own") + 1).cast("int").alias(rank_column))
+    return df.join(ranks, F.col(value).eqNullSafe(F.col("__of"))).drop("__of")

@@ -48,7 +48,6 @@ def scd2_apply(
     dim: str,
     batch_ts: datetime,
     first_sk: int,
-    rows: int | None = None,
 ) -> Scd2Change:
     """Expire the current row of every member in `delta` and put its new version in place.
 
@@ -57,7 +56,7 @@ def scd2_apply(
     """
     sk, key = DIM_KEYS[dim]
     attrs = [name for name, _ in DIM_ATTRS[dim]]
-    fresh = dense_ids(delta, key, sk, first_sk, rows)
+    fresh = dense_ids(delta, key, sk, first_sk)
     now = F.lit(batch_ts).cast("timestamp")
     replaced = current.join(delta.select(key), key, "left_semi")
     expired = replaced.withColumns({"valid_to": now, "is_current": F.lit(False)})
@@ -80,11 +79,11 @@ def scd2_apply(
 
 
 def first_versions(
-    members: DataFrame, dim: str, batch_ts: datetime, first_sk: int = 1, rows: int | None = None
+    members: DataFrame, dim: str, batch_ts: datetime, first_sk: int = 1
 ) -> DataFrame:
     """Every member as version 1, for a load into an emptied dimension."""
     sk, key = DIM_KEYS[dim]
-    loaded = dense_ids(members, key, sk, first_sk, rows).withColumns(
+    loaded = dense_ids(members, key, sk, first_sk).withColumns(
         {
             "version": F.lit(1),
             "valid_from": F.lit(batch_ts).cast("timestamp"),

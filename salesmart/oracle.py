@@ -66,14 +66,15 @@ _SOURCE = {
           {_div("cast(l_extendedprice as decimal(19,4))", "cast(l_quantity as bigint)", True)}
             as unit_price,
           cast(l_quantity as integer) as quantity,
-          cast(l_discount as decimal(5,4)) as discount, cast(1 as bigint) as row_version
-        from (select *, row_number() over (partition by l_orderkey, l_partkey
-                order by l_linenumber, l_suppkey, l_quantity, l_extendedprice, l_discount) as rn
-              from lineitem) where rn = 1""",
+          cast(l_discount as decimal(5,4)) as discount, cast(1 as bigint) as row_version,
+          cast(row_number() over (partition by l_orderkey, l_partkey
+            order by l_linenumber, l_suppkey, l_quantity, l_extendedprice, l_discount) as integer)
+            as line_no
+        from lineitem""",
     "src_orders": """
         select o_orderkey as order_id, o_custkey as customer_id,
           o_orderkey % (select count(*) from nation) as employee_id, o_orderdate as order_date,
-          cast(substr(o_orderpriority, 1, 1) as bigint) as ship_via,
+          cast(split_part(o_orderpriority, '-', 1) as bigint) as ship_via,
           cast(o_totalprice as decimal(19,4)) as freight, cast(1 as bigint) as row_version
         from orders""",
     "src_products": """
@@ -106,8 +107,8 @@ _SOURCE = {
           join (select n_regionkey, min(n_nationkey) as head from nation group by 1) h
             on h.n_regionkey = n.n_regionkey""",
     "src_shippers": """
-        select distinct cast(substr(o_orderpriority, 1, 1) as bigint) as shipper_id,
-          substr(o_orderpriority, 3) as company_name, cast(null as varchar) as phone,
+        select distinct cast(split_part(o_orderpriority, '-', 1) as bigint) as shipper_id,
+          substr(o_orderpriority, strpos(o_orderpriority, '-') + 1) as company_name, cast(null as varchar) as phone,
           cast(1 as bigint) as row_version from orders""",
 }
 
@@ -129,7 +130,7 @@ def _states(r: ChangeRules) -> dict[str, str]:
         select l.*, ({r.cancelled_line}) as cancelled, o.late, o.recounted
         from src_lines l join marked_orders o on o.order_id = l.order_id"""
     order_columns = "order_id, customer_id, employee_id, order_date, ship_via"
-    line_columns = "order_id, product_id, unit_price"
+    line_columns = "order_id, product_id, line_no, unit_price"
     second_lines = f"""
         select {line_columns}, quantity + cast(recounted as integer) as quantity, discount,
           cast(case when late or recounted then 2 else 1 end as bigint) as row_version
@@ -263,7 +264,7 @@ def _drawn(lines: str, orders: str, affected: str | None, mode: str = "float") -
     return f"""
         with l as (select *, {_LINE_AMOUNT} as sale_amount from {lines} {only}),
           s as (select order_id, sum(sale_amount) as subtotal from l group by 1)
-        select l.order_id, l.product_id, o.customer_id, o.employee_id, o.ship_via as shipper_id,
+        select l.order_id, l.product_id, l.line_no, o.customer_id, o.employee_id, o.ship_via as shipper_id,
           {_date_key("o.order_date")} as date_sk,
           l.unit_price, l.quantity, l.discount, l.sale_amount,
           cast({_ratio(mode)} as decimal(19,4)) as freight_alloc
@@ -282,17 +283,17 @@ def _keyed(drawn: str, dims: str, drop: bool = False) -> str:
     if drop:
         joins += " join cal on cal.date_sk = x.date_sk"
     return f"""
-        select {", ".join(keys)}, x.date_sk, x.order_id, x.product_id, x.unit_price, x.quantity,
+        select {", ".join(keys)}, x.date_sk, x.order_id, x.product_id, x.line_no, x.unit_price, x.quantity,
           x.discount, x.sale_amount, x.freight_alloc
         from {drawn} x{joins}"""
 
 
 _POSITION = (
-    "order_id, product_id, product_sk, customer_sk, employee_sk, date_sk, shipper_sk, "
+    "order_id, product_id, line_no, product_sk, customer_sk, employee_sk, date_sk, shipper_sk, "
     "unit_price, discount"
 )
 _ENTRY = (
-    "product_sk, customer_sk, employee_sk, date_sk, shipper_sk, order_id, product_id, "
+    "product_sk, customer_sk, employee_sk, date_sk, shipper_sk, order_id, product_id, line_no, "
     "unit_price, quantity, discount, sale_amount, freight_alloc, tx_type"
 )
 
@@ -307,7 +308,7 @@ def _open(rows: str) -> str:
 def _reversal(rows: str, tx_type: str, batch: int) -> str:
     return f"""
         select product_sk, customer_sk, employee_sk, date_sk, shipper_sk, order_id, product_id,
-          unit_price, cast(-quantity as integer) as quantity, discount,
+          line_no, unit_price, cast(-quantity as integer) as quantity, discount,
           cast(-sale_amount as decimal(19,4)) as sale_amount,
           cast(-freight_alloc as decimal(19,4)) as freight_alloc, '{tx_type}' as tx_type,
           cast({batch} as bigint) as batch_id
@@ -335,12 +336,13 @@ def _ledger() -> dict[str, str]:
         tables[f"fresh{batch}"] = _keyed(f"drawn{batch}", "led")
         tables[f"balance{batch}"] = f"""
             select * from ({_open(old)}) b where exists (select 1 from fresh{batch} f
-              where f.order_id = b.order_id and f.product_id = b.product_id)"""
+              where f.order_id = b.order_id and f.product_id = b.product_id and f.line_no = b.line_no)"""
         tables[f"upsert{batch}"] = f"""
             {_reversal(f"balance{batch}", TX_REVERSAL, batch)}
             union all by name
             select f.*, case when exists (select 1 from balance{batch} b
-                where b.order_id = f.order_id and b.product_id = f.product_id)
+                where b.order_id = f.order_id and b.product_id = f.product_id
+                  and b.line_no = f.line_no)
                 then '{TX_NEW_VERSION}' else '{TX_ORIGINAL}' end as tx_type,
               cast({batch} as bigint) as batch_id
             from fresh{batch} f"""
@@ -349,7 +351,8 @@ def _ledger() -> dict[str, str]:
         )
         tables[f"gone{batch}"] = f"""
             select * from ({_open(f"booked{batch}")}) b where not exists (select 1 from {lines} l
-              where l.order_id = b.order_id and l.product_id = b.product_id)"""
+              where l.order_id = b.order_id and l.product_id = b.product_id
+                and l.line_no = b.line_no)"""
         tables[f"deleted{batch}"] = _reversal(f"gone{batch}", TX_DELETION, batch)
         tables[f"led{batch}"] = (
             f"select * from booked{batch} union all by name select * from deleted{batch}"
@@ -479,12 +482,13 @@ def _queries() -> dict[str, str]:
         "max_row_versions": _marks("max_row_version"),
         "control_after_batch": _marks("last_row_version"),
         "snapshot_change_stamp": """
-            select n.order_id, n.product_id,
+            select n.order_id, n.product_id, n.line_no,
               cast(case when o.order_id is not null and o.unit_price = n.unit_price
                   and o.quantity = n.quantity and o.discount = n.discount
                 then o.row_version else 2 end as bigint) as row_version
             from s2_lines n
-              left join s1_lines o on o.order_id = n.order_id and o.product_id = n.product_id""",
+              left join s1_lines o on o.order_id = n.order_id
+                and o.product_id = n.product_id and o.line_no = n.line_no""",
         "surrogate_keys": """
             select order_id, row_number() over (order by order_id) as order_sk
             from src_orders""",
@@ -494,14 +498,15 @@ def _queries() -> dict[str, str]:
         "order_subtotals": f"""
             select order_id, {_sum("sale_amount")} as subtotal from drawn2 group by 1""",
         "fresh_lines": "select * from drawn2",
-        "freight_proration": "select order_id, product_id, sale_amount, freight_alloc "
+        "freight_proration": "select order_id, product_id, line_no, sale_amount, freight_alloc "
         "from full_drawn",
         "fact_sk_lookup": "select * from fresh2",
         "existing_balances": "select * from balance2",
         "new_lines": """
-            select order_id, product_id, quantity from drawn2 f where not exists (
+            select order_id, product_id, line_no, quantity from drawn2 f where not exists (
               select 1 from balance2 b
-              where b.order_id = f.order_id and b.product_id = f.product_id)""",
+              where b.order_id = f.order_id and b.product_id = f.product_id
+                  and b.line_no = f.line_no)""",
         "incremental_ledger": f"select {_ENTRY}, batch_id from led2",
         "incremental_ledger_restored": f"select {_ENTRY}, batch_id from led3",
         "incremental_noop": f"""
@@ -513,18 +518,19 @@ def _queries() -> dict[str, str]:
                 as affected_orders,
               (select count(*) from ({_open("led2")}) b where not exists (
                 select 1 from s2_lines l
-                where l.order_id = b.order_id and l.product_id = b.product_id))
+                where l.order_id = b.order_id and l.product_id = b.product_id
+                and l.line_no = b.line_no))
                 as deleted_lines""",
         "reconcile_deletes": f"select {_ENTRY} from deleted2",
         "net_positions": f"""
-            select order_id, product_id, cast(sum(quantity) as bigint) as quantity,
+            select order_id, product_id, line_no, cast(sum(quantity) as bigint) as quantity,
               {_sum("sale_amount")} as sale_amount, {_sum("freight_alloc")} as freight_alloc
-            from led2 group by 1, 2 having sum(quantity) <> 0""",
+            from led2 group by 1, 2, 3 having sum(quantity) <> 0""",
         "full_fact": f"select {_ENTRY} from full_fact",
         "full_fact_money_ratio": "select * from full_rows_money",
         "check_row_counts": """
             select *, source_rows = fact_rows as equal from (
-              select (select count(*) from src_lines) as source_rows,
+              select (select count(*) from lineitem) as source_rows,
                 (select count(*) from full_fact) as fact_rows)""",
         "check_freight": f"""
             select *, cast(freight - allocated as decimal(29,4)) as difference from (

@@ -9,7 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from salesmart.operators import dimensions, facts, ledger
 from salesmart.operators.ordering import stored_order_ids
-from salesmart.operators.scd2 import first_versions, really_changed, scd2_apply
+from salesmart.operators.scd2 import (
+    first_versions,
+    really_changed,
+    scd2_apply,
+    unknown_member,
+)
 from salesmart.schema import DIM_KEYS, DIM_SOURCE
 from salesmart.session import in_parallel, stage
 from salesmart.sources.tables import Sources, max_versions
@@ -154,7 +159,7 @@ def _load_dim(
     delta = stage(delta, f"{store.root}/stage/{dim}")
     rows = delta.count()
     first_sk = before.last.next_sk[dim]
-    change = scd2_apply(current, delta, dim, batch.batch_ts, first_sk, rows)
+    change = scd2_apply(current, delta, dim, batch.batch_ts, first_sk)
     loaded_before = first_sk > 1  # else there are no members whose rows could expire
     expired = change.expired if loaded_before else None
     written = store.write_dim(dim, batch.batch_id, change.current, expired)
@@ -206,7 +211,8 @@ def _load_lines(
         batch = replace(batch, quarantine_batch=batch.batch_id)
     entries = ledger.first_entries(fresh)
     if before.last.next_fact_id > 1:  # else the ledger is empty
-        balances = ledger.open_balances(before.positions(), fresh)
+        # also of lines that wait for their day: what they were booked under is taken back
+        balances = ledger.open_balances(before.positions(), drawn)
         balances = stage(balances, f"{store.root}/stage/balances")
         entries = ledger.upsert_entries(fresh, balances)
     entries = stage(entries, f"{store.root}/stage/entries")
@@ -240,8 +246,11 @@ class _Log:
     def _add(self, step, rows, status, message, seconds):
         self._entries.append((utc_now(), step, rows, status, message, seconds))
 
-    def done(self, step: str, rows: int, seconds: int):
-        self._add(step, rows, STATUS_OK, f"{step}: {rows} rows loaded", seconds)
+    def done(self, step: str, rows: int, seconds: int, waiting: int = 0):
+        message = f"{step}: {rows} rows loaded"
+        if waiting:
+            message += f", {waiting} lines wait for a member or a day"
+        self._add(step, rows, STATUS_OK, message, seconds)
 
     def end(self):
         seconds = seconds_between(self._begin, utc_now())
@@ -294,7 +303,8 @@ def run_full_refresh(
         keyed = facts.full_fact_rows(sources, dims, before.dim_date(), ratio_mode)
         entries = stage(ledger.first_entries(keyed), f"{store.root}/stage/entries")
         _, batch = _append(store, batch, 1, entries)
-        log.done("fact_sales", batch.fact_rows, seconds_between(begin, utc_now()))
+        batch, waiting = _left_out(sources, store, batch, entries)
+        log.done("fact_sales", batch.fact_rows, seconds_between(begin, utc_now()), waiting)
         store.commit(batch)
         log.end()
         return LoadResult(batch.batch_id, batch.fact_rows, batch.dims_written)
@@ -303,11 +313,27 @@ def run_full_refresh(
         raise
 
 
+def _left_out(
+    sources: Sources, store: Store, batch: Batch, entries: DataFrame
+) -> tuple[Batch, int]:
+    """Lines that miss a member or a day: their orders wait for the next incremental load, which
+    takes them up again although the marks have passed them."""
+    waiting = sources.order_details.count() - batch.fact_rows
+    if not waiting:
+        return batch, 0
+    lines = ledger.missing_lines(sources.order_details, entries)
+    stage(
+        lines.select("order_id").distinct(), f"{store.root}/quarantine/batch_id={batch.batch_id}"
+    )
+    return replace(batch, quarantine_batch=batch.batch_id), waiting
+
+
 def _reload_dim(sources: Sources, store: Store, batch: Batch, dim: str) -> tuple[_DimLoad, int]:
     begin = utc_now()
     members = dimensions.MEMBERS[dim](sources, sources[DIM_SOURCE[dim]])
     members = stage(members, f"{store.root}/stage/{dim}")
     count = members.count()
-    rows = first_versions(members, dim, batch.batch_ts, batch.next_sk[dim], count)
+    rows = first_versions(members, dim, batch.batch_ts, batch.next_sk[dim])
+    rows = rows.unionByName(unknown_member(store.spark, dim, batch.batch_ts))
     written = store.write_dim(dim, batch.batch_id, rows)
     return _DimLoad(dim, written, count), seconds_between(begin, utc_now())

@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from salesmart.functions.numeric import mean_pct, money_div, pct2
 from salesmart.functions.text import fold
-from salesmart.operators.ordering import ONE_TASK_ROWS, rank_descending, running_total
+from salesmart.operators.ordering import rank_descending, with_running_total
 from salesmart.schema import MONEY_SUM, PERCENT, UNKNOWN_SK, VARIATION
+from salesmart.session import scratch_path, stage
 from salesmart.store import Star
 
 # The Pareto classes and the truncated cumulative shares up to which they reach.
@@ -84,7 +85,7 @@ def top_products(star: Star, n: int = 10) -> DataFrame:
 def category_share(star: Star) -> DataFrame:
     joined = star.fact.join(star.product.select("product_sk", "category_name"), "product_sk")
     sums = joined.groupBy("category_name").agg(_orders(), _units(), _sales())
-    shared = _with_total(sums, "sales", _fits_one_task(star, "dim_product"))
+    shared = _with_total(_staged(sums), "sales")
     return (
         shared.withColumn("pct", pct2(F.col("sales"), F.col("total_sales")))
         .drop("total_sales")
@@ -96,11 +97,7 @@ def employee_rank(star: Star) -> DataFrame:
     attrs = ["full_name", "title", "supervisor_name"]
     joined = star.fact.join(star.employee.select("employee_sk", *attrs), "employee_sk")
     sums = joined.groupBy(*attrs).agg(_orders(), _sales())
-    if _fits_one_task(star, "dim_employee"):
-        by_sales = Window.orderBy(F.desc("sales"))
-        ranked = sums.withColumn("ranking", F.rank().over(by_sales).cast("int"))
-    else:
-        ranked = rank_descending(sums, "sales", "ranking")
+    ranked = rank_descending(_staged(sums), "sales", "ranking")
     return ranked.select(*attrs, "orders", "sales", "ranking").orderBy("ranking", "full_name")
 
 
@@ -220,20 +217,23 @@ def _pareto(running: DataFrame) -> DataFrame:
     ).orderBy(F.desc("sales"), "product_name")
 
 
-def pareto_scalable(star: Star) -> DataFrame:
-    """Pareto classes with a running total that no single task computes."""
-    sums = product_sales(star)
-    running = running_total(sums, "sales", {"cum_sales": F.sum("sales")})
-    return _pareto(_with_total(sums.join(running, "sales"), "sales", one_task=False))
+def pareto_abc(star: Star) -> DataFrame:
+    """Products by sales with their cumulative share; equal sales share one cumulative share.
+
+    The fact is read once: sums per product are staged, the running total that no single task
+    computes and the total start from there.
+    """
+    sums = _staged(product_sales(star))
+    running = with_running_total(sums, "sales", {"cum_sales": F.sum("sales")})
+    total = sums.agg(F.sum("sales").cast(MONEY_SUM)).scalar()
+    cumulative = running.withColumns(
+        {"cum_sales": F.col("cum_sales").cast(MONEY_SUM), "total_sales": total}
+    )
+    return _pareto(cumulative)
 
 
-def pareto_abc(star: Star) -> DataFrame:
-    """Products by sales with their cumulative share; equal sales share one cumulative share."""
-    if not _fits_one_task(star, "dim_product"):
-        return pareto_scalable(star)
-    sums = _with_total(product_sales(star), "sales", one_task=True)
-    by_sales = Window.orderBy(F.desc("sales"))  # the default frame takes ties together
-    return _pareto(sums.withColumn("cum_sales", F.sum("sales").over(by_sales).cast(MONEY_SUM)))
+#: The same report under the name it had beside a form for small stars.
+pareto_scalable = pareto_abc
 
 
 def supplier_performance(star: Star) -> DataFrame:
@@ -278,18 +278,15 @@ def executive_summary(star: Star) -> DataFrame:
     )
 
 
-def _with_total(sums: DataFrame, column: str, one_task: bool) -> DataFrame:
-    """Add the total of a column; in a window when the rows are few, else as a subquery."""
-    total = F.sum(column)
-    if one_task:
-        total = total.over(Window.partitionBy())
-        return sums.withColumn(f"total_{column}", total.cast(MONEY_SUM))
-    return sums.withColumn(f"total_{column}", sums.agg(total.cast(MONEY_SUM)).scalar())
+def _with_total(sums: DataFrame, column: str) -> DataFrame:
+    """Add the total of a column of staged sums."""
+    total = sums.agg(F.sum(column).cast(MONEY_SUM)).scalar()
+    return sums.withColumn(f"total_{column}", total)
 
 
-def _fits_one_task(star: Star, dim: str) -> bool:
-    """Whether one task may sort as many rows as the dimension has at most."""
-    return star.members_at_most[dim] <= ONE_TASK_ROWS
+def _staged(sums: DataFrame) -> DataFrame:
+    """Sums that a report needs twice, written once: the fact is not read again."""
+    return stage(sums, scratch_path(sums.sparkSession, "sums"))
 
 
 REPORTS = {

@@ -81,6 +81,7 @@ SOURCES: dict[str, T.StructType] = {
     "order_details": _struct(
         ("order_id", _L),
         ("product_id", _L),
+        ("line_no", _I),
         ("unit_price", MONEY),
         ("quantity", _I),
         ("discount", FRACTION),
@@ -173,6 +174,7 @@ FACT = _struct(
     ("shipper_sk", _L, True),
     ("order_id", _L, True),
     ("product_id", _L),
+    ("line_no", _I),
     ("unit_price", MONEY, True),
     ("quantity", _I, True),
     ("discount", FRACTION, True),
@@ -185,6 +187,7 @@ FACT = _struct(
 POSITION_KEYS = (
     "order_id",
     "product_id",
+    "line_no",
     "product_sk",
     "customer_sk",
     "employee_sk",
@@ -198,6 +201,7 @@ MEASURES = ("quantity", "sale_amount", "freight_alloc")
 POSITION = _struct(
     ("order_id", _L),
     ("product_id", _L),
+    ("line_no", _I),
     ("product_sk", _L),
     ("customer_sk", _L),
     ("employee_sk", _L),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from salesmart.functions.numeric import money, money_div
@@ -15,20 +15,21 @@ def _text() -> F.Column:
 
 
 def order_details(raw_lines: DataFrame) -> DataFrame:
-    """One row per (order, product): the first line in a total order of its attributes.
-
-    The smallest struct is a plain aggregate, so repeated lines are folded before the shuffle
-    however many copies one pair has.
-    """
+    """Every source line. Lines of one order and product are numbered in a total order of their
+    attributes, so that each keeps its number however the table is read."""
     rank = ("l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount")
-    first = raw_lines.groupBy("l_orderkey", "l_partkey").agg(F.min(F.struct(*rank)).alias("f"))
-    quantity = F.col("f.l_quantity").cast("int")
-    return first.select(
+    pair = Window.partitionBy("l_orderkey", "l_partkey").orderBy(*rank)
+    whole = F.col("l_quantity").cast("int")
+    quantity = F.when(F.col("l_quantity") == whole, whole).otherwise(
+        F.raise_error(F.lit("a quantity is not a whole number"))
+    )
+    return raw_lines.select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
-        money_div(F.col("f.l_extendedprice").cast(MONEY), quantity).alias("unit_price"),
+        F.row_number().over(pair).alias("line_no"),
+        money_div(F.col("l_extendedprice").cast(MONEY), quantity).alias("unit_price"),
         quantity.alias("quantity"),
-        F.col("f.l_discount").cast(FRACTION).alias("discount"),
+        F.col("l_discount").cast(FRACTION).alias("discount"),
         F.lit(1).cast("long").alias("row_version"),
     )
 
@@ -94,10 +95,11 @@ def read_retail(spark: SparkSession, sf_dir: str) -> Sources:
         .alias("reports_to"),
         version,
     )
-    priority = F.col("o_orderpriority")
+    priority = F.col("o_orderpriority")  # a number, a dash and a name
+    number = F.split_part(priority, F.lit("-"), F.lit(1))
     shippers = table("orders").select(priority).distinct().select(
-        priority.substr(1, 1).cast("long").alias("shipper_id"),
-        F.substring(priority, 3, 100).alias("company_name"),
+        number.cast("long").alias("shipper_id"),
+        F.regexp_extract(priority, r"(?s)^[^-]*-(.*)$", 1).alias("company_name"),
         _text().alias("phone"),
         version,
     )
@@ -107,7 +109,7 @@ def read_retail(spark: SparkSession, sf_dir: str) -> Sources:
         F.col("o_custkey").alias("customer_id"),
         (F.col("o_orderkey") % employee_count).alias("employee_id"),
         F.col("o_orderdate").cast("timestamp").alias("order_date"),
-        priority.substr(1, 1).cast("long").alias("ship_via"),
+        number.cast("long").alias("ship_via"),
         money(F.col("o_totalprice")).alias("freight"),
         version,
     )

@@ -34,13 +34,20 @@ class Sources:
 
 
 def read_parquet(spark: SparkSession, root: str) -> Sources:
-    """`root/<table>` holds each table as Parquet; the declared schema is imposed on it."""
-    return Sources(
-        **{
-            name: spark.read.schema(schema).parquet(f"{root}/{name}")
-            for name, schema in SOURCES.items()
-        }
-    )
+    """`root/<table>` holds each table as Parquet; the declared schema is imposed on it.
+
+    Lines without a number are the only one of their order and product.
+    """
+    tables = {
+        name: spark.read.schema(schema).parquet(f"{root}/{name}")
+        for name, schema in SOURCES.items()
+    }
+    tables["order_details"] = _numbered(tables["order_details"])
+    return Sources(**tables)
+
+
+def _numbered(lines: DataFrame) -> DataFrame:
+    return lines.withColumn("line_no", F.coalesce("line_no", F.lit(1)))
 
 
 def write_parquet(sources: Sources, root: str) -> None:
@@ -71,6 +78,8 @@ def read_jdbc(
                 partitionColumn=column, lowerBound=lower, upperBound=upper, numPartitions=parts
             )
         raw = reader.load()
+        if name == "order_details" and "line_no" not in raw.columns:
+            raw = raw.withColumn("line_no", F.lit(1))
         tables[name] = raw.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
     return Sources(**tables)
 

@@ -109,7 +109,6 @@ class Star:
     employee: DataFrame
     shipper: DataFrame
     date: DataFrame
-    members_at_most: dict[str, int]  # per dimension: a bound on its rows, known without a job
 
     def dim(self, name: str) -> DataFrame:
         return getattr(self, name.removeprefix("dim_"))
@@ -184,7 +183,6 @@ class Snapshot:
             employee=self.dim("dim_employee"),
             shipper=self.dim("dim_shipper"),
             date=self.dim_date(),
-            members_at_most=dict(self.last.next_sk),
         )
 
     def register_views(self) -> None:
@@ -209,8 +207,13 @@ class Store:
         batch_ts: datetime,
         dim_date: DataFrame | None = None,
     ) -> Store:
-        """An empty star: the calendar, the unknown members, and all marks at version 0."""
+        """An empty star: the calendar, the unknown members, and all marks at version 0.
+
+        A star that is there already is not touched.
+        """
         store = cls(spark, root)
+        if store.batches():
+            raise FileExistsError(f"there is a star at {store.root}")
         if dim_date is None:
             dim_date = build_calendar(spark, DEFAULT_START, DEFAULT_END)
         dim_date.write.mode("overwrite").parquet(f"{store.root}/dim_date")

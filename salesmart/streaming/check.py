@@ -13,7 +13,7 @@ from salesmart.workspace import Workspace, batch_time
 
 
 def write_notices(workspace: Workspace, number: int, path: str) -> None:
-    """The changed order lines of one source state, as one file of notices."""
+    """The changed order lines of one source state, as notices."""
     sources = workspace.states.state(number)
     changed = changed_since(sources.order_details, number - 1)
     notices = changed.select(
@@ -21,14 +21,14 @@ def write_notices(workspace: Workspace, number: int, path: str) -> None:
         F.col("order_id").alias("key"),
         F.col("row_version").alias("row_version"),
     ).select(*CHANGE_NOTICE.fieldNames())
-    notices.coalesce(1).write.mode("append").parquet(path)
+    notices.write.mode("append").parquet(path)
 
 
 def stream_and_batch_ledgers(workspace: Workspace) -> DataFrame:
     """Rows and sums of the ledger per batch and kind of entry, streamed and by batch calls."""
     spark, batched = workspace.spark, workspace.incremental
-    streamed = workspace.new_store("streamed")
     folder = scratch_path(spark, "stream")
+    streamed = workspace.new_store(f"streamed-{folder[-12:]}")
     for epoch in range(2):
         write_notices(workspace, epoch + 1, f"{folder}/notices")
         query = start_incremental_stream(

@@ -19,6 +19,12 @@ DEFAULTS = {
 }
 
 
+def _numbered(name):
+    """Lines may leave out their number: they are the only one of their product."""
+    width = len(SOURCES[name].fields)
+    return lambda row: row if len(row) == width else (*row[:2], 1, *row[2:])
+
+
 def sources(spark, **tables) -> Sources:
     """Tables as lists of tuples, money as text; what is not given is the default."""
     frames = {}
@@ -28,7 +34,7 @@ def sources(spark, **tables) -> Sources:
                 Decimal(v) if v is not None and f.dataType.typeName() == "decimal" else v
                 for v, f in zip(row, schema.fields)
             )
-            for row in tables.get(name, DEFAULTS[name])
+            for row in map(_numbered(name), tables.get(name, DEFAULTS[name]))
         ]
         frames[name] = spark.createDataFrame(rows, schema)
     return Sources(**frames).checked()

@@ -249,12 +249,12 @@ def test_options(spark, root):
     ]
 
 
-def test_full_refresh_drops_unmatched_and_logs(spark, root):
+def test_full_refresh_leaves_out_unmatched_and_logs(spark, root):
     store = Store.create(spark, root, at(1))
     source = micro.sources(spark, **FIRST)
     run_full_refresh(spark, source, store, at(2), ratio_mode="money")
     assert [e[:2] for e in entries(store)] == [(1, 1), (1, 2), (2, 1), (3, 1), (5, 1)]
-    assert store.at().dim("dim_product").count() == 2  # no unknown member after a full refresh
+    assert store.at().dim("dim_product").filter("product_sk = -1").count() == 1
     again = micro.sources(spark)
     run_full_refresh(spark, again, store, at(3))
     assert [e[:2] for e in entries(store)] == [(1, 1)]
@@ -263,6 +263,55 @@ def test_full_refresh_drops_unmatched_and_logs(spark, root):
     assert steps[0] == "FIN_ETL" and len(steps) == 14
 
 
+def test_refresh_then_incremental_books_what_was_left_out(spark, root):
+    """Lines without a member wait through a full refresh; the next load books them."""
+    store = Store.create(spark, root, at(1))
+    late = micro.sources(spark, orders=[(1, 77, 1, JULY, 1, "10", 1)])
+    run_full_refresh(spark, late, store, at(2))
+    assert entries(store) == []
+    assert "1 lines wait" in store.log_history().filter("step = 'fact_sales'").first().message
+    changed = micro.sources(
+        spark, orders=[(1, 77, 1, JULY, 1, "10", 1)], customers=[
+            (1, "Ann Ltd", None, None, None, None, "USA", None, 1),
+            (77, "Bo Ltd", None, None, None, None, "USA", None, 2),
+        ],
+        order_details=[(1, 1, "5", 2, "0", 2)],
+    )
+    run_incremental(spark, changed, store, at(3))
+    assert [e[:4] for e in entries(store)] == [(1, 1, TX_ORIGINAL, 2)]
+    star = store.at().star()
+    orphans = star.fact.join(star.customer, "customer_sk", "left_anti")
+    assert orphans.count() == 0
+    assert star.customer.filter("customer_sk = -1").count() == 1
+
+
+def test_a_line_whose_day_leaves_the_calendar_is_taken_back(spark, root):
+    store = Store.create(spark, root, at(1))
+    run_incremental(spark, micro.sources(spark), store, at(2))
+    moved = micro.sources(spark, orders=[(1, 1, 1, datetime(2005, 1, 1), 1, "10", 2)])
+    run_incremental(spark, moved, store, at(3))
+    assert [e[:4] for e in entries(store, 2)] == [(1, 1, TX_REVERSAL, -2)]
+    assert store.at().quarantine().count() == 1
+    back = micro.sources(spark, orders=[(1, 1, 1, JULY, 1, "10", 3)])
+    run_incremental(spark, back, store, at(4))
+    assert [e[:4] for e in entries(store, 3)] == [(1, 1, TX_ORIGINAL, 2)]
+
+
+def test_two_lines_of_one_product_are_two_lines(spark, root):
+    store = Store.create(spark, root, at(1))
+    both = [(1, 1, 1, "5", 2, "0", 1), (1, 1, 2, "5", 3, "0", 1)]
+    run_incremental(spark, micro.sources(spark, order_details=both), store, at(2))
+    run_incremental(spark, micro.sources(spark, order_details=both[:1]), store, at(3))
+    assert [e[2:4] for e in entries(store, 1)] == [(TX_ORIGINAL, 2), (TX_ORIGINAL, 3)]
+    assert [e[2:4] for e in entries(store, 2)] == [(TX_DELETION, -3)]
+
+
+def test_a_star_is_not_created_twice(spark, root):
+    Store.create(spark, root, at(1))
+    with pytest.raises(FileExistsError):
+        Store.create(spark, root, at(2))
+
+
 def test_error_is_logged_and_raised(spark, root, monkeypatch):
     store = Store.create(spark, root, at(1))
 

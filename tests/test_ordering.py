@@ -20,18 +20,22 @@ def values(spark):
                   for _ in range(800)]
 
 
-def test_dense_ids_by_range(spark, monkeypatch):
-    monkeypatch.setattr(ordering, "ONE_TASK_ROWS", 10)
+def test_dense_ids(spark):
     keys = random.Random(1).sample(range(10**9), 1000)
     df = spark.createDataFrame([(k,) for k in keys], "k long").repartition(5)
     rows = ordering.dense_ids(df, "k", "id", start=11).collect()
     assert {r.k: r.id for r in rows} == {k: i for i, k in enumerate(sorted(keys), 11)}
 
 
-def test_dense_ids_in_one_task(spark):
-    df = spark.createDataFrame([(30,), (10,), (20,)], "k long")
+@pytest.mark.parametrize(
+    "keys, kind", [([30, 10, None, 20], "long"), (["b", None, "a10", "a9"], "string")]
+)
+def test_dense_ids_of_any_type(spark, keys, kind):
+    df = spark.createDataFrame([(k,) for k in keys], f"k {kind}")
     rows = ordering.dense_ids(df, "k", "id", start=5).collect()
-    assert {r.k: r.id for r in rows} == {10: 5, 20: 6, 30: 7}
+    ordered = sorted(keys, key=lambda k: (k is not None, k))
+    assert {r.k: r.id for r in rows} == {k: i for i, k in enumerate(ordered, 5)}
+    assert not ordering.dense_ids(df.filter("false"), "k", "id").collect()
 
 
 def test_ids_in_stored_order(spark, root):
@@ -57,6 +61,14 @@ def test_running_total(spark, values, descending):
     assert got == want
 
 
+def test_null_values_keep_their_rows(spark):
+    df = spark.createDataFrame([(1, 5), (2, None), (3, 7), (4, None), (5, 5)], "i int, v int")
+    ranks = {r.i: r.r for r in ordering.rank_descending(df, "v", "r").collect()}
+    assert ranks == {3: 1, 1: 2, 5: 2, 2: 4, 4: 4}
+    upto = ordering.with_running_total(df, "v", {"n": F.count("i")}).collect()
+    assert {r.i: r.n for r in upto} == {3: 1, 1: 3, 5: 3, 2: 5, 4: 5}
+
+
 def test_rank(spark, values):
     df = spark.createDataFrame(list(enumerate(values)), "i int, v decimal(19,4)")
     got = {r.i: r.r for r in ordering.rank_descending(df, "v", "r").collect()}

@@ -44,7 +44,6 @@ def star(spark, facts, products=(), customers=()):
         employee=frame([{"employee_sk": 1, **scd}], DIMS["dim_employee"]),
         shipper=frame([{"shipper_sk": 1, **scd}], DIMS["dim_shipper"]),
         date=build_calendar(spark),
-        members_at_most={dim: 10 for dim in DIMS},
     )
 
 
@@ -80,12 +79,9 @@ def test_countries_can_be_grouped_without_case(spark):
     ]
 
 
-def test_rank_without_one_task(spark, monkeypatch):
+def test_rank_of_one(spark):
     facts = [(1, 1, 19960101, 1, 1, "10")]
-    data = star(spark, facts)
-    near = reports.employee_rank(data).collect()
-    monkeypatch.setattr(reports, "ONE_TASK_ROWS", 0)
-    assert reports.employee_rank(data).collect() == near
+    assert [r.ranking for r in reports.employee_rank(star(spark, facts)).collect()] == [1]
     assert reports.category_share(star(spark, facts, products=[(1, "a")])).first().pct == 100
 
 
@@ -123,10 +119,7 @@ def test_no_plan_pairs_all_rows_or_leaves_the_jvm(plans):
 
 def test_single_tasks_only_see_aggregated_rows(plans):
     """Under an exchange to one task there is an aggregate, unless a limit took the rows."""
-    allowed = {"surrogate_keys"}  # its row count was checked to fit one task
     for name, plan in plans.items():
-        if name in allowed:
-            continue
         lines = plan.splitlines()
         for i, line in enumerate(lines):
             if "Exchange SinglePartition" in line:
