@@ -20,13 +20,17 @@ def shingles(words):
 
 
 def best_by_hand(text, item):
-    """Greatest weighted similarity over all windows of the item's length."""
+    """Greatest weighted similarity over the windows that a common shingle aligns."""
     words, target = (text or "").lower().split(), item.lower().split()
-    want, best = shingles(target), 0.0
-    for start in range(1 - len(target), len(words)):
-        have = shingles(words[max(0, start) : start + len(target)])
-        all_ = sum(map(weight, have | want))
-        best = max(best, sum(map(weight, have & want)) / all_ if all_ else 0.0)
+    want, best, n = shingles(target), 0.0, min(5, len(target))
+    place = {}
+    for j in range(len(target) - n, -1, -1):
+        place[tuple(target[j : j + n])] = j
+    for p in range(len(words) - n + 1):
+        if (j := place.get(tuple(words[p : p + n]))) is not None:
+            have = shingles(words[max(0, p - j) : p - j + len(target)])
+            all_ = sum(map(weight, have | want))
+            best = max(best, sum(map(weight, have & want)) / all_)
     return best
 
 

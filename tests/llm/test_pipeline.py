@@ -29,11 +29,7 @@ def test_stages_do_what_they_say(spark, small, root):
 
     bench = [r.text for r in spark.read.parquet(f"{small}/benchmark.parquet").collect()]
     for r in rows["near_dedup"]:
-        held = any(
-            best_by_hand(r.text, b) >= 0.75
-            for b in bench if set(b.lower().split()) & set(r.text.lower().split())
-            and len(set(b.lower().split()) & set(r.text.lower().split())) * 2 > len(set(b.lower().split()))
-        )
+        held = any(best_by_hand(r.text, b) >= 0.75 for b in bench)
         assert held != any(x.doc_id == r.doc_id for x in rows["decontamination"])
 
     clean = {r.doc_id for r in rows["decontamination"]}
