@@ -36,8 +36,8 @@ from salesmart.llm.common import (
 COORDINATES = 64
 #: A pair just similar enough has fewer common coordinates than asked for with this chance.
 MISS = 1e-6
-#: Documents of a posting list that are compared at once.
-BLOCK = 256
+#: Documents of a group that are compared at once with as many others.
+BLOCK = 512
 
 
 def least_matches(coordinates: int, percent: int, miss: float = MISS) -> int:
@@ -155,81 +155,88 @@ def _count_matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         )
 
 
-_BLOCK_TYPE = "a long, b long"
+_PAIR_TYPE = "a long, b long"
 
 
-def _compare_blocks(least: int):
-    """All pairs of two blocks of one list, of different components and with matches enough."""
-
-    def compare(rows):
-        import pandas as pd
-
-        left, right = rows[rows["side"] != 1], rows[rows["side"] != 0]
-        bits = lambda part: np.frombuffer(
-            b"".join(part["signature"]), np.uint8
-        ).reshape(-1, COORDINATES)
-        found, other = [], bits(right)
-        ids, parts = right["id"].to_numpy(), right["component"].to_numpy()
-        for id_, part, own in zip(left["id"], left["component"], bits(left), strict=True):
-            near = ((other == own).sum(axis=1) >= least) & (parts != part)
-            found.extend((min(id_, x), max(id_, x)) for x in ids[near])
-        return pd.DataFrame(sorted(set(found)), columns=["a", "b"], dtype="int64")
-
-    return compare
-
-
-class _Links:
-    """Candidates in, confirmed components out."""
-
-    def __init__(self, docs: DataFrame, nodes: DataFrame, scratch: Scratch):
-        self.docs, self.nodes, self.scratch = docs, nodes, scratch
-        self.edges: DataFrame | None = None
-        self.asked: DataFrame | None = None
-        self.labels: DataFrame | None = None
-
-    def confirm(self, pairs: DataFrame) -> None:
-        """Hold new pairs (a, b) against the full sets; extend edges and components."""
-        fresh = pairs.select("a", "b").distinct()
-        if self.asked is not None:
-            fresh = fresh.join(self.asked, ["a", "b"], "left_anti")
-        fresh, _ = self.scratch.staged(fresh)
-        if fresh.isEmpty():
-            return
-        wanted = sieve(fresh.select(F.explode(F.array("a", "b")).alias("id")), "id")
-        sets, path = self.scratch.staged(
-            self.docs.select("doc_id", "text", sieve_slot("doc_id"))
-            .mapInArrow(_sets(wanted), _SET_TYPE)
-        )
-        sized = fresh.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
-        edges = self.scratch.stage(
-            sized.select("a", "b", "set_a", "set_b").mapInArrow(confirm_pairs, _BLOCK_TYPE).distinct()
-        )
-        self.scratch.drop(path)
-        self.asked = fresh if self.asked is None else self.asked.union(fresh)
-        self.edges = edges if self.edges is None else self.edges.union(edges)
-        self.labels = self.scratch.stage(graph.components(self.edges, self.scratch))
-
-    def component(self, rows: DataFrame, id_: str = "id", name: str = "component") -> DataFrame:
-        """Add the component of `id_`: its own number where nothing is linked with it."""
-        if self.labels is None:
-            return rows.withColumn(name, F.col(id_))
-        labels = self.labels.toDF("__id", "__component")
-        return (
-            rows.join(labels, F.col(id_) == F.col("__id"), "left")
-            .withColumn(name, F.coalesce("__component", id_))
-            .drop("__id", "__component")
+def common_shingles(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of every left with every right set, by products of matrices."""
+    sizes = [len(x) for x in (*left, *right)]
+    _, column, times = np.unique(
+        np.concatenate((*left, *right)), return_inverse=True, return_counts=True
+    )
+    shared = times > 1  # what one set has alone is in no intersection
+    place = np.cumsum(shared) - 1
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    kept = shared[column]
+    row, column = row[kept], place[column[kept]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    total = np.zeros((len(left), len(right)), np.float32)
+    for low in range(0, int(shared.sum()), 4096):
+        start, stop = np.searchsorted(column, (low, low + 4096))
+        part = np.zeros((len(sizes), 4096), np.float32)
+        part[row[start:stop], column[start:stop] - low] = 1
+        total += part[: len(left)] @ part[len(left) :].T
+    return total
+
+
+def _join_blocks(rows):
+    """Links between different components in two blocks of one group: enough of them to join
+    what belongs together, not every pair."""
+    import pandas as pd
+
+    left, right = rows[rows["side"] != 1], rows[rows["side"] != 0]
+    sets = [[np.frombuffer(x, np.uint64) for x in part["shingles"]] for part in (left, right)]
+    found = []
+    if len(left) and len(right):
+        n, m = (np.array([len(x) for x in part], np.float32) for part in sets)
+        both = common_shingles(*sets)
+        near = 100 * both >= SIMILARITY_PERCENT * (n[:, None] + m[None, :] - both)
+        a, b = left["id"].to_numpy(), right["id"].to_numpy()
+        x, y = left["component"].to_numpy(), right["component"].to_numpy()
+        near &= x[:, None] != y[None, :]
+        over: dict[int, int] = {}
+
+        def top(c: int) -> int:
+            while c in over:
+                c = over[c]
+            return c
+
+        for i, j in np.argwhere(near):
+            p, q = top(x[i]), top(y[j])
+            if p != q:
+                over[max(p, q)] = min(p, q)
+                found.append((min(a[i], b[j]), max(a[i], b[j])))
+    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+
+def link_in_blocks(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) that join different components of one group, found on full sets.
+
+    members: id, component, group; sets: id, shingles. A group is cut into blocks by hash, and each
+    pair of blocks is one task's input, so that no task holds a group.
+    """
+    counted = members.groupBy("group").agg(
+        F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"),
+        F.min("component").alias("x"), F.max("component").alias("y"),
+    ).filter("x <> y").select("group", "blocks")
+    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    rows = (
+        members.join(counted, "group").withColumn("block", block).join(sets, "id")
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select(
+            "group", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+            "id", "component", "shingles",
+            F.when(F.col("block") < F.col("other"), 0).when(F.col("block") > F.col("other"), 1)
+            .otherwise(2).alias("side"),
         )
-
-    def apart(self, pairs: DataFrame) -> DataFrame:
-        """The pairs whose sides lie in different components."""
-        pairs = self.component(self.component(pairs, "a", "__ca"), "b", "__cb")
-        return pairs.filter("__ca <> __cb").drop("__ca", "__cb")
+    )
+    return rows.groupBy("group", "i", "j").applyInPandas(_join_blocks, _PAIR_TYPE)
 
 
-def _link(docs: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFrame | None:
+def _link(docs: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFrame:
     """(id, component) of all documents that have a link. nodes: id, signature, postings."""
     least = least_matches(COORDINATES, SIMILARITY_PERCENT)
-    links = _Links(docs, nodes, scratch)
     posted = nodes.select("id", F.explode("postings").alias("key"))
     # Round one: each list of two or more is a star. Its centre differs from list to list, and
     # is found by a partial minimum, however long the list.
@@ -241,6 +248,12 @@ def _link(docs: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFrame | No
         .select("key", "n", F.col("m").bitwiseXOR(mask).alias("centre"))
     )
     shared, shared_path = scratch.staged(posted.join(lists, "key"))
+    # Who shares too few lists can have no partner; the others' sets are computed once.
+    able = shared.groupBy("id").agg(F.count(F.lit(1)).alias("lists")).filter(f"lists >= {least}")
+    sets, sets_path = scratch.staged(
+        docs.select("doc_id", "text", sieve_slot("doc_id"))
+        .mapInArrow(_sets(sieve(able, "id")), _SET_TYPE)
+    )
     bits = nodes.select("id", "signature")
     stars = (
         shared.filter("id <> centre")
@@ -252,14 +265,34 @@ def _link(docs: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFrame | No
         .mapInArrow(_count_matches, "a long, b long, matches int")
         .filter(F.col("matches") >= least)
     )
-    stars = scratch.stage(stars)
+    stars, stars_path = scratch.staged(stars)
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        sized = pairs.select("a", "b").distinct()
+        sized = sized.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
+        return sized.select("a", "b", "set_a", "set_b").mapInArrow(confirm_pairs, _PAIR_TYPE)
+
+    def component(rows: DataFrame, id_: str, name: str) -> DataFrame:
+        """Add the component of `id_`: its own number where nothing is linked with it."""
+        known = labels.toDF("__id", "__component")
+        return (
+            rows.join(known, F.col(id_) == F.col("__id"), "left")
+            .withColumn(name, F.coalesce("__component", id_)).drop("__id", "__component")
+        )
+
+    def merged(links: DataFrame) -> DataFrame:
+        """Components with further links; those so far are stars."""
+        star = labels.filter("component < id").select("component", "id").toDF("a", "b")
+        return scratch.stage(graph.components(star.union(links), scratch))
+
     # a document's most promising star edge first; what these join needs no other
     best = stars.select(F.explode(F.array("a", "b")).alias("id"), "a", "b", "matches")
     best = best.groupBy("id").agg(F.max_by(F.struct("a", "b"), "matches").alias("e"))
-    links.confirm(best.select("e.a", "e.b"))
-    links.confirm(links.apart(stars))
+    labels = scratch.stage(graph.components(confirmed(best.select("e.a", "e.b")), scratch))
+    apart = component(component(stars, "a", "x"), "b", "y").filter("x <> y")
+    labels = merged(confirmed(apart))
     # Round two: lists that still hold different components, documents with enough such lists.
-    rest = links.component(shared.select("id", "key", "n"))
+    rest = component(shared.select("id", "key", "n"), "id", "component")
     for _ in range(2):
         rest = rest.select("id", "key", "n", "component")
         mixed = rest.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
@@ -269,28 +302,18 @@ def _link(docs: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFrame | No
     by_length = Window.partitionBy("id").orderBy("n", "key")
     prefix = (
         rest.withColumn("place", F.row_number().over(by_length))
-        .filter(f"place <= lists - {least - 1}")
-        .select("id", "key", "component")
+        .filter(f"place <= lists - {least - 1}").select("id", "key", "component")
     )
-    sizes = prefix.groupBy("key").agg(
-        F.count(F.lit(1)).alias("size"),
-        F.min("component").alias("x"), F.max("component").alias("y"),
-    ).filter("x <> y").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    prefix = prefix.join(sizes, "key").join(bits, "id")
-    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    rows = prefix.withColumn("block", block).select(
-        "key", "id", "component", "signature", "block",
-        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"),
-    ).select(
-        "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-        "id", "component", "signature",
-        F.when(F.col("block") < F.col("other"), 0).when(F.col("block") > F.col("other"), 1)
-        .otherwise(2).alias("side"),
-    )
-    across = rows.groupBy("key", "i", "j").applyInPandas(_compare_blocks(least), _BLOCK_TYPE)
-    links.confirm(across)
-    scratch.drop(shared_path)
-    return links.labels
+    prefix = scratch.stage(prefix)
+    first = prefix.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("z")).filter("a < z")
+    chained = prefix.join(first, "key").filter("id <> a").select("a", F.col("id").alias("b"))
+    # Documents that prefixes chain together are compared block with block, on their full sets.
+    groups = scratch.stage(graph.components(chained, scratch)).toDF("id", "group")
+    members = prefix.select("id", "component").distinct().join(groups, "id")
+    across = link_in_blocks(members, sets)
+    labels = merged(across)
+    scratch.drop(shared_path, sets_path, stars_path)
+    return labels
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -323,18 +346,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         .dropDuplicates(["id", "digest"])
         .drop("digest")
     )
-    labels = _link(docs.filter("doc_id is not null"), nodes, scratch)
-    rows = signed.select("doc_id", "digest", "n_shingles")
-    rows = rows.join(texts, "digest", "left")
-    if labels is not None:
-        labels = labels.toDF("__id", "__component")
-        rows = rows.join(labels, F.col("id") == F.col("__id"), "left")
-        rows = rows.withColumn("component_id", F.coalesce("__component", "id", "doc_id"))
-    else:
-        rows = rows.withColumn("component_id", F.coalesce("id", "doc_id"))
-    rows = rows.withColumn(
-        "component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id"))
-    )
+    labels = _link(docs.filter("doc_id is not null"), nodes, scratch).toDF("__id", "__component")
+    rows = signed.select("doc_id", "digest", "n_shingles").join(texts, "digest", "left")
+    rows = rows.join(labels, F.col("id") == F.col("__id"), "left")
+    component = F.coalesce("__component", "id", "doc_id")
+    rows = rows.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), component))
     result = scratch.stage(rows.select(
         "doc_id", "n_shingles", "component_id",
         F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"),

@@ -57,7 +57,7 @@ def assign_shards(
     files = placed.groupBy("__file").agg(
         F.sum(own).alias("__bytes"), F.count(F.lit(1)).alias("__rows")
     )
-    earlier = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.orderBy(F.length("__file"), "__file").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy()
     files = files.select(
         "__file",
