@@ -170,16 +170,16 @@ def drop_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text"
     columns named `n_lines` or `n_removed` are replaced.
     """
     docs = docs.drop(*[c for c in ("n_lines", "n_removed") if c not in (key, text)])
-    removed = repeated_lines(docs, key, text).withColumnRenamed("row", "__row")
+    removed = repeated_lines(docs, key, text).toDF("__row", "__lines")
     joined = docs.withColumn("__own", row_hash(key, text)).join(
         removed, F.col("__own") == F.col("__row"), "left"
     )
     kept = F.filter(
-        _lines(text), lambda line, i: ~F.coalesce(F.array_contains("lines", i), F.lit(False))
+        _lines(text), lambda line, i: ~F.coalesce(F.array_contains("__lines", i), F.lit(False))
     )
-    clean = F.when(F.col("lines").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
+    clean = F.when(F.col("__lines").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
     return joined.withColumns({
         "n_lines": F.size(_lines(text)),
-        "n_removed": F.coalesce(F.size("lines"), F.lit(0)),
+        "n_removed": F.when(F.col("__lines").isNull(), 0).otherwise(F.size("__lines")),
         text: clean,
-    }).drop("__own", "__row", "lines")
+    }).drop("__own", "__row", "__lines")

@@ -12,7 +12,7 @@ def test_features_of_a_text():
     names = toxicity.FEATURES
     got = dict(zip(names, toxicity.describe("You IDIOT! a cl0wn, and idiots.", hits), strict=True))
     assert got["hits"] == 2 and got["distinct_hits"] == 1
-    assert got["disguised_hits"] == 1 and got["hits_near_second_person"] == 2
+    assert got["disguised_hits"] == 1 and got["hits_near_second_person"] == 1
     assert got["shouted_words"] > 0 and got["exclamations"] > 0
     assert toxicity.describe(None, hits) == toxicity.describe("", hits) == [0.0] * len(names)
 
@@ -40,7 +40,7 @@ def test_held_out_accuracy_with_learned_words(spark, frame):
     model = toxicity.fit_toxicity(docs, known)
     assert any("zorqu".startswith(s) or s.startswith("zorqu") for s in model.stems)
     scored = toxicity.score_toxicity(docs, model)
-    assert scored.columns == docs.columns
+    assert sorted(scored.columns) == sorted(docs.columns)
     out = [r for r in scored.collect() if toxic_fold(r.doc_id) == 1]
     truth = dict(labels)
     right = sum((r.score >= 0.7) == truth[r.doc_id] for r in out)
