@@ -59,16 +59,6 @@ def reversals(balances: DataFrame, tx_type: str) -> DataFrame:
     return balances.withColumns(negated).select(*_ENTRY)
 
 
-def with_balance(fresh: DataFrame, balances: DataFrame) -> DataFrame:
-    """Fresh lines that the ledger holds already: they get a new version."""
-    return fresh.join(balances.select(*LINE), LINE, "left_semi")
-
-
-def without_balance(fresh: DataFrame, balances: DataFrame) -> DataFrame:
-    """Fresh lines that the ledger does not hold: first sales."""
-    return fresh.join(balances.select(*LINE), LINE, "left_anti")
-
-
 def first_entries(fresh: DataFrame) -> DataFrame:
     """Every fresh line as a first sale."""
     return fresh.withColumn("tx_type", F.lit(TX_ORIGINAL)).select(*_ENTRY)

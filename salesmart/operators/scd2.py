@@ -23,9 +23,9 @@ class Scd2Change:
     expired: DataFrame
 
 
-def next_versions(dim_rows: DataFrame, delta: DataFrame, key: str) -> DataFrame:
-    """The version each changed member gets: its highest so far plus one, or 1."""
-    highest = dim_rows.groupBy(key).agg(F.max("version").alias("__top"))
+def next_versions(current: DataFrame, delta: DataFrame, key: str) -> DataFrame:
+    """The version each changed member gets: that of its current row, its highest, plus one; or 1."""
+    highest = current.select(key, F.col("version").alias("__top"))
     version = (F.coalesce(F.col("__top"), F.lit(0)) + 1).cast("int")
     return delta.join(highest, key, "left").withColumn("version", version).drop("__top")
 
@@ -60,12 +60,11 @@ def scd2_apply(
     now = F.lit(batch_ts).cast("timestamp")
     replaced = current.join(delta.select(key), key, "left_semi")
     expired = replaced.withColumns({"valid_to": now, "is_current": F.lit(False)})
-    top = replaced.select(key, F.col("version").alias("__top"))
-    successors = fresh.join(top, key, "left").select(
+    successors = next_versions(replaced, fresh, key).select(
         sk,
         key,
         *attrs,
-        (F.coalesce(F.col("__top"), F.lit(0)) + 1).cast("int").alias("version"),
+        "version",
         now.alias("valid_from"),
         F.lit(None).cast("timestamp").alias("valid_to"),
         F.lit(True).alias("is_current"),

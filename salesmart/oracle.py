@@ -492,8 +492,10 @@ def _queries() -> dict[str, str]:
         "surrogate_keys": """
             select order_id, row_number() over (order by order_id) as order_sk
             from src_orders""",
-        "next_versions": "select product_id, 3 as version from s2_m_product "
-        "where source_version > 1",
+        "next_versions": """
+            select m.product_id, cast(coalesce((select max(d.version) from led_d_product d
+                where d.product_id = m.product_id), 0) + 1 as integer) as version
+            from s2_m_product m where m.source_version > 1""",
         "affected_orders": "select order_id from affected2",
         "order_subtotals": f"""
             select order_id, {_sum("sale_amount")} as subtotal from drawn2 group by 1""",

@@ -14,7 +14,7 @@ from salesmart.operators.ordering import dense_ids
 from salesmart.operators.scd2 import next_versions
 from salesmart.operators.versions import stamp_versions
 from salesmart.plans import kpis, reports
-from salesmart.schema import DIM_ATTRS, DIM_KEYS, DIM_SOURCE, FACT, TX_DELETION, UNKNOWN_SK
+from salesmart.schema import DIM_ATTRS, DIM_KEYS, DIM_SOURCE, FACT, TX_DELETION, TX_ORIGINAL, UNKNOWN_SK
 from salesmart.sources.tables import max_versions
 from salesmart.store import Snapshot
 from salesmart.streaming.check import stream_and_batch_ledgers
@@ -63,7 +63,7 @@ def _readable(rows: DataFrame, dim: str) -> DataFrame:
 
 
 def _next_versions(w: Workspace) -> DataFrame:
-    dim = w.incremental.at(2).dim("dim_product")
+    dim = w.incremental.at(2).current_dim("dim_product")
     delta = _members("dim_product")(w)
     return next_versions(dim, delta, "product_id").select("product_id", "version")
 
@@ -120,9 +120,10 @@ def _existing_balances(w: Workspace) -> DataFrame:
 
 
 def _new_lines(w: Workspace) -> DataFrame:
-    fresh = _fresh(w)
+    fresh = _fact_sk_lookup(w)
     balances = ledger.open_balances(w.incremental.at(1).positions(), fresh)
-    return ledger.without_balance(fresh, balances).select(*ledger.LINE, "quantity")
+    entries = ledger.upsert_entries(fresh, balances).filter(F.col("tx_type") == TX_ORIGINAL)
+    return entries.select(*ledger.LINE, "quantity")
 
 
 def _incremental_ledger(w: Workspace) -> DataFrame:

@@ -312,6 +312,28 @@ def test_a_star_is_not_created_twice(spark, root):
         Store.create(spark, root, at(2))
 
 
+def test_a_timed_stream_finds_deletions_without_a_notice(spark, root):
+    """The line is gone from the source, but no version moved and no notice came."""
+    import time
+
+    from salesmart.streaming.runner import CHANGE_NOTICE, start_incremental_stream
+
+    store = Store.create(spark, f"{root}/star", at(1))
+    both = [(1, 1, "5", 2, "0", 1), (1, 2, "5", 3, "0", 1)]
+    run_incremental(spark, micro.sources(spark, order_details=both), store, at(2))
+    spark.createDataFrame([], CHANGE_NOTICE).write.parquet(f"{root}/notices")
+    left = micro.sources(spark, order_details=both[:1])
+    query = start_incremental_stream(
+        spark, f"{root}/notices", lambda epoch: left, store, f"{root}/checkpoint", "timed",
+        trigger={"processingTime": "1 second"}, timed=True,
+    )
+    until = time.time() + 120
+    while store.at().last.batch_id < 2 and query.isActive and time.time() < until:
+        time.sleep(0.5)
+    query.stop()
+    assert [e[1:4] for e in entries(store, 2)] == [(2, TX_DELETION, -3)]
+
+
 def test_error_is_logged_and_raised(spark, root, monkeypatch):
     store = Store.create(spark, root, at(1))
 
