@@ -54,7 +54,7 @@ class Fit:
     stems: int = 400
     support: int = 3
     #: Log-likelihood ratio that a learned word beginning must reach.
-    evidence: float = 30.0
+    evidence: float = 22.0
     trees: int = 20
     depth: int = 3
     step: float = 0.2
@@ -213,9 +213,9 @@ def fit_toxicity(
     """A model from labelled rows (`labels`: key, toxic 0 or 1).
 
     Labels without key or value are ignored, a key with both values counts as toxic. Near copies of
-    one text count once. A quarter of the rows teaches only the calibration, half only the lexicon, so that trees
-    do not learn from a lexicon that has seen their rows. If the labels lack a class, every text
-    gets the share of toxic labels.
+    one text count once. Three quarters of the rows teach the lexicon, whose words need strong
+    evidence, and the trees; the last quarter only the calibration. If the labels lack a class,
+    every text gets the share of toxic labels.
     """
     scratch = Scratch(docs.sparkSession, "toxicity")
     asked = (
@@ -234,9 +234,13 @@ def fit_toxicity(
         .select("r.*", F.pmod(F.xxhash64("r.doc_id", F.lit(7)), F.lit(4)).alias("fold"))
     )
     rows = scratch.stage(rows)
-    stems = _learn_stems(rows.filter("fold < 2"), fit)
+    stems = _learn_stems(rows.filter("fold < 3"), fit)
     described = scratch.stage(
-        rows.filter("fold >= 2").select("fold", F.col("toxic").cast("double").alias("label"), "text")
+        rows.select(
+            F.when(F.col("fold") < 3, 2).otherwise(3).cast("long").alias("fold"),
+            F.col("toxic").cast("double").alias("label"),
+            "text",
+        )
         .mapInArrow(
             _describe_batches(stems), "fold long, label double, text string, features array<double>"
         )
@@ -254,7 +258,7 @@ def fit_toxicity(
     if not both(2):
         return Model(stems, prior=prior)
     trees = GBTClassifier(
-        maxIter=fit.trees, maxDepth=fit.depth, stepSize=fit.step, minInstancesPerNode=2, seed=42
+        maxIter=fit.trees, maxDepth=fit.depth, stepSize=fit.step, minInstancesPerNode=4, seed=42
     ).fit(described.filter("fold = 2"))
     calibration = None
     if both(3):
