@@ -285,10 +285,9 @@ def _link(docs: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFrame:
         star = labels.filter("component < id").select("component", "id").toDF("a", "b")
         return scratch.stage(graph.components(star.union(links), scratch))
 
-    # a document's most promising star edge first; what these join needs no other
-    best = stars.select(F.explode(F.array("a", "b")).alias("id"), "a", "b", "matches")
-    best = best.groupBy("id").agg(F.max_by(F.struct("a", "b"), "matches").alias("e"))
-    labels = scratch.stage(graph.components(confirmed(best.select("e.a", "e.b")), scratch))
+    # a document's most promising star edge to a lesser id first; what these join needs no other
+    best = stars.groupBy("b").agg(F.max_by("a", "matches").alias("a"))
+    labels = scratch.stage(graph.components(confirmed(best), scratch))
     apart = component(component(stars, "a", "x"), "b", "y").filter("x <> y")
     labels = merged(confirmed(apart))
     # Round two: lists that still hold different components, documents with enough such lists.
