@@ -82,6 +82,52 @@ def test_similar_paragraphs_equal_brute_force(frame):
     assert all(r.first_doc == first[d] for d, r in got.items())
 
 
+def in_earlier(texts, n=25):
+    """For each text the places of words within runs of n words that an earlier text has."""
+    seen, found = set(), []
+    for text in texts:
+        words = text.lower().split()
+        runs = [tuple(words[i : i + n]) for i in range(len(words) - n + 1)]
+        found.append({i + j for i, r in enumerate(runs) if r in seen for j in range(n)})
+        seen.update(runs)
+    return found
+
+
+def test_runs_of_words_are_found_wherever_they_start(frame):
+    """Cut out of sentences of 20 to 30 words and put inside others; verse; joined and split lines."""
+    rng = random.Random(19)
+
+    def sentences(n):
+        return " ".join(text_of(rng, rng.randrange(20, 31)) + "." for _ in range(n))
+
+    texts = []
+    for _ in range(30):
+        source = sentences(6).split()
+        at = rng.randrange(len(source) - 80)
+        passage = source[at : at + rng.randrange(25, 81)]
+        into = sentences(4).split()
+        at = rng.randrange(len(into))
+        texts += [" ".join(source), " ".join([*into[:at], *passage, *into[at:]])]
+    verse = "\n".join(text_of(rng, 5) for _ in range(20))
+    texts += [verse, text_of(rng, 7) + "\n" + verse, text_of(rng, 30) + " " + verse.replace("\n", " ")]
+    sentence = text_of(rng, 30)
+    texts += [text_of(rng, 40) + " " + sentence, text_of(rng, 60) + " " + sentence]
+    # a passage, then more that a third text copies with it
+    one, two = text_of(rng, 40), text_of(rng, 40)
+    texts += [one, one + " " + two, one + " " + two]
+    got = passages.repeated_spans(frame(list(enumerate(texts)))).collect()
+    places = lambda d, kept: {
+        p for r in got if r.doc_id == d and r.kept == kept
+        for p in range(r.start, r.start + r.n_words)
+    }
+    for d, want in enumerate(in_earlier(texts)):
+        assert places(d, False) == want
+        assert not places(d, True) & want
+    assert places(len(texts) - 2, True) == set(range(40, 80))
+    left = {r.doc_id: r.text for r in passages.drop_repeated_spans(frame(list(enumerate(texts)))).collect()}
+    assert left[61].split() == texts[61].split()[:7]
+
+
 def test_spans_of_odd_rows(frame):
     rng = random.Random(16)
     long = prose(rng, 60)
