@@ -3,7 +3,8 @@
 Documents that share a rare line are aligned by patience diff, and the aligned common blocks are
 deleted from the later one. A line is rare if it is long enough not to recur by chance; how often it was copied
 says nothing against it. A line's posting list, however long, is a star: each later document is aligned
-with the first one that has the line.
+with the first one that has the line. Lines that this leaves are posted again and aligned with the next document
+that still has them, until a round takes nothing more.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -63,11 +65,69 @@ def _longest_rise(places: list[int]) -> list[int]:
     return out[::-1]
 
 
+def _grown(a, b, anchors, ranges, found: set[int]) -> list[tuple]:
+    """Add the blocks of b around (place in b, place in a) anchors to `found`; the gaps they leave."""
+    a0, a1, b0, b1 = ranges
+    gaps, low_a, low_b = [], a0, b0
+    for i, j in anchors:
+        if i < low_b or j < low_a:  # inside the block before
+            continue
+        start_b, start_a = i, j
+        while start_b > low_b and start_a > low_a and a[start_a - 1] == b[start_b - 1]:
+            start_b, start_a = start_b - 1, start_a - 1
+        stop_b, stop_a = i + 1, j + 1
+        while stop_b < b1 and stop_a < a1 and a[stop_a] == b[stop_b]:
+            stop_b, stop_a = stop_b + 1, stop_a + 1
+        found.update(range(start_b, stop_b))
+        gaps.append((low_a, start_a, low_b, start_b))
+        low_a, low_b = stop_a, stop_b
+    return [*gaps, (low_a, a1, low_b, b1)]
+
+
+def _prefix_lengths(a: list, b: list) -> list[int]:
+    """The longest common subsequence of b with each prefix of a, by one bit per line of a."""
+    places: dict = {}
+    for i, x in enumerate(a):
+        places[x] = places.get(x, 0) | 1 << i
+    every = (1 << len(a)) - 1
+    open_ = every
+    for x in b:
+        hit = open_ & places.get(x, 0)
+        open_ = (open_ + hit | open_ - hit) & every
+    return [0, *accumulate(bit == "0" for bit in reversed(f"{open_:0{len(a)}b}"))]
+
+
+def _longest_common(a: list, b: list) -> list[tuple[int, int]]:
+    """(place in b, place in a) of a longest common subsequence, in linear space."""
+    out, work = [], [(0, len(a), 0, len(b))]
+    while work:
+        a0, a1, b0, b1 = work.pop()
+        while a0 < a1 and b0 < b1 and a[a0] == b[b0]:
+            out.append((b0, a0))
+            a0, b0 = a0 + 1, b0 + 1
+        while a0 < a1 and b0 < b1 and a[a1 - 1] == b[b1 - 1]:
+            a1, b1 = a1 - 1, b1 - 1
+            out.append((b1, a1))
+        if a0 == a1 or b0 == b1:
+            continue
+        if b1 - b0 == 1:
+            if b[b0] in a[a0:a1]:
+                out.append((b0, a.index(b[b0], a0, a1)))
+            continue
+        half = (b0 + b1) // 2
+        head = _prefix_lengths(a[a0:a1], b[b0:half])
+        tail = _prefix_lengths(a[a0:a1][::-1], b[half:b1][::-1])[::-1]
+        cut = a0 + max(range(a1 - a0 + 1), key=lambda k: head[k] + tail[k])
+        work += [(a0, cut, b0, half), (cut, a1, half, b1)]
+    return sorted(out)
+
+
 def aligned(a: list, b: list, rare: set, a_range=None, b_range=None) -> set[int]:
     """Lines of b that a patience diff aligns with lines of a in a block with a rare line.
 
     Anchors are rare lines that both ranges have once; the longest set of them in the order of both is
-    kept and each grows to both sides over equal lines; the gaps between are treated alike.
+    kept and each grows to both sides over equal lines; the gaps between are treated alike. In a range without
+    such lines equal ends and a longest common subsequence of the rare lines take their place.
     None (a blank line) equals a blank line but is no anchor.
     """
     found: set[int] = set()
@@ -83,27 +143,13 @@ def aligned(a: list, b: list, rare: set, a_range=None, b_range=None) -> set[int]
             found |= _repeated(a, b, rare, a0, a1, b0, b1)
             continue
         anchors = [common[i] for i in _longest_rise([j for _, j in common])]
-        low_a, low_b = a0, b0
-        for n, (i, j) in enumerate(anchors):
-            if i < low_b:  # inside the block before
-                continue
-            top_b, top_a = anchors[n + 1] if n + 1 < len(anchors) else (b1, a1)
-            start_b, start_a = i, j
-            while start_b > low_b and start_a > low_a and a[start_a - 1] == b[start_b - 1]:
-                start_b, start_a = start_b - 1, start_a - 1
-            stop_b, stop_a = i + 1, j + 1
-            while stop_b < b1 and stop_a < a1 and a[stop_a] == b[stop_b]:
-                stop_b, stop_a = stop_b + 1, stop_a + 1
-            found.update(range(start_b, stop_b))
-            work.append((low_a, start_a, low_b, start_b))
-            low_a, low_b = stop_a, stop_b
-        work.append((low_a, a1, low_b, b1))
+        work += _grown(a, b, anchors, (a0, a1, b0, b1), found)
     return found
 
 
 def _repeated(a, b, rare, a0, a1, b0, b1) -> set[int]:
-    """Without unique lines: common rare lines at the ends of both ranges."""
-    found, block = set(), []
+    """Without unique lines: common rare lines at the ends of both ranges, and a longest common subsequence between."""
+    whole, found, block = (a0, a1, b0, b1), set(), []
     while a0 < a1 and b0 < b1 and a[a0] == b[b0]:
         block.append(b0)
         a0, b0 = a0 + 1, b0 + 1
@@ -113,6 +159,24 @@ def _repeated(a, b, rare, a0, a1, b0, b1) -> set[int]:
         a1, b1 = a1 - 1, b1 - 1
         block.append(b1)
     found.update(block if any(b[i] in rare for i in block) else ())
+    in_a = [j for j in range(a0, a1) if a[j] in rare]
+    there = {a[j] for j in in_a}
+    in_b = [i for i in range(b0, b1) if b[i] in there]
+    if in_b:
+        pairs = _longest_common([a[j] for j in in_a], [b[i] for i in in_b])
+        matched = [(in_b[i], in_a[j]) for i, j in pairs]
+        found.update(i for i, _ in matched)
+        for n, (i, j) in enumerate(matched):
+            low_b, low_a = matched[n - 1] if n else (whole[2] - 1, whole[0] - 1)
+            top_b, top_a = matched[n + 1] if n + 1 < len(matched) else (whole[3], whole[1])
+            step = 1
+            while i - step > low_b and j - step > low_a and a[j - step] == b[i - step]:
+                found.add(i - step)
+                step += 1
+            step = 1
+            while i + step < top_b and j + step < top_a and a[j + step] == b[i + step]:
+                found.add(i + step)
+                step += 1
     return found
 
 
@@ -140,21 +204,33 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     marked = scratch.stage(
         marked.select("doc", "row", "marks.hash", "marks.rare").dropDuplicates(["doc", "row"])
     )
-    posted = marked.select("doc", "row", F.explode(F.arrays_zip("hash", "rare")).alias("m")).select(
-        "doc", "row", F.col("m.hash").alias("hash"), F.col("m.rare").alias("rare")
-    ).filter("rare")
-    firsts = posted.groupBy("hash").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
-    firsts = firsts.filter("first < last").select("hash", "first")
-    pairs = scratch.stage(
-        posted.join(firsts, "hash").filter("doc > first").select("first", "row").distinct()
-    )
+    left = marked.select("doc", "row", F.posexplode(F.arrays_zip("hash", "rare")).alias("line", "m")).select(
+        "doc", "row", "line", F.col("m.hash").alias("hash"), F.col("m.rare").alias("rare")
+    ).filter("rare").drop("rare")
     earlier = marked.select(F.col("doc").alias("first"), F.col("hash").alias("a"))
     later = marked.select("row", F.col("hash").alias("b"), "rare")
-    found = (
-        pairs.join(later, "row").join(earlier, "first").select("row", "a", "b", "rare")
-        .mapInArrow(_align, "row long, lines array<int>")
-        .select("row", F.explode("lines").alias("line"))
-    )
+    found = None
+    while True:
+        firsts = left.groupBy("hash").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
+        firsts = firsts.filter("first < last").select("hash", "first")
+        # what the first document has is aligned with nothing later
+        copies = left.join(firsts, "hash").filter("doc > first")
+        pairs = scratch.stage(copies.select("first", "row").distinct())
+        taken = scratch.stage(
+            pairs.join(later, "row").join(earlier, "first").select("row", "a", "b", "rare")
+            .mapInArrow(_align, "row long, lines array<int>")
+            .select("row", F.explode("lines").alias("line"))
+        )
+        rest = scratch.stage(
+            copies.select("doc", "row", "line", "hash").join(taken, ["row", "line"], "left_anti")
+            .select("doc", "row", "line", "hash")
+        )
+        # round by round: the lines left are few, and each round puts the next document first
+        fresh = found is None or not taken.join(left, ["row", "line"], "left_semi").isEmpty()
+        found = taken if found is None else found.union(taken)
+        left = rest
+        if not fresh or left.isEmpty():
+            break
     return found.groupBy("row").agg(F.sort_array(F.collect_set("line")).alias("lines"))
 
 

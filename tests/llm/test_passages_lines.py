@@ -172,6 +172,36 @@ def test_aligned_lines_are_a_common_subsequence():
             assert got
 
 
+def test_repeated_lines_align_by_a_longest_common_subsequence():
+    block = ["intro", "B1", "B2", "mid", "B1", "B2", "end"]
+    assert line_dedup.aligned(block, ["g0", "B1", "B2", "g1"], {"B1", "B2"}) == {1, 2}
+    assert line_dedup.aligned(["g0", "B1", "B2", "g1"], block, {"B1", "B2"}) in ({1, 2}, {4, 5})
+    rng = random.Random(20)
+    for _ in range(200):
+        a = [rng.choice("abcd") for _ in range(rng.randrange(0, 25))]
+        b = [rng.choice("abcd") for _ in range(rng.randrange(0, 25))]
+        size = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                size[i + 1][j + 1] = max(size[i][j + 1], size[i + 1][j], size[i][j] + (x == y))
+        got = line_dedup._longest_common(a, b)
+        assert len(got) == size[-1][-1] and all(b[i] == a[j] for i, j in got)
+        assert all(i < k and j < m for (i, j), (k, m) in zip(got, got[1:], strict=False))
+
+
+def test_lines_left_are_aligned_with_the_next_holder(frame):
+    rng = random.Random(21)
+    x, y, z = (text_of(rng, 6) for _ in range(3))
+    own = [text_of(rng, 6) for _ in range(8)]
+    footer = [own[0], x, y, "mid", x, y, "end"]
+    rows = [(1, "\n".join(footer)), (2, "\n".join([own[1], x, y, own[2]])), (3, "\n".join([x, y, own[3]]))]
+    rows += [(4, "\n".join([z, own[4], own[5]])), (5, "\n".join([own[5], z])), (6, "\n".join([own[5], z]))]
+    got = {r.doc_id: r.text for r in line_dedup.drop_repeated_lines(frame(rows)).collect()}
+    assert got[1] == rows[0][1] and got[4] == rows[3][1]
+    assert got[2] == "\n".join([own[1], own[2]]) and got[3] == own[3]
+    assert got[5] in (own[5], z) and got[6] == ""
+
+
 def test_lines_go_from_the_later_document(frame):
     rng = random.Random(18)
     rows, first_of, pool = [], {}, [line(rng) for _ in range(60)]
