@@ -1,8 +1,8 @@
 """Operator 2: benchmark decontamination by SimHash over item-sized windows.
 
-DataFrame functions only. A window has the length of a benchmark item and starts where a five-word
-shingle of that item would put its beginning; windows without any shingle of any item are never
-built, because they cannot reach the similarity asked for. Windows and items get a 64-bit SimHash of their
+DataFrame functions only. A window has the length of a benchmark item, or less where an end of the
+text clips it, and holds a five-word shingle of an item of that length, at any place; windows without any are
+never built, because they cannot reach the similarity asked for. Windows and items get a 64-bit SimHash of their
 weighted shingles; a multi-index over five blocks of the fingerprint finds every pair within the
 radius (of `RADIUS` differing bits some block has at most a fifth, and all values so near to an
 item's block are posted); candidates are verified by exact weighted Jaccard similarity.
@@ -118,7 +118,8 @@ def contamination(
     percent: int = SIMILARITY_PERCENT,
 ) -> DataFrame:
     """(doc_id, item_id, start, n_words, distance, similarity): each item that a document holds,
-    at the window most like it (`start` counts words from 1).
+    at the window most like it (`start` counts words from 1) of those that a common shingle aligns with an
+    item, as in the SQL twin; of all others where none of these is like enough.
 
     Defined cases: null and empty texts hold nothing, empty items are found nowhere; items of
     fewer than five words are one shingle of their own length; repeated rows and rows that share
@@ -144,7 +145,7 @@ def contamination(
     )
     posted = scratch.stage(
         posted.groupBy("item_id", "hash", "n_words", "size").agg(F.min("at").alias("at"))
-        .select("hash", "n_words", "size", "at").distinct()
+        .groupBy("hash", "n_words", "size").agg(F.collect_set("at").alias("ats"))
     )
     sizes = {r["size"]: r["n"] for r in posted.groupBy("size").agg(
         F.count(F.lit(1)).alias("n")).collect()}
@@ -155,13 +156,15 @@ def contamination(
         for part in range(passes):
             some = posted.filter(
                 (F.col("size") == size) & (F.pmod("hash", F.lit(passes)) == part)
-            ).select("hash", "n_words", "at")
+            ).select("hash", "n_words", "ats")
             hit = (
                 texts.select(
                     "doc_id", "words", F.posexplode(_hashes("words", size)).alias("p", "hash")
                 )
                 .join(F.broadcast(some), "hash")
-                .withColumn("start", F.col("p") - F.col("at"))
+                # every window of the item's length that holds the shingle, those before the text too
+                .withColumn("start", F.explode(F.sequence(
+                    F.col("p") + F.lit(size) - F.col("n_words"), F.col("p"))))
                 .withColumn("from", F.greatest("start", F.lit(0)))
                 .select(
                     "doc_id",
@@ -170,20 +173,21 @@ def contamination(
                         F.slice("words", F.col("from") + 1,
                                 F.col("start") + F.col("n_words") - F.col("from")), " "
                     ).alias("window"),
+                    F.array_contains("ats", F.col("p") - F.col("start")).alias("aligned"),
                 )
             )
             hits = hit if hits is None else hits.union(hit)
     if hits is None:
         hits = texts.select(
-            "doc_id", F.lit(1).alias("start"), F.lit("").alias("window")
+            "doc_id", F.lit(1).alias("start"), F.lit("").alias("window"), F.lit(True).alias("aligned")
         ).filter(F.lit(False))
     windows = scratch.stage(
-        hits.distinct()
+        hits.groupBy("doc_id", "start", "window").agg(F.max("aligned").alias("aligned"))
         .withColumn("words", F.split("window", " "))
         .withColumn("shingles", weighted_shingles("words"))
         .withColumn("fingerprint", simhash("shingles"))
         .select(
-            "doc_id", "start", "fingerprint", "shingles",
+            "doc_id", "start", "fingerprint", "shingles", "aligned",
             F.size("words").alias("n_words"), F.xxhash64("window").alias("window"),
         )
     )
@@ -215,7 +219,7 @@ def contamination(
     )
     best = F.max_by(
         F.struct("start", "n_words", "distance", "similarity"),
-        F.struct("similarity", -F.col("start")),
+        F.struct("aligned", "similarity", -F.col("start")),
     )
     return checked.groupBy("doc_id", "item_id").agg(best.alias("b")).select(
         "doc_id", "item_id", "b.*"
