@@ -162,9 +162,45 @@ from (select *, common / (sum_ - common) as similarity from pairs
 group by doc_id, item_id
 """
 
+_TERMS = (
+    f"regexp_extract_all({_LOWER.format('text')}, "
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+
+OP11 = f"""
+with item_terms as (
+  select item_id, t, count(*) as times
+  from (select item_id, unnest({_TERMS}) as t from benchmark)
+  group by all
+),
+doc_terms as (
+  select doc_id, unnest({_TERMS}) as t from documents
+),
+lengths as (select doc_id, count(*) as n from doc_terms group by doc_id),
+corpus as (select count(*) as docs, sum(n)::bigint as total from lengths),
+counts as (
+  select doc_id, t, count(*) as tf from doc_terms where t in (select t from item_terms) group by all
+),
+weights as (
+  select t, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::bigint as w
+  from counts, corpus group by t, docs
+),
+scored as (
+  select item_id, doc_id,
+    sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // total))))::bigint as score
+  from item_terms join counts using (t) join weights using (t) join lengths using (doc_id), corpus
+  group by all
+)
+select item_id, row_number() over (partition by item_id order by score desc, doc_id)::int as rank,
+  doc_id, score
+from scored where score > 0
+qualify rank <= 10
+"""
+
 ORACLE: dict[str, str] = {
     "op2_decontamination": OP2,
     "op3_sharding": OP3,
     "op4_near_dedup": OP4,
     "op5_chat_format": OP5,
+    "op11_lexical_search": OP11,
 }

@@ -11,6 +11,7 @@ from salesmart.llm import (
     chat,
     decontamination,
     fingerprints,
+    lexical,
     line_dedup,
     mixing,
     near_dedup,
@@ -164,6 +165,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_decontamination": op2_decontamination,
@@ -175,4 +181,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_mix": op9_mix,
     "op10_toxicity": op10_toxicity,
+    "op11_lexical_search": op11_lexical_search,
 }

@@ -1,0 +1,111 @@
+import math
+import random
+from collections import Counter
+
+import pytest
+from tests_llm_help import ODD
+
+from salesmart.llm import lexical
+
+ITEMS = "item_id long, text string"
+
+
+def brute(docs, items, top=10):
+    """Every score of every pair, one at a time."""
+    texts = [(i, Counter(lexical.terms_of(t))) for i, t in docs]
+    n_docs, total = sum(bool(c) for _, c in texts), sum(sum(c.values()) for _, c in texts)
+    asked = {}
+    for i, t in items:
+        asked.setdefault(i, Counter()).update(lexical.terms_of(t))
+    out = []
+    for i, terms in asked.items():
+        scored = []
+        for d, c in texts:
+            m = 25 + 75 * sum(c.values()) * n_docs // max(total, 1)
+            score = 0
+            for t, times in terms.items():
+                df = sum(t in other for _, other in texts)
+                w = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df + 1)))
+                score += times * w * (10**9 * c[t] // (1000 * c[t] + 8 * m))
+            if score > 0:
+                scored.append((-score, d is None, d or 0, d))
+        ranked = enumerate(sorted(scored)[:top], 1)
+        out += [(i, rank, d, -score) for rank, (score, _, _, d) in ranked]
+    return sorted(out, key=str)
+
+
+def found(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_terms():
+    text = "Ab1_c-DÉé x\x00y [z]`q{w}漢字~\x7f9@8"
+    assert lexical.terms_of(text) == [
+        x.encode() for x in ["ab1", "c", "dÉé", "x", "y", "z", "q", "w", "漢字", "9", "8"]
+    ]
+    assert lexical.terms_of(None) == lexical.terms_of("") == lexical.terms_of(" .,\n") == []
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_equals_brute_force(spark, frame, seed):
+    """Few words, so that masks and scores repeat; long items, so that masks take several words."""
+    rng = random.Random(seed)
+    words = [f"t{i}" for i in range(12 if seed % 2 else 300)]
+    weights = [1 / (i + 1) for i in range(len(words))]
+
+    def text(n):
+        return " ".join(rng.choices(words, weights, k=n))
+
+    docs = [(i, text(rng.choice([0, 1, 3, 20, 90]))) for i in range(260)]
+    docs += [(i + 1000, t) for i, t in rng.choices(docs, k=60)] + docs[:5]
+    items = [(i, text(rng.choice([1, 2, 8, 200]))) for i in range(14)]
+    got = lexical.search(frame(docs), spark.createDataFrame(items, ITEMS))
+    assert found(got) == brute(docs, items)
+
+
+def test_masks_are_left_out_only_when_they_cannot_reach_the_answer(monkeypatch, spark, frame):
+    """A document of a poor mask with high counts beats one of a rich mask; all of one mask tie."""
+    evaluated = []
+    scores = lexical._Slice.scores
+
+    def counted(self, docs, weight):
+        evaluated.append(len(docs))
+        return scores(self, docs, weight)
+
+    monkeypatch.setattr(lexical._Slice, "scores", counted)
+    import numpy as np
+
+    rng = random.Random(1)
+    docs = [(i, "rare " * (i % 40 == 0) + "common " * rng.randrange(1, 9)) for i in range(4000)]
+    asked = lexical._Asked.of([(1, "rare common")])
+    batch = spark.createDataFrame(docs, "doc_id long, text string").toArrow().combine_chunks()
+    holder = type("Sent", (), {"value": asked})
+    index = list(lexical._index(holder)(batch.to_batches()))
+    total = sum(len(lexical.terms_of(t)) for _, t in docs)
+    weights = np.array([lexical.term_weight(4000, 100), lexical.term_weight(4000, 4000)])
+    got = list(lexical._rank(holder, weights, (4000, total), 10)(iter(index)))
+    rows = sorted(zip(*[c.to_pylist() for c in got[0].columns], strict=True), key=lambda r: (-r[2], r[1]))
+    assert [(i, n + 1, d, s) for n, (i, d, s) in enumerate(rows)] == sorted(brute(docs, [(1, "rare common")]), key=lambda r: r[1])
+    assert sum(evaluated) < 400  # the documents that hold the rare term, not all
+
+
+def test_blocks_give_the_same(monkeypatch, spark, frame):
+    rng = random.Random(3)
+    docs = [(i, " ".join(rng.choices("abcdefgh", k=12))) for i in range(80)]
+    items = [(i, " ".join(rng.choices("abcdefghxyz", k=6))) for i in range(30)]
+    monkeypatch.setattr(lexical, "BLOCK_BYTES", 40)
+    monkeypatch.setattr(lexical, "_SLICE", 7)
+    got = lexical.search(frame(docs), spark.createDataFrame(items, ITEMS))
+    assert found(got) == brute(docs, items)
+
+
+def test_odd_rows(spark, frame):
+    items = [(1, "word one"), (1, "row"), (None, "漢字 REPEATED"), (None, None), (3, ""), (4, "absent"), (5, None)]
+    got = lexical.search(frame(ODD), spark.createDataFrame(items, ITEMS))
+    assert found(got) == brute(ODD, items)
+    clash = spark.createDataFrame([(7, "one", 1, 1)], "item_id long, text string, id int, doc_id int")
+    assert [r.doc_id for r in lexical.search(frame(ODD), clash).collect()] == [103]
+    none = spark.createDataFrame([], ITEMS)
+    assert not lexical.search(frame(ODD), none).collect()
+    assert not lexical.search(frame([]), spark.createDataFrame(items, ITEMS)).collect()
+    assert not lexical.search(frame([(1, None), (2, "")]), spark.createDataFrame(items, ITEMS)).collect()

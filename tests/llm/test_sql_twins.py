@@ -13,4 +13,4 @@ def test_query_equals_its_twin(spark, small, duck, name):
 
 def test_every_operator_is_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, len(numbers) + 1)) and len(numbers) >= 11
