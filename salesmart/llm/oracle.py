@@ -197,10 +197,61 @@ from scored where score > 0
 qualify rank <= 10
 """
 
+OP12 = rf"""
+with pieces as (
+  select row_number() over () as piece, lang,
+    list_filter(string_split_regex(p, '[\x20\x09]+'), lambda w: w <> '') as w
+  from (
+    select coalesce(lang, 'und') as lang,
+      unnest(string_split_regex({_LOWER.format('text')}, '[.,;:!?\x0A-\x0D]')) as p
+    from documents
+  )
+),
+places as (
+  select lang, w, unnest(range(1, len(w) + 1)) as i from pieces
+),
+phrases as (
+  select lang, size, array_to_string(w[i : i + size - 1], ' ') as phrase, count(*) as f
+  from places, (values (1), (2), (3)) s(size)
+  where i + size - 1 <= len(w)
+  group by all
+),
+totals as (select lang, sum(f)::bigint as n from phrases where size = 1 group by lang),
+candidates as (select *, string_split(phrase, ' ') as w from phrases where size > 1 and f >= 10),
+held as (
+  select c.lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) as phrase, f
+  from candidates c where size = 3
+),
+kept as (
+  select c.* from candidates c left join (select lang, phrase, max(f) as more from held group by all) h
+    on c.lang = h.lang and c.phrase = h.phrase and size = 2
+  where more is null or 100 * more < 50 * f
+),
+cuts as (
+  select lang, size, phrase, f as a, k,
+    array_to_string(w[1:k], ' ') as lefts, array_to_string(w[k + 1:size], ' ') as rights
+  from kept, (values (1), (2)) s(k) where k < size
+),
+scored as (
+  select c.lang, c.phrase, a, x.f as l, y.f as r,
+    ((1000000::hugeint * a * a) // (x.f::hugeint * y.f))::bigint as score, k
+  from cuts c join phrases x on x.lang = c.lang and x.phrase = lefts
+    join phrases y on y.lang = c.lang and y.phrase = rights
+),
+lowest as (
+  select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1
+)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank,
+  phrase, a, l, r, n, score
+from lowest join totals using (lang)
+qualify rank <= 2000
+"""
+
 ORACLE: dict[str, str] = {
     "op2_decontamination": OP2,
     "op3_sharding": OP3,
     "op4_near_dedup": OP4,
     "op5_chat_format": OP5,
     "op11_lexical_search": OP11,
+    "op12_collocations": OP12,
 }

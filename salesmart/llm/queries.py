@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from salesmart.llm import (
     chat,
+    collocations,
     decontamination,
     fingerprints,
     lexical,
@@ -170,6 +171,11 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 phrases of each language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_decontamination": op2_decontamination,
@@ -182,4 +188,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mix": op9_mix,
     "op10_toxicity": op10_toxicity,
     "op11_lexical_search": op11_lexical_search,
+    "op12_collocations": op12_collocations,
 }
