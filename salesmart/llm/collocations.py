@@ -32,11 +32,11 @@ _PIECE_BYTES = bytes(
 )
 _ID_BITS = 21
 _ID_MASK = (1 << _ID_BITS) - 1
-#: Words of one text that are taken at a time; words that wait; words with a number of their own.
-#: Their sum stays below 2 ** _ID_BITS.
-_SEGMENT, _PENDING, _VOCABULARY = 1 << 19, 1 << 20, 1 << 19
+#: Words of one text that are taken at a time; words that wait; words that all languages of a task
+#: have numbers for. Their sum stays below 2 ** _ID_BITS.
+_SEGMENT, _PENDING, _VOCABULARY = 1 << 18, 1 << 19, 300_000
 #: A container with more phrases bursts; tries of a task with more are spilled down to half.
-BURST, SPILL = 8_192, 1_500_000
+BURST, SPILL = 8_192, 700_000
 _RUN_ROWS = 100_000
 #: Bits of the sieve of frequent pairs: 16 for each pair, so that it passes few others, and a
 #: proven bound of 128 MB. Beyond that it passes more; the counts stay exact.
@@ -259,10 +259,8 @@ def _count(size: int, sieve: Broadcast | None = None):
                 own.add(pieces_of(text.as_py()))
                 if own.pending >= _PENDING:
                     own.flush()
-                    if len(own.numbers) > _VOCABULARY:
-                        yield from own.spill()
                     yield from _relieve(languages)
-            if sum(x.pending for x in languages.values()) >= 2 * _PENDING:
+            if sum(x.pending for x in languages.values()) >= _PENDING:
                 for own in languages.values():
                     own.flush()
                 yield from _relieve(languages)
@@ -274,7 +272,12 @@ def _count(size: int, sieve: Broadcast | None = None):
 
 
 def _relieve(languages: dict[str, _Language]) -> Iterator[pa.RecordBatch]:
-    if sum(x.trie.entries for x in languages.values()) > SPILL:
+    """Spill what has outgrown its bounds."""
+    if sum(len(x.numbers) for x in languages.values()) > _VOCABULARY:
+        for own in languages.values():
+            own.flush()
+            yield from own.spill()
+    elif sum(x.trie.entries for x in languages.values()) > SPILL:
         for own in languages.values():
             yield from own.spill(max(1, own.trie.entries // 2))
 
@@ -374,10 +377,12 @@ def collocations(
         F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
         whole_text(F.col(text)).alias("text"),
     )
-    short, short_path = scratch.staged(_merged(read.mapInArrow(_count(2), _RUN), mining.min_count))
+    runs = read.mapInArrow(_count(2), _RUN)
+    short, _ = scratch.staged_alone(_merged(runs, mining.min_count))
     pairs = short.filter("size = 2")
     sieve = _sieve(spark, pairs)
-    triples = scratch.stage(_merged(read.mapInArrow(_count(3, sieve), _RUN), mining.min_count))
+    runs = read.mapInArrow(_count(3, sieve), _RUN)
+    triples, _ = scratch.staged_alone(_merged(runs, mining.min_count))
     holders = triples.select("lang", "f", F.split("phrase", " ").alias("w")).select(
         "lang",
         "f",

@@ -14,6 +14,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 SHINGLE = 5
 SIMILARITY_PERCENT = 75
 _CACHE_WORDS = 300_000
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +49,16 @@ class Scratch:
         path = f"{self.root}/{self._n}"
         return stage(df, path), path
 
+    def staged_alone(self, df: DataFrame) -> tuple[DataFrame, str]:
+        """As `staged`; the write's shuffle files are freed as it ends, not when the driver happens
+        to collect its garbage."""
+        before = self.spark.conf.get(_FREE_SHUFFLES)
+        self.spark.conf.set(_FREE_SHUFFLES, "true")
+        try:
+            return self.staged(df)
+        finally:
+            self.spark.conf.set(_FREE_SHUFFLES, before)
+
     def drop(self, *paths: str) -> None:
         for path in paths:
             remove_path(self.spark, path)
