@@ -17,6 +17,7 @@ from salesmart.llm import (
     mixing,
     near_dedup,
     passages,
+    pitman_yor,
     secrets,
     sharding,
     toxicity,
@@ -176,6 +177,13 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op13_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log10 probability of every text; a seventh of the documents teaches nothing."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    return pitman_yor.score_texts(docs, held_out, stored=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_decontamination": op2_decontamination,
@@ -189,4 +197,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": op10_toxicity,
     "op11_lexical_search": op11_lexical_search,
     "op12_collocations": op12_collocations,
+    "op13_pitman_yor": op13_pitman_yor,
 }
