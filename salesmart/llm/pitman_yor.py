@@ -37,11 +37,11 @@ class Model:
 
 
 #: Tokens of a batch of texts; bytes of text for each part.
-BATCH_TOKENS = 3_000_000
-PART_BYTES, LEAST_PARTS = 48 << 20, 32
+BATCH_TOKENS = 1_500_000
+PART_BYTES, LEAST_PARTS = 16 << 20, 32
 #: Pairs of more customers seat this many exactly, the rest in growing blocks.
 EXACT = 200
-_WORK = 2_000_000
+_WORK = 1_000_000
 #: No word is or holds white space.
 _START, _END = b" ", b"  "
 
