@@ -1,7 +1,8 @@
 """Slowly changing dimensions of type 2.
 
 A dimension is kept as its current rows and its expired rows. Every natural key has exactly one
-current row, which holds its highest version, so a batch never has to read the expired rows.
+current row, which holds its highest version, so a batch never has to read the expired rows. A
+batch gives the rows that it expires and their successors, whose number follows the delta.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from salesmart.schema import DIM_ATTRS, DIM_KEYS, DIMS, UNKNOWN_SK, conform
 
 @dataclass(frozen=True)
 class Scd2Change:
-    current: DataFrame
+    successors: DataFrame
     expired: DataFrame
 
 
@@ -49,7 +50,7 @@ def scd2_apply(
     batch_ts: datetime,
     first_sk: int,
 ) -> Scd2Change:
-    """Expire the current row of every member in `delta` and put its new version in place.
+    """The expired row and the new version of every member in `delta`.
 
     Any member in `delta` gets a new version, even when no attribute differs; `really_changed`
     leaves those out. New versions get surrogate keys from `first_sk` on, by natural key.
@@ -70,11 +71,7 @@ def scd2_apply(
         F.lit(True).alias("is_current"),
         "source_version",
     )
-    # Two filters of the current rows by a usually small delta: they need no shuffle then.
-    kept = current.join(delta.select(key), key, "left_anti").select(*successors.columns)
-    return Scd2Change(
-        conform(kept.unionByName(successors), DIMS[dim]), conform(expired, DIMS[dim])
-    )
+    return Scd2Change(conform(successors, DIMS[dim]), conform(expired, DIMS[dim]))
 
 
 def first_versions(

@@ -67,9 +67,8 @@ _SOURCE = {
             as unit_price,
           cast(l_quantity as integer) as quantity,
           cast(l_discount as decimal(5,4)) as discount, cast(1 as bigint) as row_version,
-          cast(row_number() over (partition by l_orderkey, l_partkey
-            order by l_linenumber, l_suppkey, l_quantity, l_extendedprice, l_discount) as integer)
-            as line_no
+          cast((coalesce(l_suppkey, 0) * 65536 + coalesce(date_diff('day', date '1970-01-01',
+            cast(l_shipdate as date)), 0)) * 8 + l_linenumber as bigint) as line_no
         from lineitem""",
     "src_orders": """
         select o_orderkey as order_id, o_custkey as customer_id,

@@ -6,8 +6,9 @@ from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from salesmart.operators import dimensions, facts, ledger
+from salesmart.operators import digests, dimensions, facts, ledger
 from salesmart.operators.ordering import stored_order_ids
 from salesmart.operators.scd2 import (
     first_versions,
@@ -15,10 +16,10 @@ from salesmart.operators.scd2 import (
     scd2_apply,
     unknown_member,
 )
-from salesmart.schema import DIM_KEYS, DIM_SOURCE
-from salesmart.session import in_parallel, stage
+from salesmart.schema import DIM_KEYS, DIM_SOURCE, DIMS, FACT, conform
+from salesmart.session import in_parallel, remove_path, stage, stage_counted
 from salesmart.sources.tables import Sources, max_versions
-from salesmart.store import Batch, Snapshot, Store
+from salesmart.store import Batch, Run, Snapshot, Store
 
 # Step and status names of the audit log.
 STEP_START, STEP_END, STEP_ERROR = "INICIO_ETL", "FIN_ETL", "ERROR_ETL"
@@ -29,7 +30,12 @@ STATUS_START, STATUS_OK, STATUS_ERROR = "INICIO", "EXITO", "ERROR"
 class LoadOptions:
     only_if_changed: bool = False  # skip a new version when no attribute differs
     touch_on_delete: bool = False  # re-allocate the freight of orders that lost a line
-    roll_up_every: int = 10  # batches between two roll-ups of the balances
+    rebase_share: float = 0.25  # new rows of a dimension, as a share of its base, that make a new base
+    # A bucket's balances are rolled up when its newer ledger rows are more than so many, and more
+    # than this share of them.
+    roll_up_rows: int = 100_000
+    roll_up_share: float = 0.25
+    keep_batches: int | None = None  # how many batches stay readable; None: all
 
 
 @dataclass(frozen=True)
@@ -44,6 +50,23 @@ def utc_now() -> datetime:
     return datetime.now(timezone.utc)
 
 
+class _Work:
+    """A folder for what one attempt at a batch stages; it goes when the attempt ends."""
+
+    def __init__(self, store: Store, batch: Batch):
+        self._store = store
+        self.path = f"{store.root}/stage/{batch.batch_id}-{batch.attempt}"
+
+    def stage(self, name: str, df: DataFrame) -> DataFrame:
+        return stage(df, f"{self.path}/{name}")
+
+    def counted(self, name: str, df: DataFrame) -> tuple[DataFrame, int]:
+        return stage_counted(df, f"{self.path}/{name}")
+
+    def drop(self) -> None:
+        remove_path(self._store.spark, self.path)
+
+
 def run_incremental(
     spark: SparkSession,
     sources: Sources,
@@ -63,51 +86,60 @@ def run_incremental(
     if stream_epoch is not None and last.stream_epoch == stream_epoch:
         return LoadResult(None)  # a replay of the epoch that was committed last
     batch = last.following(batch_ts or utc_now(), "incremental")
-    store.drop_attempt(batch.batch_id)
+    work = _Work(store, batch)
+    try:
+        batch, dims = _run_batch(sources, store, before, batch, work, options)
+        if batch is None:
+            return LoadResult(None)
+        store.commit(replace(batch, stream_epoch=stream_epoch))
+    finally:
+        work.drop()
+    if options.keep_batches:
+        store.expire(options.keep_batches)
+    return LoadResult(batch.batch_id, batch.fact_rows, dims, bool(batch.of("quarantine")))
+
+
+def _run_batch(
+    sources: Sources,
+    store: Store,
+    before: Snapshot,
+    batch: Batch,
+    work: _Work,
+    options: LoadOptions,
+) -> tuple[Batch | None, tuple[str, ...]]:
+    last = before.last
     # Six rows.
     found = max_versions(sources, last.marks).collect()
     highs = {r.source_table: r.max_row_version for r in found}
 
     loads = in_parallel(
-        lambda dim: _load_dim(sources, store, before, batch, dim, highs, options), DIM_KEYS
+        lambda dim: _load_dim(sources, store, before, batch, work, dim, highs, options), DIM_KEYS
     )
     for load in loads:
         batch = load.recorded(batch, highs)
-    current = {load.dim: load.current for load in loads}
+    dims = tuple(load.dim for load in loads if load.new_rows is not None)
+    current = {dim: store.snapshot(batch).current_dim(dim) for dim in DIM_KEYS}
 
     marks = facts.Marks(
         last.marks["orders"], last.marks["order_details"], highs["orders"], highs["order_details"]
     )
     changed = marks.orders_high > marks.orders_low or marks.details_high > marks.details_low
-    touched = _touched_orders(sources, before, marks, changed, options)
-    positions = before.positions()
+    touched = _touched_orders(sources, before, work, marks, changed, options)
+    lines = None
     if touched is not None:
-        booked, batch = _load_lines(sources, store, before, batch, touched, current)
-        if booked is not None:
-            positions = positions.unionByName(ledger.as_positions(booked))
+        # Staged order numbers have a known size: few of them are broadcast to the scan of the
+        # lines. Lines are staged because they are read more than once.
+        touched = work.stage("touched", touched)
+        lines = work.stage("lines", facts.lines_of(sources, touched))
+        batch = _load_lines(sources, store, before, batch, work, touched, lines, current)
     if changed:
         batch = _mark(batch, "orders", highs["orders"])
         batch = _mark(batch, "order_details", highs["order_details"])
-
-    # Staged, so that few missing lines are broadcast to the scan of the ledger.
-    missing = stage(
-        ledger.missing_lines(positions, sources.order_details), f"{store.root}/stage/missing"
-    )
-    if not missing.isEmpty():
-        deleted = ledger.deletion_entries(positions, missing)
-        deleted = stage(deleted, f"{store.root}/stage/deleted")
-        reversed_rows, batch = _append(store, batch, 2, deleted)
-        if reversed_rows is not None:
-            positions = positions.unionByName(ledger.as_positions(reversed_rows))
-    if not (batch.fact_rows or batch.dims_written or changed):
-        return LoadResult(None)
-    if batch.batch_id - last.positions_asof >= options.roll_up_every:
-        store.write_positions(batch.batch_id, ledger.rolled_up(positions))
-        batch = replace(batch, positions_asof=batch.batch_id)
-    store.commit(replace(batch, stream_epoch=stream_epoch))
-    return LoadResult(
-        batch.batch_id, batch.fact_rows, batch.dims_written, bool(batch.quarantine_batch)
-    )
+    batch = _take_back_deleted(sources, store, before, batch, work, touched, lines)
+    if batch.runs == last.runs and not changed:
+        return None, ()
+    due = _due_buckets(store, batch, options)
+    return store.merge_runs(store.roll_up(batch, due)), dims
 
 
 def _mark(batch: Batch, source: str, version: int) -> Batch:
@@ -121,19 +153,20 @@ def _mark(batch: Batch, source: str, version: int) -> Batch:
 @dataclass(frozen=True)
 class _DimLoad:
     dim: str
-    current: DataFrame
     new_rows: int | None = None  # None: the source had not changed
-    expired: bool = False
+    runs: tuple[Run, ...] = ()
+    rebased: bool = False
 
     def recorded(self, batch: Batch, highs: dict[str, int]) -> Batch:
         if self.new_rows is None:
             return batch
-        source = DIM_SOURCE[self.dim]
+        source, dim = DIM_SOURCE[self.dim], self.dim
+        if self.rebased:
+            expired = [replace(r, dataset=f"{dim}/history") for r in batch.of(f"{dim}/expired")]
+            batch = batch.without(f"{dim}/base", f"{dim}/delta", f"{dim}/expired").adding(*expired)
         return replace(
-            _mark(batch, source, highs[source]),
-            dims_written=(*batch.dims_written, self.dim),
-            dims_expired=(*batch.dims_expired, *([self.dim] if self.expired else [])),
-            next_sk={**batch.next_sk, self.dim: batch.next_sk[self.dim] + self.new_rows},
+            _mark(batch, source, highs[source]).adding(*self.runs),
+            next_sk={**batch.next_sk, dim: batch.next_sk[dim] + self.new_rows},
         )
 
 
@@ -142,32 +175,49 @@ def _load_dim(
     store: Store,
     before: Snapshot,
     batch: Batch,
+    work: _Work,
     dim: str,
     highs: dict[str, int],
     options: LoadOptions,
 ) -> _DimLoad:
+    """New versions go to a delta beside the base; many of them make a new base."""
     source = DIM_SOURCE[dim]
     low, high = before.last.marks[source], highs[source]
-    current = before.current_dim(dim)
     if high <= low:
-        return _DimLoad(dim, current)
+        return _DimLoad(dim)
+    current = before.current_dim(dim)
     delta = dimensions.MEMBERS[dim](
         sources, dimensions.changed_since(sources[source], low, high)
     )
     if options.only_if_changed:
         delta = really_changed(current, delta, dim)
-    delta = stage(delta, f"{store.root}/stage/{dim}")
-    rows = delta.count()
+    delta, rows = work.counted(dim, delta)
     first_sk = before.last.next_sk[dim]
     change = scd2_apply(current, delta, dim, batch.batch_ts, first_sk)
     loaded_before = first_sk > 1  # else there are no members whose rows could expire
-    expired = change.expired if loaded_before else None
-    written = store.write_dim(dim, batch.batch_id, change.current, expired)
-    return _DimLoad(dim, written, rows, loaded_before)
+    newer = rows + sum(r.rows for r in before.last.of(f"{dim}/delta"))
+    base = sum(r.rows for r in before.last.of(f"{dim}/base"))
+    rebased = newer > options.rebase_share * base
+    if rebased:
+        key = DIM_KEYS[dim][1]
+        kept = current.join(delta.select(key), key, "left_anti").select(*DIMS[dim].fieldNames())
+        runs = [store.write(batch, f"{dim}/base", kept.unionByName(change.successors))]
+    else:
+        runs = [store.write(batch, f"{dim}/delta", change.successors)]
+    if loaded_before:
+        # what a base leaves out needs no join any more
+        part = "history" if rebased else "expired"
+        runs.append(store.write(batch, f"{dim}/{part}", change.expired))
+    return _DimLoad(dim, rows, tuple(runs), rebased)
 
 
 def _touched_orders(
-    sources: Sources, before: Snapshot, marks: facts.Marks, changed: bool, options: LoadOptions
+    sources: Sources,
+    before: Snapshot,
+    work: _Work,
+    marks: facts.Marks,
+    changed: bool,
+    options: LoadOptions,
 ) -> DataFrame | None:
     """Orders whose lines are to be booked anew; None when there are none for sure."""
     touched = []
@@ -177,74 +227,192 @@ def _touched_orders(
         if quarantine is not None:
             touched.append(quarantine.select("order_id"))
     if options.touch_on_delete:
-        gone = ledger.deleted_balances(before.positions(), sources.order_details)
-        touched.append(gone.select("order_id"))
+        lost, _ = _orders_that_lost_lines(sources, before, work, None, None)
+        if lost is not None:
+            known = before.positions(_buckets_of(lost, before.last.buckets))
+            known = known.join(lost, "order_id", "left_semi")
+            gone = ledger.deleted_balances(known, _lines_of(sources, lost))
+            touched.append(gone.select("order_id"))
     if not touched:
         return None
-    union = touched[0]
+    union = touched[0].distinct()
     for more in touched[1:]:
         union = union.union(more).distinct()
     return union
 
 
+def _buckets_of(orders: DataFrame, buckets: int) -> list[int]:
+    """The buckets of some orders: at most as many numbers as there are buckets."""
+    rows = orders.select(digests.bucket_of(buckets).alias("bucket")).distinct().collect()
+    return sorted(r.bucket for r in rows)
+
+
+def _lines_of(sources: Sources, orders: DataFrame) -> DataFrame:
+    return sources.order_details.join(orders.select("order_id"), "order_id", "left_semi")
+
+
 def _load_lines(
     sources: Sources,
     store: Store,
     before: Snapshot,
     batch: Batch,
+    work: _Work,
     touched: DataFrame,
+    lines: DataFrame,
     current: dict[str, DataFrame],
-) -> tuple[DataFrame | None, Batch]:
+) -> Batch:
     """Phase 1: reverse and re-book the lines of the touched orders."""
-    # Staged order numbers have a known size: few of them are broadcast to the scan of the lines.
-    # Lines are staged because they are read twice, for the subtotals and by themselves.
-    order_ids = stage(touched, f"{store.root}/stage/touched")
-    lines = stage(facts.lines_of(sources, order_ids), f"{store.root}/stage/lines")
     keyed = facts.keyed_lines(lines, sources.orders, current)
-    drawn = stage(facts.with_calendar(keyed, before.dim_date()), f"{store.root}/stage/fresh")
+    drawn = work.stage("fresh", facts.with_calendar(keyed, before.dim_date()))
     fresh = drawn.filter("in_calendar").drop("in_calendar")
     undated = drawn.filter("NOT in_calendar").drop("in_calendar")
-    if undated.isEmpty():
-        batch = replace(batch, quarantine_batch=0)
-    else:
-        stage(undated, f"{store.root}/quarantine/batch_id={batch.batch_id}")
-        batch = replace(batch, quarantine_batch=batch.batch_id)
+    batch = batch.without("quarantine")
+    if not undated.isEmpty():
+        batch = batch.adding(store.write(batch, "quarantine", undated))
     entries = ledger.first_entries(fresh)
     if before.last.next_fact_id > 1:  # else the ledger is empty
         # also of lines that wait for their day: what they were booked under is taken back
-        balances = ledger.open_balances(before.positions(), drawn)
-        balances = stage(balances, f"{store.root}/stage/balances")
+        known = before.positions(_buckets_of(touched, batch.buckets))
+        known = known.join(touched, "order_id", "left_semi")
+        balances = work.stage("balances", ledger.open_balances(known, drawn))
         entries = ledger.upsert_entries(fresh, balances)
-    entries = stage(entries, f"{store.root}/stage/entries")
-    return _append(store, batch, 1, entries)
+    return _append(store, batch, work, "booked", entries)
 
 
-def _append(
-    store: Store, batch: Batch, phase: int, entries: DataFrame
-) -> tuple[DataFrame | None, Batch]:
-    """Number staged entries and add them to the ledger, if there are any."""
+def _append(store: Store, batch: Batch, work: _Work, name: str, entries: DataFrame) -> Batch:
+    """Number entries and add them to the ledger, if there are any."""
+    entries = work.stage(f"{name}-entries", entries)
     numbered, count = stored_order_ids(entries, "fact_id", batch.next_fact_id)
     if not count:
-        return None, batch
-    rows = store.append_fact(batch.batch_id, phase, numbered)
-    return rows, replace(
-        batch, fact_rows=batch.fact_rows + count, next_fact_id=batch.next_fact_id + count
+        return batch
+    rows = conform(numbered, FACT).withColumn("batch_id", F.lit(batch.batch_id).cast("long"))
+    run = store.write(batch, "fact_sales", rows, name=f"-{name}")
+    return replace(
+        batch.adding(run),
+        fact_rows=batch.fact_rows + count,
+        next_fact_id=batch.next_fact_id + count,
+    )
+
+
+def _orders_that_lost_lines(
+    sources: Sources,
+    before: Snapshot,
+    work: _Work,
+    touched: DataFrame | None,
+    lines: DataFrame | None,
+) -> tuple[DataFrame | None, DataFrame | None]:
+    """Orders that may have lost a line since the last batch, and what brings the stored digests
+    up to date; None where nothing differs.
+
+    The digests of touched orders are known from their lines. What is then expected of each
+    bucket is compared with the source: one row per task and bucket is moved for that. Orders are
+    compared in buckets that differ only.
+    """
+    buckets = before.last.buckets
+    stored = before.read("digests")
+    expected = before.read("buckets").select("bucket", "n", "s", "x")
+    changes = []
+    if touched is not None:
+        old = digests.merged(stored.join(touched, "order_id", "left_semi"))
+        found = work.stage("digests-touched", digests.changes(old, digests.of_orders(lines)))
+        changes.append(found)
+        expected = expected.unionByName(digests.per_bucket(found, buckets))
+    differing = digests.differing_buckets(expected, sources.order_details, buckets)
+    if differing:
+        here = digests.bucket_of(buckets).isin(differing)
+        old = stored.filter(here)
+        if changes:
+            old = old.unionByName(changes[0].drop("were").filter(here))
+        actual = digests.of_orders(sources.order_details.filter(here))
+        changes.append(
+            work.stage("digests-others", digests.changes(digests.merged(old), actual))
+        )
+    if not changes:
+        return None, None
+    added = changes[0] if len(changes) == 1 else changes[0].unionByName(changes[1])
+    lost = work.stage("lost", added.filter("were > 0").select("order_id").distinct())
+    return (None if lost.isEmpty() else lost), added.drop("were")
+
+
+def _take_back_deleted(
+    sources: Sources,
+    store: Store,
+    before: Snapshot,
+    batch: Batch,
+    work: _Work,
+    touched: DataFrame | None,
+    lines: DataFrame | None,
+) -> Batch:
+    """Phase 2: reverse what is still open of lines that are gone from the source."""
+    lost, added = _orders_that_lost_lines(sources, before, work, touched, lines)
+    if lost is not None:
+        known = store.snapshot(batch).positions(_buckets_of(lost, batch.buckets))
+        known = work.stage("known", known.join(lost, "order_id", "left_semi"))
+        missing = ledger.missing_lines(known, _lines_of(sources, lost))
+        entries = ledger.deletion_entries(known, missing)
+        batch = _append(store, batch, work, "deleted", entries)
+    return _note_buckets(store, before, batch, added)
+
+
+def _note_buckets(
+    store: Store, before: Snapshot, batch: Batch, added: DataFrame | None
+) -> Batch:
+    """Add this batch's changes to the digests, and its ledger rows to what is pending."""
+    own = [r for r in batch.of("fact_sales") if r.upto == batch.batch_id]
+    if added is None and not own:
+        return batch
+    bucket = digests.bucket_of(batch.buckets).alias("bucket")
+    zero = F.lit(0).cast("long")
+    parts = [store.snapshot(batch).read("buckets")]
+    if own:
+        rows = store.snapshot(batch).read("fact_sales", runs=own)
+        counts = rows.groupBy(bucket).agg(F.count(F.lit(1)).alias("pending"))
+        parts.append(
+            counts.select("bucket", zero.alias("n"), F.lit(0).cast("decimal(38,0)").alias("s"),
+                          zero.alias("x"), "pending", zero.alias("rolled"))
+        )
+    if added is not None:
+        moved = digests.per_bucket(added, batch.buckets)
+        parts.append(moved.withColumns({"pending": zero, "rolled": zero}))
+        run = store.write(batch, "digests", added)
+        batch = batch.adding(run) if run.rows else batch
+    union = parts[0]
+    for part in parts[1:]:
+        union = union.unionByName(part)
+    table = union.groupBy("bucket").agg(
+        F.sum("n").alias("n"),
+        F.sum("s").cast("decimal(38,0)").alias("s"),
+        F.bit_xor("x").alias("x"),
+        F.sum("pending").alias("pending"),
+        F.sum("rolled").alias("rolled"),
     )
+    return batch.without("buckets").adding(store.write(batch, "buckets", table))
+
+
+def _due_buckets(store: Store, batch: Batch, options: LoadOptions) -> list[int]:
+    """Buckets whose newer ledger rows are many beside their balances."""
+    known = store.snapshot(batch).read("buckets")
+    most = F.greatest(F.lit(options.roll_up_rows), F.col("rolled") * options.roll_up_share)
+    due = known.filter(F.col("pending") > most)
+    return sorted(r.bucket for r in due.select("bucket").collect())  # a number per bucket
 
 
 # --- full refresh -------------------------------------------------------------------------
 
 
 class _Log:
-    """Audit entries of one run; written when it ends, well or not."""
+    """Audit entries of one run, each written as its step begins or ends: a run that is killed
+    leaves those it came to."""
 
-    def __init__(self, store: Store):
-        self._store, self._entries = store, []
+    def __init__(self, store: Store, attempt: str):
+        self._store, self._attempt, self._next = store, attempt, store.next_log_id()
         self._begin = utc_now()
         self._add(STEP_START, None, STATUS_START, "load started", None)
 
     def _add(self, step, rows, status, message, seconds):
-        self._entries.append((utc_now(), step, rows, status, message, seconds))
+        entry = (self._next, utc_now(), step, rows, status, message, seconds, self._attempt)
+        self._store.append_log([entry])
+        self._next += 1
 
     def done(self, step: str, rows: int, seconds: int, waiting: int = 0):
         message = f"{step}: {rows} rows loaded"
@@ -255,13 +423,11 @@ class _Log:
     def end(self):
         seconds = seconds_between(self._begin, utc_now())
         self._add(STEP_END, None, STATUS_OK, "load finished", seconds)
-        self._store.append_log(self._entries)
 
     def failed(self, error: Exception):
         seconds = seconds_between(self._begin, utc_now())
         message = f"{type(error).__name__}: {error}"
         self._add(STEP_ERROR, None, STATUS_ERROR, message, seconds)
-        self._store.append_log(self._entries)
 
 
 def seconds_between(start: datetime, end: datetime) -> int:
@@ -281,59 +447,58 @@ def run_full_refresh(
     The old star stays readable until the new one is committed. Each step leaves a log entry; an
     error is logged and raised again.
     """
-    log = _Log(store)
+    before = store.at()
+    batch = before.last.following(batch_ts or utc_now(), "full_refresh")
+    log, work = _Log(store, batch.attempt), _Work(store, batch)
     try:
-        before = store.at()
-        batch = before.last.following(batch_ts or utc_now(), "full_refresh")
-        batch = replace(
-            batch, base_batch=batch.batch_id, positions_asof=0, quarantine_batch=0
-        )
+        batch = replace(batch, runs=())
         highs = {r.source_table: r.max_row_version for r in max_versions(sources).collect()}
         for source, high in highs.items():
             batch = _mark(batch, source, high)
-        store.drop_attempt(batch.batch_id)
         loads = in_parallel(
-            lambda dim: _reload_dim(sources, store, batch, dim), DIM_SOURCE
+            lambda dim: _reload_dim(sources, store, batch, work, dim), DIM_SOURCE
         )
         for load, seconds in loads:
             batch = load.recorded(batch, highs)
             log.done(load.dim, load.new_rows, seconds)
         begin = utc_now()
-        dims = {load.dim: load.current for load, _ in loads}
+        dims = {dim: store.snapshot(batch).current_dim(dim) for dim in DIM_KEYS}
         keyed = facts.full_fact_rows(sources, dims, before.dim_date(), ratio_mode)
-        entries = stage(ledger.first_entries(keyed), f"{store.root}/stage/entries")
-        _, batch = _append(store, batch, 1, entries)
-        batch, waiting = _left_out(sources, store, batch, entries)
+        batch = _append(store, batch, work, "booked", ledger.first_entries(keyed))
+        lines, found = work.counted("digests", digests.of_orders(sources.order_details))
+        batch = _note_buckets(store, before, batch, lines if found else None)
+        batch, waiting = _left_out(sources, store, batch, lines)
         log.done("fact_sales", batch.fact_rows, seconds_between(begin, utc_now()), waiting)
         store.commit(batch)
         log.end()
-        return LoadResult(batch.batch_id, batch.fact_rows, batch.dims_written)
+        return LoadResult(batch.batch_id, batch.fact_rows, tuple(DIM_SOURCE))
     except Exception as error:
         log.failed(error)
         raise
+    finally:
+        work.drop()
 
 
 def _left_out(
-    sources: Sources, store: Store, batch: Batch, entries: DataFrame
+    sources: Sources, store: Store, batch: Batch, lines: DataFrame
 ) -> tuple[Batch, int]:
     """Lines that miss a member or a day: their orders wait for the next incremental load, which
     takes them up again although the marks have passed them."""
-    waiting = sources.order_details.count() - batch.fact_rows
+    waiting = (lines.agg(F.sum("n")).first()[0] or 0) - batch.fact_rows
     if not waiting:
         return batch, 0
-    lines = ledger.missing_lines(sources.order_details, entries)
-    stage(
-        lines.select("order_id").distinct(), f"{store.root}/quarantine/batch_id={batch.batch_id}"
-    )
-    return replace(batch, quarantine_batch=batch.batch_id), waiting
+    booked = store.snapshot(batch).fact()
+    left = ledger.missing_lines(sources.order_details, booked)
+    run = store.write(batch, "quarantine", left.select("order_id").distinct())
+    return batch.adding(run), waiting
 
 
-def _reload_dim(sources: Sources, store: Store, batch: Batch, dim: str) -> tuple[_DimLoad, int]:
+def _reload_dim(
+    sources: Sources, store: Store, batch: Batch, work: _Work, dim: str
+) -> tuple[_DimLoad, int]:
     begin = utc_now()
-    members = dimensions.MEMBERS[dim](sources, sources[DIM_SOURCE[dim]])
-    members = stage(members, f"{store.root}/stage/{dim}")
-    count = members.count()
+    members, count = work.counted(dim, dimensions.MEMBERS[dim](sources, sources[DIM_SOURCE[dim]]))
     rows = first_versions(members, dim, batch.batch_ts, batch.next_sk[dim])
     rows = rows.unionByName(unknown_member(store.spark, dim, batch.batch_ts))
-    written = store.write_dim(dim, batch.batch_id, rows)
-    return _DimLoad(dim, written, count), seconds_between(begin, utc_now())
+    run = store.write(batch, f"{dim}/base", rows)
+    return _DimLoad(dim, count, (run,)), seconds_between(begin, utc_now())

@@ -81,7 +81,7 @@ SOURCES: dict[str, T.StructType] = {
     "order_details": _struct(
         ("order_id", _L),
         ("product_id", _L),
-        ("line_no", _I),
+        ("line_no", _L),
         ("unit_price", MONEY),
         ("quantity", _I),
         ("discount", FRACTION),
@@ -174,7 +174,7 @@ FACT = _struct(
     ("shipper_sk", _L, True),
     ("order_id", _L, True),
     ("product_id", _L),
-    ("line_no", _I),
+    ("line_no", _L),
     ("unit_price", MONEY, True),
     ("quantity", _I, True),
     ("discount", FRACTION, True),
@@ -201,7 +201,7 @@ MEASURES = ("quantity", "sale_amount", "freight_alloc")
 POSITION = _struct(
     ("order_id", _L),
     ("product_id", _L),
-    ("line_no", _I),
+    ("line_no", _L),
     ("product_sk", _L),
     ("customer_sk", _L),
     ("employee_sk", _L),
@@ -214,6 +214,23 @@ POSITION = _struct(
     ("freight_alloc", MONEY_SUM),
 )
 
+# The digest of a set of order lines: how many, sum and exclusive or of their hashes. Rows of
+# several batches add up.
+DIGEST = _struct(
+    ("order_id", _L), ("n", _L), ("s", T.DecimalType(38, 0)), ("x", _L)
+)
+
+# What is known of each bucket of orders: the digest of its lines, ledger rows that are not in its
+# rolled-up balances yet, and balances that are.
+BUCKET = _struct(
+    ("bucket", _I),
+    ("n", _L),
+    ("s", T.DecimalType(38, 0)),
+    ("x", _L),
+    ("pending", _L),
+    ("rolled", _L),
+)
+
 LOAD_CONTROL = _struct(("source_table", _S, True), ("last_row_version", _L, True), ("updated_at", _TS))
 
 ETL_LOG = _struct(
@@ -224,6 +241,7 @@ ETL_LOG = _struct(
     ("status", _S, True),
     ("message", _S),
     ("duration_s", _L),
+    ("attempt", _S),
 )
 
 

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import atexit
+import hashlib
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Only settings that fit any cluster size; the partition count, memory and the folder come from
 # the cluster. Joins are left to Catalyst, whose broadcast threshold checks sizes.
@@ -78,3 +81,50 @@ def stage(df: DataFrame, path: str) -> DataFrame:
     """Write `df` once and read it back: cuts the lineage and survives lost executors."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage_counted(df: DataFrame, path: str) -> tuple[DataFrame, int]:
+    """As `stage`, with the number of rows, which the write itself observes."""
+    seen = Observation()
+    staged = stage(df.observe(seen, F.count(F.lit(1)).alias("rows")), path)
+    return staged, seen.get["rows"]
+
+
+def bucketed(spark: SparkSession, path: str, schema: StructType, by: str, buckets: int) -> DataFrame:
+    """Files that `stage_bucketed` wrote, as a table whose rows of one key lie in one bucket:
+    joins and sums by that column need no exchange. The table has a name in this session only."""
+    name = "salesmart_" + hashlib.md5(path.encode()).hexdigest()
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+        f"CLUSTERED BY (`{by}`) INTO {buckets} BUCKETS LOCATION '{path}'"
+    )
+    return spark.table(name)
+
+
+def stage_bucketed(df: DataFrame, path: str, by: str, buckets: int) -> DataFrame:
+    """Write `df` in buckets of the column `by`, sorted in each, one file per bucket."""
+    name = "salesmart_" + hashlib.md5(path.encode()).hexdigest()
+    dealt = df.repartition(buckets, by)  # the way that the buckets are dealt
+    writer = dealt.write.format("parquet").mode("overwrite").option("path", path)
+    writer.bucketBy(buckets, by).sortBy(by).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+# --- folders ------------------------------------------------------------------------------
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder on any file system Spark can reach; none if it is not there."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(hadoop_path):
+        return []
+    return [x.getPath().getName() for x in system.listStatus(hadoop_path)]
+
+
+def rename_path(spark: SparkSession, old: str, new: str) -> bool:
+    """Rename a folder, unless there is one of the new name."""
+    paths = spark._jvm.org.apache.hadoop.fs.Path
+    system = paths(old).getFileSystem(spark._jsc.hadoopConfiguration())
+    return not system.exists(paths(new)) and system.rename(paths(old), paths(new))

@@ -13,9 +13,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.schema import MONEY, SOURCES
-from salesmart.session import stage
+from salesmart.session import stage_bucketed
 from salesmart.sources.tables import Sources
 
+BUCKETS = 8
+
 
 @dataclass(frozen=True)
 class ChangeRules:
@@ -32,7 +34,8 @@ class ChangeRules:
 
 
 class SourceStates:
-    """States 1 to 4 over one staged copy of the order tables with their change marks."""
+    """States 1 to 4 over one staged copy of the order tables with their change marks, in buckets
+    of orders, so that the loads' sums and joins by order need no exchange of the lines."""
 
     def __init__(self, base: Sources, rules: ChangeRules, path: str):
         self._base, self._rules = base, rules
@@ -42,11 +45,11 @@ class SourceStates:
             F.expr(rules.recounted_order).alias("recounted"),
             F.expr(rules.refreighted_order).alias("refreighted"),
         )
-        self._orders = stage(orders, f"{path}/orders")
+        self._orders = stage_bucketed(orders, f"{path}/orders", "order_id", BUCKETS)
         lines = base.order_details.select(
             "*", F.expr(rules.cancelled_line).alias("cancelled")
         ).join(self._orders.select("order_id", "late", "recounted"), "order_id")
-        self._lines = stage(lines, f"{path}/order_details")
+        self._lines = stage_bucketed(lines, f"{path}/order_details", "order_id", BUCKETS)
 
     def state(self, number: int) -> Sources:
         dims = self._base if number == 1 else self._changed_dims()

@@ -1,31 +1,44 @@
-"""The star on shared storage: Parquet datasets, and one manifest row per committed batch.
+"""The star on shared storage: immutable folders of Parquet, and one manifest row per batch that
+names all folders which make up the star after it.
 
     dim_date/
-    <dim>/current/snapshot=N      current rows after batch N
-    <dim>/history/batch_id=N      rows that batch N expired
-    fact_sales/load=N/phase=P     appended ledger rows (phase 1 upserts, 2 deletions)
-    positions/asof=N              net balances up to batch N
-    manifest/batch_id=N           written last: what is not in a manifest row does not exist
-
-A batch that fails leaves files that no reader looks at; its retry has the same number and
-overwrites them. There is one writer at a time. Frequent small batches leave many small files;
-`Store.compact` rewrites them as one batch.
+    <dim>/base, delta             current rows: a base and the new rows of later batches
+    <dim>/expired, history        rows that were replaced: since the base, and before it
+    fact_sales/                   ledger rows
+    positions/                    net balances of a bucket of orders
+    digests/, buckets/            digests of the lines of orders, and what is known of each bucket
+    quarantine/                   lines that wait for a member or a day
+    manifest/batch_id=N           renamed into place last: what no manifest row names does not exist
+
+A run is one such folder. What a batch adds is a new run, so its bytes follow its changes; runs of
+one size class are merged when there are `FANOUT` of them, a dimension gets a new base when its deltas
+pass a share of it, and a bucket's balances are rolled up when its newer ledger rows do. A manifest
+row is whole by itself: a reader opens one row, whatever the number of batches. `Store.expire` removes old
+rows and the runs that only they name.
+
+A batch that fails leaves folders that no reader looks at. Two writers of one batch cannot both
+commit: the second finds the row in its place.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterable
 from dataclasses import dataclass, field, replace
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from salesmart.operators import digests
 from salesmart.operators.calendar import DEFAULT_END, DEFAULT_START, build_calendar
 from salesmart.operators.ledger import as_positions, rolled_up
 from salesmart.operators.scd2 import unknown_member
 from salesmart.schema import (
+    BUCKET,
+    DIGEST,
     DIM_DATE,
     DIM_KEYS,
     DIMS,
@@ -36,7 +49,30 @@ from salesmart.schema import (
     TRACKED,
     conform,
 )
-from salesmart.session import in_parallel, remove_path, stage
+from salesmart.session import (
+    folder_names,
+    in_parallel,
+    remove_path,
+    rename_path,
+    stage,
+    stage_counted,
+)
+
+#: Runs of one size class that are merged into one of the next.
+FANOUT = 8
+#: Buckets of orders, where `Store.create` is not told otherwise.
+BUCKETS = 16
+
+_RUN = T.StructType(
+    [
+        T.StructField("dataset", T.StringType()),
+        T.StructField("path", T.StringType()),
+        T.StructField("rows", T.LongType()),
+        T.StructField("tier", T.IntegerType()),
+        T.StructField("bucket", T.IntegerType()),
+        T.StructField("upto", T.LongType()),
+    ]
+)
 
 _MANIFEST = T.StructType(
     [
@@ -45,28 +81,37 @@ _MANIFEST = T.StructType(
         T.StructField("kind", T.StringType()),
         T.StructField("marks", T.MapType(T.StringType(), T.LongType())),
         T.StructField("marked_at", T.MapType(T.StringType(), T.TimestampType())),
-        T.StructField("dims_written", T.ArrayType(T.StringType())),
-        T.StructField("dims_expired", T.ArrayType(T.StringType())),
         T.StructField("next_sk", T.MapType(T.StringType(), T.LongType())),
         T.StructField("fact_rows", T.LongType()),
         T.StructField("next_fact_id", T.LongType()),
-        T.StructField("positions_asof", T.LongType()),
-        T.StructField("base_batch", T.LongType()),
-        T.StructField("quarantine_batch", T.LongType()),
+        T.StructField("buckets", T.IntegerType()),
+        T.StructField("runs", T.ArrayType(_RUN)),
         T.StructField("stream_epoch", T.StringType()),
+        T.StructField("attempt", T.StringType()),
     ]
 )
 
 _STORED_FACT = T.StructType(
-    [
-        *FACT.fields,
-        T.StructField("batch_id", T.LongType()),  # the batch that added the row
-        T.StructField("load", T.LongType()),  # the batch whose files hold it
-        T.StructField("phase", T.IntegerType()),
-    ]
+    [*FACT.fields, T.StructField("batch_id", T.LongType())]  # the batch that added the row
 )
 
 
+class CommitConflict(RuntimeError):
+    """Another writer has committed a batch of this number."""
+
+
+@dataclass(frozen=True)
+class Run:
+    """One folder of a dataset."""
+
+    dataset: str
+    path: str
+    rows: int
+    tier: int = 0  # its size class: how often rows like its were merged
+    bucket: int = -1  # of balances
+    upto: int = 0  # the batch whose rows are the last in it
+
+
 @dataclass(frozen=True)
 class Batch:
     """One manifest row."""
@@ -76,15 +121,13 @@ class Batch:
     kind: str
     marks: dict[str, int]
     marked_at: dict[str, datetime]
-    dims_written: tuple[str, ...] = ()  # dimensions with a new current snapshot
-    dims_expired: tuple[str, ...] = ()  # dimensions with newly expired rows
     next_sk: dict[str, int] = field(default_factory=lambda: {d: 1 for d in DIM_KEYS})
     fact_rows: int = 0
     next_fact_id: int = 1
-    positions_asof: int = 0  # 0: no balances rolled up yet
-    base_batch: int = 0  # files of batches before it were replaced: by a refresh or compacted
-    quarantine_batch: int = 0  # the batch whose quarantine is pending; 0: none
+    buckets: int = BUCKETS
+    runs: tuple[Run, ...] = ()
     stream_epoch: str | None = None
+    attempt: str = ""
 
     def following(self, batch_ts: datetime, kind: str) -> Batch:
         return replace(
@@ -92,12 +135,29 @@ class Batch:
             batch_id=self.batch_id + 1,
             batch_ts=batch_ts,
             kind=kind,
-            dims_written=(),
-            dims_expired=(),
             fact_rows=0,
             stream_epoch=None,
+            attempt=uuid.uuid4().hex[:12],
         )
 
+    def of(self, *datasets: str) -> list[Run]:
+        return [r for r in self.runs if r.dataset in datasets]
+
+    def adding(self, *runs: Run) -> Batch:
+        return replace(self, runs=(*self.runs, *runs))
+
+    def without(self, *datasets: str) -> Batch:
+        return replace(self, runs=tuple(r for r in self.runs if r.dataset not in datasets))
+
+    def instead(self, old: Iterable[Run], *new: Run) -> Batch:
+        gone = set(old)
+        return replace(self, runs=(*[r for r in self.runs if r not in gone], *new))
+
+
+def _batch(row: Row) -> Batch:
+    values = {**row.asDict(), "runs": tuple(Run(**r.asDict()) for r in row.runs)}
+    return Batch(**values)
+
 
 @dataclass(frozen=True)
 class Star:
@@ -114,12 +174,31 @@ class Star:
         return getattr(self, name.removeprefix("dim_"))
 
 
+_SCHEMAS = {
+    "fact_sales": _STORED_FACT,
+    "positions": POSITION,
+    "digests": DIGEST,
+    "buckets": BUCKET,
+    **{f"{d}/{part}": s for d, s in DIMS.items() for part in ("base", "delta", "expired", "history")},
+}
+
+
+#: Datasets whose runs are merged, and how their rows are laid out or added up.
+_MERGED = {
+    # by day for the reports, by order within a day
+    "fact_sales": lambda rows: rows.repartitionByRange("date_sk", "order_id").sortWithinPartitions(
+        "date_sk", "order_id"
+    ),
+    "digests": digests.merged,
+    **{f"{dim}/{part}": lambda rows: rows for dim in DIMS for part in ("delta", "expired", "history")},
+}
+
+
 class Snapshot:
-    """The star as of one committed batch."""
+    """The star as of one batch, or as far as a batch in work has come."""
 
-    def __init__(self, spark: SparkSession, root: str, batches: list[Batch]):
-        self._spark, self._root, self._batches = spark, root, batches
-        self.last = batches[-1]
+    def __init__(self, spark: SparkSession, root: str, last: Batch):
+        self._spark, self._root, self.last = spark, root, last
 
     def load_control(self) -> DataFrame:
         """One row per tracked source: its high-water mark and when that was set."""
@@ -127,53 +206,57 @@ class Snapshot:
         rows = [(t, marks.get(t, 0), times.get(t)) for t in TRACKED]
         return self._spark.createDataFrame(rows, LOAD_CONTROL)
 
-    def _since_base(self) -> list[Batch]:
-        return [b for b in self._batches if b.batch_id >= self.last.base_batch]
+    def read(self, *datasets: str, runs: list[Run] | None = None) -> DataFrame:
+        """The rows of datasets of one schema, from the folders that the batch names."""
+        schema = _SCHEMAS[datasets[0]]
+        runs = self.last.of(*datasets) if runs is None else runs
+        if not runs:
+            return self._spark.createDataFrame([], schema)
+        return self._spark.read.schema(schema).parquet(*[f"{self._root}/{r.path}" for r in runs])
 
     def current_dim(self, dim: str) -> DataFrame:
-        written = [b.batch_id for b in self._since_base() if dim in b.dims_written]
-        path = f"{self._root}/{dim}/current/snapshot={written[-1]}"
-        return self._spark.read.schema(DIMS[dim]).parquet(path)
+        """Base and deltas without the rows that were replaced since; those are few, so the join
+        filters the scan."""
+        rows = self.read(f"{dim}/base", f"{dim}/delta")
+        if not self.last.of(f"{dim}/expired"):
+            return rows
+        sk = DIM_KEYS[dim][0]
+        return rows.join(self.read(f"{dim}/expired").select(sk), sk, "left_anti")
 
     def dim(self, dim: str) -> DataFrame:
         """All versions of all members."""
-        current = self.current_dim(dim)
-        expired = [b.batch_id for b in self._since_base() if dim in b.dims_expired]
-        if not expired:
-            return current
-        paths = [f"{self._root}/{dim}/history/batch_id={b}" for b in expired]
-        return current.unionByName(self._spark.read.schema(DIMS[dim]).parquet(*paths))
+        return self.current_dim(dim).unionByName(self.read(f"{dim}/expired", f"{dim}/history"))
 
     def dim_date(self) -> DataFrame:
         return self._spark.read.schema(DIM_DATE).parquet(f"{self._root}/dim_date")
 
-    def _stored_rows(self, after: int = 0) -> DataFrame:
-        loads = [b.batch_id for b in self._since_base() if b.fact_rows and b.batch_id > after]
-        if not loads:
-            return self._spark.createDataFrame([], _STORED_FACT)
-        stored = self._spark.read.schema(_STORED_FACT).parquet(f"{self._root}/fact_sales")
-        return stored.filter(F.col("load").between(loads[0], loads[-1]))
-
     def fact(self) -> DataFrame:
-        """Ledger rows of the committed batches, with the number of the batch that added each."""
-        return self._stored_rows().drop("load", "phase")
-
-    def positions(self) -> DataFrame:
-        """Everything booked so far, as balances to be netted: the last roll-up plus newer rows."""
-        asof = self.last.positions_asof
-        newer = as_positions(self._stored_rows(after=asof))
-        if not asof:
-            return newer
-        rolled = self._spark.read.schema(POSITION).parquet(f"{self._root}/positions/asof={asof}")
-        return rolled.unionByName(newer)
+        """Ledger rows, with the number of the batch that added each."""
+        return self.read("fact_sales")
+
+    def positions(self, buckets: list[int] | None = None) -> DataFrame:
+        """Everything booked so far, as balances to be netted: per bucket its last roll-up and the
+        ledger rows after it. With `buckets` only theirs are read."""
+        read = range(self.last.buckets) if buckets is None else buckets
+        rolled = [r for r in self.last.of("positions") if r.bucket in set(read)]
+        found = {r.bucket: r.upto for r in rolled}
+        since = [found.get(b, 0) for b in range(self.last.buckets)]
+        starts = {since[b] for b in read}
+        least = min(starts, default=0)
+        newer = [r for r in self.last.of("fact_sales") if r.upto > least]
+        rows = self.read("fact_sales", runs=newer).filter(F.col("batch_id") > least)
+        bucket = digests.bucket_of(self.last.buckets)
+        if buckets is not None:
+            rows = rows.filter(bucket.isin(buckets))
+        if len(starts) > 1:
+            start = F.element_at(F.array(*[F.lit(s) for s in since]), bucket + 1)
+            rows = rows.filter(F.col("batch_id") > start)
+        return self.read("positions", runs=rolled).unionByName(as_positions(rows))
 
     def quarantine(self) -> DataFrame | None:
         """Lines that could not be booked for want of a calendar day."""
-        if not self.last.quarantine_batch:
-            return None
-        return self._spark.read.parquet(
-            f"{self._root}/quarantine/batch_id={self.last.quarantine_batch}"
-        )
+        runs = self.last.of("quarantine")
+        return self._spark.read.parquet(f"{self._root}/{runs[-1].path}") if runs else None
 
     def star(self) -> Star:
         return Star(
@@ -206,121 +289,193 @@ class Store:
         root: str,
         batch_ts: datetime,
         dim_date: DataFrame | None = None,
+        buckets: int = BUCKETS,
     ) -> Store:
         """An empty star: the calendar, the unknown members, and all marks at version 0.
 
         A star that is there already is not touched.
         """
         store = cls(spark, root)
-        if store.batches():
+        if store.numbers():
             raise FileExistsError(f"there is a star at {store.root}")
         if dim_date is None:
             dim_date = build_calendar(spark, DEFAULT_START, DEFAULT_END)
         dim_date.write.mode("overwrite").parquet(f"{store.root}/dim_date")
-        in_parallel(lambda dim: store.write_dim(dim, 0, unknown_member(spark, dim, batch_ts)), DIMS)
-        store.commit(
-            Batch(
-                batch_id=0,
-                batch_ts=batch_ts,
-                kind="create",
-                marks={t: 0 for t in TRACKED},
-                marked_at={t: batch_ts for t in TRACKED},
-                dims_written=tuple(DIMS),
-            )
+        batch = Batch(
+            batch_id=0,
+            batch_ts=batch_ts,
+            kind="create",
+            marks={t: 0 for t in TRACKED},
+            marked_at={t: batch_ts for t in TRACKED},
+            buckets=buckets,
+            attempt=uuid.uuid4().hex[:12],
+        )
+        members = in_parallel(
+            lambda dim: store.write(batch, f"{dim}/base", unknown_member(spark, dim, batch_ts)), DIMS
         )
+        store.commit(batch.adding(*members))
         return store
 
-    def batches(self, as_of: int | None = None) -> list[Batch]:
-        """Committed batches in order, from the base of the last one on: one small row for each
-        that changed anything since."""
-        try:
-            stored = self.spark.read.schema(_MANIFEST).parquet(f"{self.root}/manifest")
-        except AnalysisException as e:
-            if e.getCondition() == "PATH_NOT_FOUND":
-                return []
-            raise
-        if as_of is not None:
-            stored = stored.filter(F.col("batch_id") <= as_of)
-        base = stored.agg(F.max("base_batch")).scalar()
-        return [
-            Batch(
-                **{
-                    **r.asDict(),
-                    "dims_written": tuple(r.dims_written),
-                    "dims_expired": tuple(r.dims_expired),
-                }
-            )
-            for r in stored.filter(F.col("batch_id") >= base).orderBy("batch_id").collect()
-        ]
+    def numbers(self) -> list[int]:
+        """The committed batches that are kept, in order."""
+        names = folder_names(self.spark, f"{self.root}/manifest")
+        return sorted(int(n.removeprefix("batch_id=")) for n in names if n.startswith("batch_id="))
+
+    def batches(self, *numbers: int) -> list[Batch]:
+        """Some manifest rows, in order; all that are kept where none is named."""
+        numbers = numbers or tuple(self.numbers())
+        paths = [f"{self.root}/manifest/batch_id={n}" for n in numbers]
+        if not paths:
+            return []
+        rows = self.spark.read.schema(_MANIFEST).parquet(*paths).collect()
+        return sorted((_batch(r) for r in rows), key=lambda b: b.batch_id)
 
     def at(self, as_of: int | None = None) -> Snapshot:
-        """The star as of a batch; as of the last committed one by default."""
-        batches = self.batches(as_of)
-        if not batches:
+        """The star as of a batch; as of the last committed one by default. One row is read."""
+        numbers = [n for n in self.numbers() if as_of is None or n <= as_of]
+        if not numbers:
             raise FileNotFoundError(f"no star at {self.root}; use Store.create")
-        return Snapshot(self.spark, self.root, batches)
+        return self.snapshot(self.batches(numbers[-1])[0])
+
+    def snapshot(self, batch: Batch) -> Snapshot:
+        return Snapshot(self.spark, self.root, batch)
 
     def commit(self, batch: Batch) -> None:
-        row = [tuple(getattr(batch, f) for f in _MANIFEST.fieldNames())]
-        frame = self.spark.createDataFrame(row, _MANIFEST).coalesce(1)
-        frame.drop("batch_id").write.mode("overwrite").parquet(
-            f"{self.root}/manifest/batch_id={batch.batch_id}"
-        )
+        """Put the manifest row in its place, if there is none."""
+        values = [getattr(batch, f) for f in _MANIFEST.fieldNames()]
+        runs = [tuple(getattr(r, f) for f in _RUN.fieldNames()) for r in batch.runs]
+        values[_MANIFEST.fieldNames().index("runs")] = runs
+        frame = self.spark.createDataFrame([tuple(values)], _MANIFEST).coalesce(1)
+        own = f"{self.root}/manifest/_{batch.attempt}"
+        place = f"{self.root}/manifest/batch_id={batch.batch_id}"
+        frame.write.mode("overwrite").parquet(own)
+        moved = rename_path(self.spark, own, place)
+        # of two renames at one time the later may have moved its folder into the other's
+        if not moved or self.batches(batch.batch_id)[0].attempt != batch.attempt:
+            raise CommitConflict(f"batch {batch.batch_id} of {self.root} is committed already")
 
     # --- writing ------------------------------------------------------------------------
 
-    def write_dim(
-        self, dim: str, batch_id: int, current: DataFrame, expired: DataFrame | None = None
-    ) -> DataFrame:
-        if expired is not None:
-            path = f"{self.root}/{dim}/history/batch_id={batch_id}"
-            conform(expired, DIMS[dim]).write.mode("overwrite").parquet(path)
-        path = f"{self.root}/{dim}/current/snapshot={batch_id}"
-        return stage(conform(current, DIMS[dim]), path)
-
-    def drop_attempt(self, batch_id: int) -> None:
-        """Remove ledger rows that a failed attempt at a batch left behind."""
-        remove_path(self.spark, f"{self.root}/fact_sales/load={batch_id}")
-
-    def append_fact(self, batch_id: int, phase: int, rows: DataFrame) -> DataFrame:
-        path = f"{self.root}/fact_sales/load={batch_id}/phase={phase}"
-        numbered = conform(rows, FACT).withColumn("batch_id", F.lit(batch_id).cast("long"))
-        return stage(numbered, path)
-
-    def write_positions(self, batch_id: int, positions: DataFrame) -> None:
-        conform(positions, POSITION).write.mode("overwrite").parquet(
-            f"{self.root}/positions/asof={batch_id}"
-        )
+    def write(
+        self, batch: Batch, dataset: str, rows: DataFrame, tier: int = 0, name: str = ""
+    ) -> Run:
+        """A new run of a dataset, in a folder that no other attempt writes to."""
+        path = f"{dataset}/{batch.batch_id}-{batch.attempt}{name}"
+        schema = _SCHEMAS.get(dataset)
+        rows = conform(rows, schema) if schema else rows
+        _, count = stage_counted(rows, f"{self.root}/{path}")
+        return Run(dataset, path, count, tier, upto=batch.batch_id)
+
+    def merge_runs(self, batch: Batch) -> Batch:
+        """Merge runs where `FANOUT` of one size class have come together, one class per dataset.
+
+        A row is rewritten once per class, so a batch writes, on average, its own rows times the
+        number of classes, however many batches there have been.
+        """
+        for dataset in _MERGED:
+            by_tier: dict[int, list[Run]] = {}
+            for run in batch.of(dataset):
+                by_tier.setdefault(run.tier, []).append(run)
+            full = [t for t, runs in sorted(by_tier.items()) if len(runs) >= FANOUT]
+            if full:
+                batch = self._merged(batch, dataset, by_tier[full[0]], full[0] + 1)
+        return batch
+
+    def _merged(self, batch: Batch, dataset: str, runs: list[Run], tier: int) -> Batch:
+        rows = _MERGED[dataset](self.snapshot(batch).read(dataset, runs=runs))
+        run = self.write(batch, dataset, rows, tier, f"-{tier}")
+        return batch.instead(runs, run)
 
     def compact(self, batch_ts: datetime) -> None:
-        """Rewrite the files of all batches as those of one. Rows keep their batch numbers."""
-        before = self.at()
-        batch = before.last.following(batch_ts, "compact")
-        self.drop_attempt(batch.batch_id)
+        """Merge all runs of each dataset, whatever their sizes. Rows keep their batch numbers."""
+        batch = self.at().last.following(batch_ts, "compact")
         for dim in DIMS:
-            history = before.dim(dim).filter("NOT is_current")
-            self.write_dim(dim, batch.batch_id, before.current_dim(dim), history)
-        stage(before.fact(), f"{self.root}/fact_sales/load={batch.batch_id}/phase=0")
-        self.write_positions(batch.batch_id, rolled_up(before.positions()))
-        self.commit(
-            replace(
-                batch,
-                dims_written=tuple(DIMS),
-                dims_expired=tuple(DIMS),
-                fact_rows=before.last.next_fact_id - 1,
-                positions_asof=batch.batch_id,
-                base_batch=batch.batch_id,
-                stream_epoch=before.last.stream_epoch,
-            )
+            batch = self.new_base(batch, dim)
+        for dataset in _MERGED:
+            runs = batch.of(dataset)
+            if len(runs) > 1:
+                batch = self._merged(batch, dataset, runs, max(r.tier for r in runs) + 1)
+        batch = self.roll_up(batch, list(range(batch.buckets)))
+        self.commit(replace(batch, stream_epoch=self.at().last.stream_epoch))
+
+    def new_base(self, batch: Batch, dim: str) -> Batch:
+        """The current rows of a dimension as one run; what had expired since the last base is
+        history."""
+        parts = [f"{dim}/base", f"{dim}/delta"]
+        if len(batch.of(*parts)) < 2 and not batch.of(f"{dim}/expired"):
+            return batch
+        run = self.write(batch, f"{dim}/base", self.snapshot(batch).current_dim(dim), name="-base")
+        expired = [replace(r, dataset=f"{dim}/history") for r in batch.of(f"{dim}/expired")]
+        return batch.without(*parts, f"{dim}/expired").adding(run, *expired)
+
+    def roll_up(self, batch: Batch, buckets: list[int]) -> Batch:
+        """Net the balances of some buckets anew, each into a folder of its own."""
+        if not buckets:
+            return batch
+        at = self.snapshot(batch)
+        path = f"positions/{batch.batch_id}-{batch.attempt}"
+        bucket = digests.bucket_of(batch.buckets)
+        rows = rolled_up(at.positions(buckets)).withColumn("bucket", bucket)
+        rows.repartition("bucket").sortWithinPartitions("bucket", "order_id").write.mode(
+            "overwrite"
+        ).partitionBy("bucket").parquet(f"{self.root}/{path}")
+        written = {n for n in folder_names(self.spark, f"{self.root}/{path}") if n.startswith("bucket=")}
+        counts = {}
+        if written:
+            stored = self.spark.read.parquet(f"{self.root}/{path}").groupBy("bucket").count()
+            counts = {r["bucket"]: r["count"] for r in stored.collect()}  # a number per bucket
+        runs = [
+            Run("positions", f"{path}/bucket={b}", counts[b], bucket=b, upto=batch.batch_id)
+            for b in sorted(counts)
+        ]
+        old = [r for r in batch.of("positions") if r.bucket in set(buckets)]
+        known = at.read("buckets")
+        if counts:
+            sizes = F.array(*[F.lit(counts.get(b, 0)).cast("long") for b in range(batch.buckets)])
+        else:
+            sizes = F.array_repeat(F.lit(0).cast("long"), batch.buckets)
+        due = F.col("bucket").isin(buckets)
+        known = known.withColumns(
+            {
+                "pending": F.when(due, F.lit(0).cast("long")).otherwise(F.col("pending")),
+                "rolled": F.when(due, F.element_at(sizes, F.col("bucket") + 1)).otherwise(F.col("rolled")),
+            }
         )
+        # a bucket whose balances are all zero has no folder: its older rows must not be read again
+        empty = [
+            Run("positions", f"{path}/none", 0, bucket=b, upto=batch.batch_id)
+            for b in buckets
+            if b not in counts
+        ]
+        if empty:
+            stage(self.spark.createDataFrame([], POSITION), f"{self.root}/{path}/none")
+        batch = batch.instead(old, *runs, *empty)
+        table = self.write(batch, "buckets", known, name="-rolled")
+        return batch.without("buckets").adding(table)
+
+    def expire(self, keep: int) -> list[int]:
+        """Forget all batches but the last `keep`, and remove the runs that only they name."""
+        numbers = self.numbers()
+        old, kept = numbers[:-keep] if keep else [], numbers[-keep:]
+        if keep < 1 or not old:
+            return []
+        named = {r.path for b in self.batches(*kept) for r in b.runs}
+        gone = {r.path for b in self.batches(*old) for r in b.runs} - named
+        # the rows first: a reader that still finds one finds its files
+        for number in old:
+            remove_path(self.spark, f"{self.root}/manifest/batch_id={number}")
+        for path in sorted(gone):
+            remove_path(self.spark, f"{self.root}/{path}")
+        return old
 
     # --- audit log ------------------------------------------------------------------------
 
+    def next_log_id(self) -> int:
+        return (self._log().agg(F.max("log_id")).first()[0] or 0) + 1
+
     def append_log(self, entries: list[tuple]) -> None:
-        """Append (run_at, step, rows, status, message, seconds) entries in order."""
-        first = (self._log().agg(F.max("log_id")).first()[0] or 0) + 1
-        rows = [(first + i, *entry) for i, entry in enumerate(entries)]
-        frame = self.spark.createDataFrame(rows, ETL_LOG).coalesce(1)
+        """Append (log_id, run_at, step, rows, status, message, seconds, attempt) entries."""
+        frame = self.spark.createDataFrame(entries, ETL_LOG).coalesce(1)
         frame.write.mode("append").parquet(f"{self.root}/etl_log")
 
     def _log(self) -> DataFrame:

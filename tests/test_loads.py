@@ -214,11 +214,11 @@ def test_failed_batch_can_be_run_again(spark, root, monkeypatch):
 
 def test_options(spark, root):
     """Roll-ups after every batch, no empty versions, freight re-spread after a deletion."""
-    options = LoadOptions(only_if_changed=True, touch_on_delete=True, roll_up_every=1)
+    options = LoadOptions(only_if_changed=True, touch_on_delete=True, roll_up_rows=0, roll_up_share=0)
     store = Store.create(spark, root, at(1))
     both = [(1, 1, "5", 2, "0", 1), (1, 2, "5", 2, "0", 1)]
     run_incremental(spark, micro.sources(spark, order_details=both), store, at(2), options)
-    assert store.at().last.positions_asof == 1
+    assert [r.upto for r in store.at().last.of("positions")] == [1]
     bumped = [(1, "Tea", "C1", 1, "10 bags", "5", False, 2)]
     one = micro.sources(spark, order_details=both[:1], products=bumped)
     run_incremental(spark, one, store, at(3), options)
@@ -239,8 +239,8 @@ def test_options(spark, root):
 
     was = state()
     store.compact(at(5))
-    assert state() == was and len(store.batches()) == 1
-    assert len(store.batches(as_of=2)) == 3
+    assert state() == was and store.numbers() == [0, 1, 2, 3]
+    assert len(store.at().last.of("fact_sales")) == 1 < len(store.at(2).last.of("fact_sales"))
     more = micro.sources(spark, order_details=[(1, 1, "5", 4, "0", 2)], products=bumped)
     run_incremental(spark, more, store, at(6))
     assert entries(store, 4) == [
