@@ -7,14 +7,13 @@ from pyspark.sql import functions as F
 
 from salesmart.functions.text import full_name
 from salesmart.schema import DIM_ATTRS, DIM_KEYS
-from salesmart.sources.tables import Sources
+from salesmart.sources.tables import Sources, above
 
 
 def changed_since(df: DataFrame, low: int, high: int | None = None) -> DataFrame:
     """Rows with low < row version <= high. The upper bound keeps a row that changes while the
     batch runs for the next batch only."""
-    rows = df.filter(F.col("row_version") > F.lit(low))
-    return rows if high is None else rows.filter(F.col("row_version") <= F.lit(high))
+    return above(df, low, high)
 
 
 def product_members(sources: Sources, products: DataFrame) -> DataFrame:

@@ -71,7 +71,7 @@ _SOURCE = {
             cast(l_shipdate as date)), 0)) * 8 + l_linenumber as bigint) as line_no
         from lineitem""",
     "src_orders": """
-        select o_orderkey as order_id, o_custkey as customer_id,
+        select o_orderkey as order_id, cast(o_custkey as varchar) as customer_id,
           o_orderkey % (select count(*) from nation) as employee_id, o_orderdate as order_date,
           cast(split_part(o_orderpriority, '-', 1) as bigint) as ship_via,
           cast(o_totalprice as decimal(19,4)) as freight, cast(1 as bigint) as row_version
@@ -90,7 +90,7 @@ _SOURCE = {
         select s_suppkey as supplier_id, s_name as company_name, n_name as country
         from supplier left join nation on s_nationkey = n_nationkey""",
     "src_customers": """
-        select c_custkey as customer_id, c_name as company_name,
+        select cast(c_custkey as varchar) as customer_id, c_name as company_name,
           cast(null as varchar) as contact_name, c_mktsegment as contact_title,
           cast(null as varchar) as city, r_name as region, n_name as country,
           cast(null as varchar) as postal_code, cast(1 as bigint) as row_version

@@ -45,7 +45,7 @@ SOURCES: dict[str, T.StructType] = {
         ("row_version", _L),
     ),
     "customers": _struct(
-        ("customer_id", _L),
+        ("customer_id", _S),
         ("company_name", _S),
         ("contact_name", _S),
         ("contact_title", _S),
@@ -71,7 +71,7 @@ SOURCES: dict[str, T.StructType] = {
     ),
     "orders": _struct(
         ("order_id", _L),
-        ("customer_id", _L),
+        ("customer_id", _S),
         ("employee_id", _L),
         ("order_date", _TS),
         ("ship_via", _L),
@@ -116,6 +116,11 @@ DIM_SOURCE: dict[str, str] = {
     "dim_shipper": "shippers",
 }
 
+#: Natural keys are text or numbers.
+KEY_TYPES: dict[str, T.DataType] = {
+    key: SOURCES[DIM_SOURCE[dim]][key].dataType for dim, (_, key) in DIM_KEYS.items()
+}
+
 DIM_ATTRS: dict[str, tuple[tuple[str, T.DataType], ...]] = {
     "dim_product": (
         ("product_name", _S),
@@ -148,7 +153,7 @@ DIM_ATTRS: dict[str, tuple[tuple[str, T.DataType], ...]] = {
 }
 
 DIMS: dict[str, T.StructType] = {
-    name: _struct((sk, _L, True), (key, _L), *DIM_ATTRS[name], *_SCD)
+    name: _struct((sk, _L, True), (key, KEY_TYPES[key]), *DIM_ATTRS[name], *_SCD)
     for name, (sk, key) in DIM_KEYS.items()
 }
 

@@ -77,7 +77,7 @@ def read_retail(spark: SparkSession, sf_dir: str) -> Sources:
     customers = table("customer").join(
         place, F.col("c_nationkey") == F.col("n_nationkey"), "left"
     ).select(
-        F.col("c_custkey").alias("customer_id"),
+        F.col("c_custkey").cast("string").alias("customer_id"),
         F.col("c_name").alias("company_name"),
         _text().alias("contact_name"),
         F.col("c_mktsegment").alias("contact_title"),
@@ -112,7 +112,7 @@ def read_retail(spark: SparkSession, sf_dir: str) -> Sources:
     employee_count = nation.agg(F.count(F.lit(1))).scalar()
     orders = table("orders").select(
         F.col("o_orderkey").alias("order_id"),
-        F.col("o_custkey").alias("customer_id"),
+        F.col("o_custkey").cast("string").alias("customer_id"),
         (F.col("o_orderkey") % employee_count).alias("employee_id"),
         F.col("o_orderdate").cast("timestamp").alias("order_date"),
         number.cast("long").alias("ship_via"),

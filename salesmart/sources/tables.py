@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, fields, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType, StructType
 
-from salesmart.schema import SOURCES, TRACKED, conform
+from salesmart.schema import KEY_TYPES, SOURCES, TRACKED, conform
 from salesmart.session import bucketed, in_parallel, stage_bucketed
 
 
@@ -37,16 +38,64 @@ class Sources:
 BY_ORDER = ("orders", "order_details")
 
 
-def read_parquet(spark: SparkSession, root: str, buckets: int | None = None) -> Sources:
+#: The eight bytes of a binary row version, kept beside the number they say.
+VERSION_BYTES = "row_version_bytes"
+
+
+def version_number(version: Column) -> Column:
+    """The number that a row version of eight bytes says, the first byte being the highest. It
+    has the order of the bytes; versions from 2 ** 63 on are refused."""
+    return F.conv(F.hex(version), 16, 10).cast("decimal(20,0)").cast("long")
+
+
+def version_bytes(number: int) -> bytes:
+    return number.to_bytes(8, "big")
+
+
+def decoded(raw: DataFrame, schema: StructType) -> DataFrame:
+    """The declared columns of a table as a database gives it: numbers for binary row versions
+    (whose bytes stay, for filters that a scan can use), text keys without padding."""
+    columns = []
+    for f in schema.fields:
+        given = raw.schema[f.name].dataType
+        column = F.col(f.name)
+        if f.name == "row_version" and isinstance(given, BinaryType):
+            columns.append(column.alias(VERSION_BYTES))
+            column = version_number(column)
+        elif f.name in KEY_TYPES and isinstance(f.dataType, StringType):
+            column = F.rtrim(column.cast("string"))
+        columns.append(column.cast(f.dataType).alias(f.name))
+    return raw.select(*columns)
+
+
+def above(df: DataFrame, low: int, high: int | None = None) -> DataFrame:
+    """Rows with low < row version <= high; binary versions are compared as they are stored, so
+    that Parquet skips row groups by them too."""
+    rows = df
+    if VERSION_BYTES in df.columns:
+        rows = rows.filter(F.col(VERSION_BYTES) > F.lit(version_bytes(low)))
+        if high is not None:
+            rows = rows.filter(F.col(VERSION_BYTES) <= F.lit(version_bytes(high)))
+        return rows
+    rows = rows.filter(F.col("row_version") > F.lit(low))
+    return rows if high is None else rows.filter(F.col("row_version") <= F.lit(high))
+
+
+def read_parquet(
+    spark: SparkSession, root: str, buckets: int | None = None, as_stored: bool = False
+) -> Sources:
     """`root/<table>` holds each table as Parquet; the declared schema is imposed on it.
 
     Lines without a number are the only one of their order and product. With `buckets` orders and
     lines are files that `write_parquet` laid out so: sums and joins by order need no exchange.
+    `as_stored` takes the files' own types: binary row versions and padded keys are decoded.
     """
     tables = {}
     for name, schema in SOURCES.items():
         path = f"{root}/{name}"
-        if buckets and name in BY_ORDER:
+        if as_stored:
+            tables[name] = decoded(_with_number(spark.read.parquet(path), name), schema)
+        elif buckets and name in BY_ORDER:
             tables[name] = bucketed(spark, path, schema, "order_id", buckets)
         else:
             tables[name] = spark.read.schema(schema).parquet(path)
@@ -54,6 +103,12 @@ def read_parquet(spark: SparkSession, root: str, buckets: int | None = None) ->
     return Sources(**tables)
 
 
+def _with_number(raw: DataFrame, name: str) -> DataFrame:
+    if name == "order_details" and "line_no" not in raw.columns:
+        return raw.withColumn("line_no", F.lit(1).cast("long"))
+    return raw
+
+
 def _numbered(lines: DataFrame) -> DataFrame:
     return lines.withColumn("line_no", F.coalesce("line_no", F.lit(1).cast("long")))
 
@@ -90,25 +145,22 @@ def read_jdbc(
             reader = reader.options(
                 partitionColumn=column, lowerBound=lower, upperBound=upper, numPartitions=parts
             )
-        raw = reader.load()
-        if name == "order_details" and "line_no" not in raw.columns:
-            raw = raw.withColumn("line_no", F.lit(1))
-        tables[name] = raw.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+        tables[name] = decoded(_with_number(reader.load(), name), schema)
     return Sources(**tables)
 
 
-def max_versions(sources: Sources, above: dict[str, int] | None = None) -> DataFrame:
+def max_versions(sources: Sources, marks: dict[str, int] | None = None) -> DataFrame:
     """One row per tracked table: its highest row version, 0 when it is empty.
 
-    With `above`, only rows above a table's mark are looked at, so that Parquet skips row groups
+    With `marks`, only rows above a table's mark are looked at, so that Parquet skips row groups
     without any; a table with none keeps its mark.
     """
     frames = []
     for name in TRACKED:
-        mark = (above or {}).get(name, 0)
+        mark = (marks or {}).get(name, 0)
         rows = sources[name]
-        if above is not None:
-            rows = rows.filter(F.col("row_version") > F.lit(mark))
+        if marks is not None:
+            rows = above(rows, mark)
         highest = F.coalesce(F.max("row_version"), F.lit(mark).cast("long"))
         frames.append(
             rows.agg(F.lit(name).alias("source_table"), highest.alias("max_row_version"))

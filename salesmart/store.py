@@ -278,6 +278,33 @@ class Snapshot:
         flat_sales(star).createOrReplaceTempView("v_sales")
 
 
+def _select(root: str, runs: list[Run], schema: T.StructType) -> str:
+    """SQL over the folders of some runs."""
+    names = ", ".join(f"`{f.name}`" for f in schema.fields)
+    if not runs:
+        nulls = ", ".join(f"cast(null as {f.dataType.simpleString()}) as `{f.name}`" for f in schema.fields)
+        return f"select {nulls} where false"
+    return " union all ".join(f"select {names} from parquet.`{root}/{r.path}`" for r in runs)
+
+
+def star_sql(root: str, last: Batch) -> dict[str, str]:
+    """The star's tables after a batch as SQL that needs nothing but Spark and the folders."""
+    out = {
+        "dim_date": f"select * from parquet.`{root}/dim_date`",
+        "fact_sales": _select(root, last.of("fact_sales"), _STORED_FACT),
+    }
+    for dim, schema in DIMS.items():
+        sk = DIM_KEYS[dim][0]
+        rows = _select(root, last.of(f"{dim}/base", f"{dim}/delta"), schema)
+        expired = last.of(f"{dim}/expired")
+        if expired:
+            gone = _select(root, expired, schema)
+            rows = f"select * from ({rows}) c left anti join ({gone}) e on c.{sk} = e.{sk}"
+        older = last.of(f"{dim}/expired", f"{dim}/history")
+        out[dim] = f"{rows} union all {_select(root, older, schema)}" if older else rows
+    return out
+
+
 class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -453,6 +480,32 @@ class Store:
         table = self.write(batch, "buckets", known, name="-rolled")
         return batch.without("buckets").adding(table)
 
+    # --- other readers ------------------------------------------------------------------------
+
+    def publish(self, database: str, as_of: int | None = None) -> int:
+        """Views of the star in a database of the session's catalog, for readers that have
+        neither this package nor this session.
+
+        The views of a batch are `<table>_at_<n>` and never change; `<table>` shows the batch published last.
+        `published` holds its number and is replaced last: who reads several tables takes the
+        number first and then the views that carry it. Views of batches that `expire` forgot are dropped.
+        """
+        last = self.at(as_of).last
+        run = self.spark.sql
+        run(f"CREATE DATABASE IF NOT EXISTS {database}")
+        for name, sql in star_sql(self.root, last).items():
+            run(f"CREATE OR REPLACE VIEW {database}.{name}_at_{last.batch_id} AS {sql}")
+            run(f"CREATE OR REPLACE VIEW {database}.{name} AS SELECT * FROM {database}.{name}_at_{last.batch_id}")
+        run(f"CREATE OR REPLACE VIEW {database}.published AS SELECT {last.batch_id}L AS batch_id")
+        kept = set(self.numbers())
+        for row in run(f"SHOW VIEWS IN {database}").collect():  # a few per batch that is kept
+            name, at, number = row.viewName.rpartition("_at_")
+            if at and number.isdigit() and int(number) not in kept:
+                run(f"DROP VIEW IF EXISTS {database}.{row.viewName}")
+        return last.batch_id
+
+    # --- expiry -------------------------------------------------------------------------------
+
     def expire(self, keep: int) -> list[int]:
         """Forget all batches but the last `keep`, and remove the runs that only they name."""
         numbers = self.numbers()

@@ -19,6 +19,13 @@ DEFAULTS = {
 }
 
 
+def _typed(value, kind):
+    """Money may be given as text, text keys as numbers."""
+    if value is None:
+        return None
+    return Decimal(value) if kind == "decimal" else str(value) if kind == "string" else value
+
+
 def _numbered(name):
     """Lines may leave out their number: they are the only one of their product."""
     width = len(SOURCES[name].fields)
@@ -30,10 +37,7 @@ def sources(spark, **tables) -> Sources:
     frames = {}
     for name, schema in SOURCES.items():
         rows = [
-            tuple(
-                Decimal(v) if v is not None and f.dataType.typeName() == "decimal" else v
-                for v, f in zip(row, schema.fields)
-            )
+            tuple(_typed(v, f.dataType.typeName()) for v, f in zip(row, schema.fields))
             for row in map(_numbered(name), tables.get(name, DEFAULTS[name]))
         ]
         frames[name] = spark.createDataFrame(rows, schema)
