@@ -540,7 +540,7 @@ def score_texts(
     roots = max(LEAST_PARTS, parts // 4)
 
     posts = read.mapInArrow(_posts(parts), _POST)
-    state, _ = scratch.staged_alone(posts.groupBy("part").applyInArrow(_gather, _STATE))
+    state, state_path = scratch.staged_alone(posts.groupBy("part").applyInArrow(_gather, _STATE))
     ones, twos = _pairs_seen(state)
     discount = _discount(ones, twos)
     totals: list[_Totals] = []
@@ -561,7 +561,7 @@ def score_texts(
         state.groupBy("part").cogroup(replies.groupBy("part"))
         .applyInArrow(_answer(discount, model, totals), _REPLY)
     )
-    scratch.drop(*paths)
+    scratch.drop(state_path, *paths)
     last = totals[-1]
     scored = (
         read.mapInArrow(_asked(parts), _REPLY).union(answers)
