@@ -34,9 +34,9 @@ _ID_BITS = 21
 _ID_MASK = (1 << _ID_BITS) - 1
 #: Words of one text that are taken at a time; words that wait; words that all languages of a task
 #: have numbers for. Their sum stays below 2 ** _ID_BITS.
-_SEGMENT, _PENDING, _VOCABULARY = 1 << 18, 1 << 19, 300_000
+_SEGMENT, _PENDING, _VOCABULARY = 1 << 17, 1 << 18, 150_000
 #: A container with more phrases bursts; tries of a task with more are spilled down to half.
-BURST, SPILL = 8_192, 700_000
+BURST, SPILL = 8_192, 400_000
 _RUN_ROWS = 100_000
 #: Bits of the sieve of frequent pairs: 16 for each pair, so that it passes few others, and a
 #: proven bound of 128 MB. Beyond that it passes more; the counts stay exact.
