@@ -67,41 +67,90 @@ def stored_order_ids(stored: DataFrame, id_column: str, start: int = 1) -> tuple
     return rows.drop(_FILE, _ROW, "__before"), stored.count()
 
 
-def running_total(
-    df: DataFrame, value: str, totals: dict[str, Column], descending: bool = True
+def with_running_total(
+    df: DataFrame,
+    value: str,
+    totals: dict[str, Column],
+    descending: bool = True,
+    whole: str | None = None,
 ) -> DataFrame:
-    """For each distinct `value`: each total over all rows up to and including that value.
+    """The rows of `df` with each total over all rows up to and including their value.
 
     Equal values share one total, null ones too: nulls come first when ascending and last when
-    descending. They are folded into one row first, so that ties, however many, are not a hot key.
+    descending. Rows of one value may fill several files, so values that many rows share are not
+    a hot key: a file is summed by itself, and what a value that crosses its borders has in other
+    files is carried over with the sums of the files before. The rows are written once and joined
+    with one row per file only. With `whole`, the totals over all rows are added too, under names
+    that end so.
     """
     names = list(totals)
-    folded = df.groupBy(value).agg(*[totals[n].alias(n) for n in names])
     column = F.col(value)
     order = column.desc_nulls_last() if descending else column.asc_nulls_first()
-    located = _located(sorted_files(folded, order))
-    carried = _carry(located, {f"__{n}": F.sum(n) for n in names})
-    within = Window.partitionBy(_FILE).orderBy(_ROW)
+    located = _located(sorted_files(df, order, F.xxhash64(*df.columns)))
+    upto = Window.partitionBy(_FILE).orderBy(order)  # equal values included
+    same = Window.partitionBy(_FILE, value)
+    rows = located.withColumns(
+        {f"__upto_{n}": totals[n].over(upto) for n in names}
+        | {f"__same_{n}": totals[n].over(same) for n in names}
+    )
+    files = rows.groupBy(_FILE).agg(
+        F.min_by(F.struct(value), _ROW)[value].alias("__first"),
+        F.max_by(F.struct(value), _ROW)[value].alias("__last"),
+        *[F.max_by(f"__upto_{n}", _ROW).alias(f"__all_{n}") for n in names],
+        *[F.min_by(f"__same_{n}", _ROW).alias(f"__lead_{n}") for n in names],
+    )
+    before = Window.orderBy(*_by_file()).rowsBetween(Window.unboundedPreceding, -1)
+    led = Window.partitionBy("__first").orderBy(*_by_file())
+    every = Window.partitionBy()
+    zero = F.lit(0)
+    files = files.select(
+        "*",
+        *[F.coalesce(F.sum(f"__all_{n}").over(before), zero).alias(f"__before_{n}") for n in names],
+        *[F.sum(f"__lead_{n}").over(led).alias(f"__led_{n}") for n in names],
+        *[F.sum(f"__all_{n}").over(every).alias(f"__whole_{n}") for n in names],
+    )
+    # what the files that begin with a value have of it
+    leads = files.groupBy(F.col("__first").alias("__value")).agg(
+        *[F.sum(f"__lead_{n}").alias(f"__leads_{n}") for n in names]
+    )
+    alone = F.col("__first").eqNullSafe(F.col("__last"))
+    files = files.join(leads, F.col("__last").eqNullSafe(F.col("__value")), "left").select(
+        _FILE,
+        "__last",
+        *[f"__before_{n}" for n in names],
+        *[f"__whole_{n}" for n in names],
+        # ... of them those that come after this one
+        *[
+            (F.coalesce(f"__leads_{n}", zero) - F.when(alone, F.col(f"__led_{n}")).otherwise(zero))
+            .alias(f"__later_{n}")
+            for n in names
+        ],
+    )
+    kinds = {n: rows.schema[f"__upto_{n}"].dataType for n in names}
+    crosses = F.col(value).eqNullSafe(F.col("__last"))
     running = [
-        (F.sum(n).over(within) + F.col(f"__{n}")).cast(folded.schema[n].dataType).alias(n)
+        (
+            F.col(f"__upto_{n}")
+            + F.col(f"__before_{n}")
+            + F.when(crosses, F.col(f"__later_{n}")).otherwise(zero)
+        ).cast(kinds[n]).alias(n)
         for n in names
     ]
-    return located.join(carried, _FILE).select(value, *running)
+    more = [F.col(f"__whole_{n}").cast(kinds[n]).alias(f"{n}{whole}") for n in names if whole]
+    return rows.join(files, _FILE).select(*df.columns, *running, *more)
 
 
-def with_running_total(
+def running_total(
     df: DataFrame, value: str, totals: dict[str, Column], descending: bool = True
 ) -> DataFrame:
-    """The rows of `df` with `running_total` of their value; null values keep their rows."""
-    upto = running_total(df, value, totals, descending).withColumnRenamed(value, "__value")
-    return df.join(upto, F.col(value).eqNullSafe(F.col("__value"))).drop("__value")
+    """For each distinct `value`: each total over all rows up to and including that value."""
+    rows = with_running_total(df, value, totals, descending)
+    return rows.select(value, *totals).distinct()
 
 
 def rank_descending(df: DataFrame, value: str, rank_column: str) -> DataFrame:
     """1 + the number of rows with a greater value: ties share a rank and leave a gap."""
-    counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("__own"))
-    upto = running_total(df, value, {"__upto": F.count(F.lit(1))})
-    ranks = counts.join(
-        upto.withColumnRenamed(value, "__of"), F.col(value).eqNullSafe(F.col("__of"))
-    ).select("__of", (F.col("__upto") - F.col("__own") + 1).cast("int").alias(rank_column))
-    return df.join(ranks, F.col(value).eqNullSafe(F.col("__of"))).drop("__of")
+    count = {"__upto": F.count(F.lit(1))}
+    rows = with_running_total(df, value, count, descending=False, whole="_whole")
+    rank = (F.col("__upto_whole") - F.col("__upto") + 1).cast("int")
+    return rows.select(*df.columns, rank.alias(rank_column))

@@ -82,42 +82,64 @@ def kpi_by(star: Star, dim: str, *columns: str) -> DataFrame:
     return _finish(joined, *columns)
 
 
+def _coded(star: Star, dim: str, path: tuple[str, ...]) -> DataFrame:
+    """Each key of a dimension with a number for its place on the path and one for the place
+    above: numbers, not texts, move with the orders."""
+    sk = f"{dim}_sk"
+    rows = star.dim(dim).select(sk, *path)
+    for name, columns in (("__place", path), ("__parent", path[:-1])):
+        ids = rows.groupBy(*columns).agg(F.min(sk).alias(name))
+        ids = ids.toDF(*[f"__{c}" for c in columns], name)
+        on = _same(columns, "__")
+        rows = rows.join(ids, on).drop(*[f"__{c}" for c in columns])
+    return rows
+
+
 def rollup(star: Star, dim: str, *path: str) -> DataFrame:
     """The measures at every level of a drill-down path; `level` is the grouping id, 0 the
     finest and the highest value the grand total.
 
     Additive measures are summed at the finest level and rolled up from there. Distinct orders
-    go up by levels: those of a shorter path are the distinct ones of the longer path.
+    are counted pair by pair at the finest level only. From the level above it on they are bitmaps over
+    the order numbers, made in one pass and combined level by level: exact, and as mergeable as
+    sums.
     """
     sums = [F.sum(n).alias(n) for n in _SUMS]
     rolled = _additive(star, dim, path).rollup(*path).agg(
         F.grouping_id().cast("long").alias("level"), *sums
     )
-    spark, n = star.fact.sparkSession, len(path)
-    pairs = stage(_orders_of(star, dim, path), scratch_path(spark, "orders"))
-    counts = None
-    for kept in range(n, -1, -1):
-        if kept < n:
-            pairs = pairs.select(*path[:kept], "order_id").distinct()
-        missing = [
-            F.lit(None).cast(kind).alias(f"__{c}") for c, kind in _types(star, dim, path[kept:])
-        ]
-        level = pairs.groupBy(*path[:kept]).agg(F.count(F.lit(1)).alias("orders")).select(
-            *[F.col(c).alias(f"__{c}") for c in path[:kept]], *missing,
-            F.lit(2 ** (n - kept) - 1).cast("long").alias("__level"), "orders",
-        )
-        counts = level if counts is None else counts.unionByName(level)
+    spark, n, sk = star.fact.sparkSession, len(path), f"{dim}_sk"
+    codes = stage(_coded(star, dim, path), scratch_path(spark, "places"))
+    pairs = star.fact.select(sk, "order_id").distinct()
+    pairs = pairs.join(codes.select(sk, "__place", "__parent"), sk)
+    pairs = stage(
+        pairs.select("__place", "__parent", "order_id").distinct(), scratch_path(spark, "orders")
+    )
+    places = codes.groupBy("__place").agg(*[F.first(c).alias(c) for c in path])
+    fine = pairs.groupBy("__place").agg(F.count(F.lit(1)).alias("orders")).join(places, "__place")
+    fine = fine.select(*path, F.lit(0).cast("long").alias("level"), "orders")
+    upper = path[:-1]
+    bits = pairs.groupBy("__parent", F.bitmap_bucket_number("order_id").alias("__bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("order_id")).alias("__bits")
+    )
+    parents = codes.groupBy("__parent").agg(*[F.first(c).alias(c) for c in upper])
+    named = bits.join(parents, "__parent") if upper else bits
+    sets = [[*upper[:kept], "__bucket"] for kept in range(len(upper), -1, -1)]
+    merged = named.groupingSets(sets, *upper, "__bucket").agg(
+        F.grouping_id(*upper, "__bucket").alias("__set"),
+        F.bitmap_count(F.bitmap_or_agg("__bits")).alias("__n"),
+    )
+    # the bucket is always grouped by, and the finest column never here
+    level = (F.shiftright("__set", 1) * 2 + 1).cast("long")
+    above = merged.groupBy(*upper, level.alias("level")).agg(F.sum("__n").alias("orders"))
+    above = above.withColumn(path[-1], F.lit(None).cast(star.dim(dim).schema[path[-1]].dataType))
+    counts = fine.unionByName(above).toDF(*[f"__{c}" for c in path], "__level", "orders")
     on = (F.col("level") == F.col("__level")) & _same(path, "__")
     joined = rolled.join(counts, on, "left")
     joined = joined.withColumn("orders", F.coalesce("orders", F.lit(0)))
     return _finish(joined, *path, "level").orderBy(F.desc("level"), *path)
 
 
-def _types(star: Star, dim: str, columns: tuple[str, ...]) -> list[tuple]:
-    schema = star.dim(dim).schema
-    return [(c, schema[c].dataType) for c in columns]
-
-
 # The documented drill-down paths.
 HIERARCHIES = {
     "rollup_category_product": ("product", "category_name", "product_name"),

@@ -97,7 +97,7 @@ def employee_rank(star: Star) -> DataFrame:
     attrs = ["full_name", "title", "supervisor_name"]
     joined = star.fact.join(star.employee.select("employee_sk", *attrs), "employee_sk")
     sums = joined.groupBy(*attrs).agg(_orders(), _sales())
-    ranked = rank_descending(_staged(sums), "sales", "ranking")
+    ranked = rank_descending(sums, "sales", "ranking")
     return ranked.select(*attrs, "orders", "sales", "ranking").orderBy("ranking", "full_name")
 
 
@@ -220,16 +220,20 @@ def _pareto(running: DataFrame) -> DataFrame:
 def pareto_abc(star: Star) -> DataFrame:
     """Products by sales with their cumulative share; equal sales share one cumulative share.
 
-    The fact is read once: sums per product are staged, the running total that no single task
-    computes and the total start from there.
+    The fact is read once: sums per product are sorted into files, where the running total, which
+    no single task computes, and the total are taken from them.
     """
-    sums = _staged(product_sales(star))
-    running = with_running_total(sums, "sales", {"cum_sales": F.sum("sales")})
-    total = sums.agg(F.sum("sales").cast(MONEY_SUM)).scalar()
-    cumulative = running.withColumns(
-        {"cum_sales": F.col("cum_sales").cast(MONEY_SUM), "total_sales": total}
+    running = with_running_total(
+        product_sales(star), "sales", {"cum": F.sum("sales")}, whole="_whole"
+    )
+    return _pareto(
+        running.withColumns(
+            {
+                "cum_sales": F.col("cum").cast(MONEY_SUM),
+                "total_sales": F.col("cum_whole").cast(MONEY_SUM),
+            }
+        )
     )
-    return _pareto(cumulative)
 
 
 #: The same report under the name it had beside a form for small stars.
