@@ -16,6 +16,21 @@ def changed_since(df: DataFrame, low: int, high: int | None = None) -> DataFrame
     return above(df, low, high)
 
 
+def unseen(rows: DataFrame, source: str, key: str, seen: DataFrame) -> DataFrame:
+    """Rows whose version is above the one that was seen of their key."""
+    known = seen.filter(F.col("source_table") == source)
+    known = known.groupBy("key").agg(F.max("row_version").alias("__seen"))
+    known = known.withColumnRenamed("key", "__key")
+    on = (F.col(key).cast("string") == F.col("__key")) & (F.col("row_version") <= F.col("__seen"))
+    return rows.join(known, on, "left_anti")
+
+
+def noticed(rows: DataFrame, source: str, key: str, notices: DataFrame) -> DataFrame:
+    """Rows whose key a notice names."""
+    keys = notices.filter(F.col("source_table") == source).select(F.col("key").alias("__key"))
+    return rows.join(keys, F.col(key).cast("string") == F.col("__key"), "left_semi")
+
+
 def product_members(sources: Sources, products: DataFrame) -> DataFrame:
     category = sources.categories.select(
         "category_id", "category_name", F.col("description").alias("category_desc")

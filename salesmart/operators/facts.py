@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from salesmart.functions.dates import date_key, date_key_style112
 from salesmart.functions.numeric import allocate, line_amount
-from salesmart.operators.dimensions import changed_since
+from salesmart.operators.dimensions import changed_since, unseen
 from salesmart.schema import DIM_KEYS, MONEY, UNKNOWN_SK
 from salesmart.sources.tables import Sources
 
@@ -24,10 +24,14 @@ class Marks:
     details_high: int | None = None
 
 
-def affected_orders(sources: Sources, marks: Marks) -> DataFrame:
-    """Orders that changed, or with a line that changed; each once."""
+def affected_orders(sources: Sources, marks: Marks, seen: DataFrame | None = None) -> DataFrame:
+    """Orders that changed, or with a line that changed; each once. Versions that notices have
+    brought in already (`seen`) do not count."""
     orders = changed_since(sources.orders, marks.orders_low, marks.orders_high)
     lines = changed_since(sources.order_details, marks.details_low, marks.details_high)
+    if seen is not None:
+        orders = unseen(orders, "orders", "order_id", seen)
+        lines = unseen(lines, "order_details", "order_id", seen)
     return orders.select("order_id").union(lines.select("order_id")).distinct()
 
 

@@ -74,12 +74,19 @@ def run_incremental(
     batch_ts: datetime | None = None,
     options: LoadOptions = LoadOptions(),
     stream_epoch: str | None = None,
+    notices: DataFrame | None = None,
 ) -> LoadResult:
     """Load what changed since the last committed batch.
 
     Dimensions come first, then the lines of affected orders are reversed and booked anew, then
     lines that are gone from the source are reversed. Only the manifest row at the end makes the
     batch visible, so a batch that fails can simply be run again.
+
+    Without `notices` the batch is a sweep: all versions above the marks count, and the whole
+    source is searched for lines that are gone. With `notices` (source table, key, version) only
+    the members and orders that they name are read, orders and lines within the range of their
+    numbers. The marks stay then, and the versions seen are kept: the next sweep finds what no
+    notice told of, and does not book again what one did.
     """
     before = store.at()
     last = before.last
@@ -88,7 +95,7 @@ def run_incremental(
     batch = last.following(batch_ts or utc_now(), "incremental")
     work = _Work(store, batch)
     try:
-        batch, dims = _run_batch(sources, store, before, batch, work, options)
+        batch, dims = _run_batch(sources, store, before, batch, work, options, notices)
         if batch is None:
             return LoadResult(None)
         store.commit(replace(batch, stream_epoch=stream_epoch))
@@ -106,14 +113,29 @@ def _run_batch(
     batch: Batch,
     work: _Work,
     options: LoadOptions,
+    notices: DataFrame | None,
 ) -> tuple[Batch | None, tuple[str, ...]]:
     last = before.last
-    # Six rows.
-    found = max_versions(sources, last.marks).collect()
-    highs = {r.source_table: r.max_row_version for r in found}
+    named: set[str] = set()
+    if notices is None:
+        # Six rows.
+        found = max_versions(sources, last.marks).collect()
+        highs = {r.source_table: r.max_row_version for r in found}
+        changed_sources = {t for t, high in highs.items() if high > last.marks[t]}
+    else:
+        notices, count = work.counted("notices", _new_notices(before, notices))
+        if not count:
+            return None, ()
+        highs = last.marks
+        # at most one name per source
+        named = {r[0] for r in notices.select("source_table").distinct().collect()}
+        changed_sources = named & set(highs)
 
     loads = in_parallel(
-        lambda dim: _load_dim(sources, store, before, batch, work, dim, highs, options), DIM_KEYS
+        lambda dim: _load_dim(
+            sources, store, before, batch, work, dim, highs, options, changed_sources, notices
+        ),
+        DIM_KEYS,
     )
     for load in loads:
         batch = load.recorded(batch, highs)
@@ -123,25 +145,91 @@ def _run_batch(
     marks = facts.Marks(
         last.marks["orders"], last.marks["order_details"], highs["orders"], highs["order_details"]
     )
-    changed = marks.orders_high > marks.orders_low or marks.details_high > marks.details_low
-    touched = _touched_orders(sources, before, work, marks, changed, options)
+    changed = bool(changed_sources & {"orders", "order_details"})
+    touched = _touched_orders(sources, before, work, marks, changed, options, notices)
     lines = None
     if touched is not None:
         # Staged order numbers have a known size: few of them are broadcast to the scan of the
         # lines. Lines are staged because they are read more than once.
         touched = work.stage("touched", touched)
+        if notices is not None:
+            sources = _narrowed(sources, touched)
         lines = work.stage("lines", facts.lines_of(sources, touched))
-        batch = _load_lines(sources, store, before, batch, work, touched, lines, current)
-    if changed:
-        batch = _mark(batch, "orders", highs["orders"])
-        batch = _mark(batch, "order_details", highs["order_details"])
-    batch = _take_back_deleted(sources, store, before, batch, work, touched, lines)
+        sweep = notices is None
+        batch = _load_lines(
+            sources, store, before, batch, work, touched, lines, current, sweep
+        )
+    if notices is None:
+        if changed:
+            batch = _mark(batch, "orders", highs["orders"])
+            batch = _mark(batch, "order_details", highs["order_details"])
+        batch = batch.without("noticed")
+    else:
+        batch = batch.adding(*_seen(sources, store, batch, work, loads, touched, lines))
+    if notices is None or touched is not None:
+        sweep = notices is None
+        batch = _take_back_deleted(sources, store, before, batch, work, touched, lines, sweep)
     if batch.runs == last.runs and not changed:
         return None, ()
     due = _due_buckets(store, batch, options)
     return store.merge_runs(store.roll_up(batch, due)), dims
 
 
+def _new_notices(before: Snapshot, notices: DataFrame) -> DataFrame:
+    """Each key once, unless its version was seen."""
+    columns = ["source_table", "key", "row_version"]
+    rows = notices.filter("key is not null").select(*columns)
+    rows = rows.groupBy("source_table", "key").agg(F.max("row_version").alias("row_version"))
+    seen = before.read("noticed").groupBy("source_table", "key").agg(F.max("row_version").alias("__seen"))
+    known = rows.join(seen, ["source_table", "key"], "left")
+    return known.filter("__seen is null or row_version > __seen").select(*columns)
+
+
+def _narrowed(sources: Sources, touched: DataFrame) -> Sources:
+    """Orders and lines within the range of the touched numbers, a filter that the scan can use.
+    Two numbers come to the driver."""
+    low, high = touched.agg(F.min("order_id"), F.max("order_id")).first()
+    if low is None:
+        return sources
+    here = F.col("order_id").between(low, high)
+    return sources.with_tables(
+        orders=sources.orders.filter(here), order_details=sources.order_details.filter(here)
+    )
+
+
+def _seen(
+    sources: Sources,
+    store: Store,
+    batch: Batch,
+    work: _Work,
+    loads: list[_DimLoad],
+    touched: DataFrame | None,
+    lines: DataFrame | None,
+) -> list[Run]:
+    """The versions that this batch has read, of members, orders and lines."""
+
+    def versions(rows: DataFrame, source: str, key: str, version: str) -> DataFrame:
+        return rows.groupBy(
+            F.lit(source).alias("source_table"), F.col(key).cast("string").alias("key")
+        ).agg(F.max(version).alias("row_version"))
+
+    parts = [
+        versions(load.delta, DIM_SOURCE[load.dim], DIM_KEYS[load.dim][1], "source_version")
+        for load in loads
+        if load.delta is not None
+    ]
+    if touched is not None:
+        orders = sources.orders.join(touched, "order_id", "left_semi")
+        parts.append(versions(orders, "orders", "order_id", "row_version"))
+        parts.append(versions(lines, "order_details", "order_id", "row_version"))
+    if not parts:
+        return []
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    return [store.write(batch, "noticed", rows)]
+
+
 def _mark(batch: Batch, source: str, version: int) -> Batch:
     return replace(
         batch,
@@ -156,6 +244,7 @@ class _DimLoad:
     new_rows: int | None = None  # None: the source had not changed
     runs: tuple[Run, ...] = ()
     rebased: bool = False
+    delta: DataFrame | None = None
 
     def recorded(self, batch: Batch, highs: dict[str, int]) -> Batch:
         if self.new_rows is None:
@@ -179,27 +268,33 @@ def _load_dim(
     dim: str,
     highs: dict[str, int],
     options: LoadOptions,
+    changed_sources: set[str],
+    notices: DataFrame | None,
 ) -> _DimLoad:
     """New versions go to a delta beside the base; many of them make a new base."""
-    source = DIM_SOURCE[dim]
-    low, high = before.last.marks[source], highs[source]
-    if high <= low:
+    source, key = DIM_SOURCE[dim], DIM_KEYS[dim][1]
+    if source not in changed_sources:
         return _DimLoad(dim)
+    low = before.last.marks[source]
+    if notices is None:
+        rows = dimensions.changed_since(sources[source], low, highs[source])
+    else:
+        rows = dimensions.noticed(sources[source], source, key, notices)
+        rows = dimensions.changed_since(rows, low)
+    if before.last.of("noticed"):
+        rows = dimensions.unseen(rows, source, key, before.read("noticed"))
     current = before.current_dim(dim)
-    delta = dimensions.MEMBERS[dim](
-        sources, dimensions.changed_since(sources[source], low, high)
-    )
+    delta = dimensions.MEMBERS[dim](sources, rows)
     if options.only_if_changed:
         delta = really_changed(current, delta, dim)
-    delta, rows = work.counted(dim, delta)
+    delta, count = work.counted(dim, delta)
     first_sk = before.last.next_sk[dim]
     change = scd2_apply(current, delta, dim, batch.batch_ts, first_sk)
     loaded_before = first_sk > 1  # else there are no members whose rows could expire
-    newer = rows + sum(r.rows for r in before.last.of(f"{dim}/delta"))
+    newer = count + sum(r.rows for r in before.last.of(f"{dim}/delta"))
     base = sum(r.rows for r in before.last.of(f"{dim}/base"))
     rebased = newer > options.rebase_share * base
     if rebased:
-        key = DIM_KEYS[dim][1]
         kept = current.join(delta.select(key), key, "left_anti").select(*DIMS[dim].fieldNames())
         runs = [store.write(batch, f"{dim}/base", kept.unionByName(change.successors))]
     else:
@@ -208,7 +303,7 @@ def _load_dim(
         # what a base leaves out needs no join any more
         part = "history" if rebased else "expired"
         runs.append(store.write(batch, f"{dim}/{part}", change.expired))
-    return _DimLoad(dim, rows, tuple(runs), rebased)
+    return _DimLoad(dim, count, tuple(runs), rebased, delta)
 
 
 def _touched_orders(
@@ -218,15 +313,20 @@ def _touched_orders(
     marks: facts.Marks,
     changed: bool,
     options: LoadOptions,
+    notices: DataFrame | None,
 ) -> DataFrame | None:
     """Orders whose lines are to be booked anew; None when there are none for sure."""
     touched = []
-    if changed:
-        touched.append(facts.affected_orders(sources, marks))
+    if changed and notices is not None:
+        of_orders = notices.filter(F.col("source_table").isin("orders", "order_details"))
+        touched.append(of_orders.select(F.col("key").cast("long").alias("order_id")))
+    elif changed:
+        seen = before.read("noticed") if before.last.of("noticed") else None
+        touched.append(facts.affected_orders(sources, marks, seen))
         quarantine = before.quarantine()
         if quarantine is not None:
             touched.append(quarantine.select("order_id"))
-    if options.touch_on_delete:
+    if options.touch_on_delete and notices is None:
         lost, _ = _orders_that_lost_lines(sources, before, work, None, None)
         if lost is not None:
             known = before.positions(_buckets_of(lost, before.last.buckets))
@@ -260,15 +360,18 @@ def _load_lines(
     touched: DataFrame,
     lines: DataFrame,
     current: dict[str, DataFrame],
+    sweep: bool,
 ) -> Batch:
     """Phase 1: reverse and re-book the lines of the touched orders."""
     keyed = facts.keyed_lines(lines, sources.orders, current)
     drawn = work.stage("fresh", facts.with_calendar(keyed, before.dim_date()))
     fresh = drawn.filter("in_calendar").drop("in_calendar")
     undated = drawn.filter("NOT in_calendar").drop("in_calendar")
-    batch = batch.without("quarantine")
+    if sweep:
+        batch = batch.without("quarantine")  # what waited is among the touched orders
     if not undated.isEmpty():
-        batch = batch.adding(store.write(batch, "quarantine", undated))
+        waiting = undated.select("order_id").distinct()
+        batch = batch.adding(store.write(batch, "quarantine", waiting))
     entries = ledger.first_entries(fresh)
     if before.last.next_fact_id > 1:  # else the ledger is empty
         # also of lines that wait for their day: what they were booked under is taken back
@@ -300,13 +403,14 @@ def _orders_that_lost_lines(
     work: _Work,
     touched: DataFrame | None,
     lines: DataFrame | None,
+    sweep: bool = True,
 ) -> tuple[DataFrame | None, DataFrame | None]:
     """Orders that may have lost a line since the last batch, and what brings the stored digests
     up to date; None where nothing differs.
 
     The digests of touched orders are known from their lines. What is then expected of each
     bucket is compared with the source: one row per task and bucket is moved for that. Orders are
-    compared in buckets that differ only.
+    compared in buckets that differ only. Without `sweep` touched orders alone are looked at.
     """
     buckets = before.last.buckets
     stored = before.read("digests")
@@ -317,7 +421,7 @@ def _orders_that_lost_lines(
         found = work.stage("digests-touched", digests.changes(old, digests.of_orders(lines)))
         changes.append(found)
         expected = expected.unionByName(digests.per_bucket(found, buckets))
-    differing = digests.differing_buckets(expected, sources.order_details, buckets)
+    differing = sweep and digests.differing_buckets(expected, sources.order_details, buckets)
     if differing:
         here = digests.bucket_of(buckets).isin(differing)
         old = stored.filter(here)
@@ -342,9 +446,10 @@ def _take_back_deleted(
     work: _Work,
     touched: DataFrame | None,
     lines: DataFrame | None,
+    sweep: bool,
 ) -> Batch:
     """Phase 2: reverse what is still open of lines that are gone from the source."""
-    lost, added = _orders_that_lost_lines(sources, before, work, touched, lines)
+    lost, added = _orders_that_lost_lines(sources, before, work, touched, lines, sweep)
     if lost is not None:
         known = store.snapshot(batch).positions(_buckets_of(lost, batch.buckets))
         known = work.stage("known", known.join(lost, "order_id", "left_semi"))

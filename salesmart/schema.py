@@ -236,6 +236,12 @@ BUCKET = _struct(
     ("rolled", _L),
 )
 
+# Orders with lines that wait for a member or a day.
+QUARANTINE = _struct(("order_id", _L))
+
+# What notices have brought in since the last sweep: the version seen of a member or an order.
+NOTICED = _struct(("source_table", _S), ("key", _S), ("row_version", _L))
+
 LOAD_CONTROL = _struct(("source_table", _S, True), ("last_row_version", _L, True), ("updated_at", _TS))
 
 ETL_LOG = _struct(

@@ -8,6 +8,7 @@ names all folders which make up the star after it.
     positions/                    net balances of a bucket of orders
     digests/, buckets/            digests of the lines of orders, and what is known of each bucket
     quarantine/                   lines that wait for a member or a day
+    noticed/                      versions that notices brought in since the last sweep
     manifest/batch_id=N           renamed into place last: what no manifest row names does not exist
 
 A run is one such folder. What a batch adds is a new run, so its bytes follow its changes; runs of
@@ -45,7 +46,9 @@ from salesmart.schema import (
     ETL_LOG,
     FACT,
     LOAD_CONTROL,
+    NOTICED,
     POSITION,
+    QUARANTINE,
     TRACKED,
     conform,
 )
@@ -179,6 +182,8 @@ _SCHEMAS = {
     "positions": POSITION,
     "digests": DIGEST,
     "buckets": BUCKET,
+    "noticed": NOTICED,
+    "quarantine": QUARANTINE,
     **{f"{d}/{part}": s for d, s in DIMS.items() for part in ("base", "delta", "expired", "history")},
 }
 
@@ -254,9 +259,9 @@ class Snapshot:
         return self.read("positions", runs=rolled).unionByName(as_positions(rows))
 
     def quarantine(self) -> DataFrame | None:
-        """Lines that could not be booked for want of a calendar day."""
+        """Orders with lines that could not be booked for want of a member or a day."""
         runs = self.last.of("quarantine")
-        return self._spark.read.parquet(f"{self._root}/{runs[-1].path}") if runs else None
+        return self.read("quarantine").distinct() if runs else None
 
     def star(self) -> Star:
         return Star(

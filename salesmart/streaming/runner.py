@@ -1,8 +1,10 @@
 """The incremental load as a stream of change notices.
 
-A notice only says that something changed: the load re-reads the sources, because an order's
-freight shares need all of its lines and deletions need the whole source. The state between
-batches (marks, ledger) is in the store, not in the stream.
+A notice names a member or an order that changed: a micro-batch loads what its notices name, all
+lines of an order, because freight shares need them. A sweep, every so many epochs, reads the
+versions above the marks and searches the whole source: it finds deletions, which leave no
+notice, and changes whose notice was lost. The state between batches (marks, ledger) is in the
+store, not in the stream.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from salesmart.store import Store
 CHANGE_NOTICE = T.StructType(
     [
         T.StructField("source_table", T.StringType()),
-        T.StructField("key", T.LongType()),
+        T.StructField("key", T.StringType()),
         T.StructField("row_version", T.LongType()),
     ]
 )
@@ -40,12 +42,16 @@ def start_incremental_stream(
     clock: Callable[[int], datetime] | None = None,
     max_files: int | None = None,
     timed: bool = False,
+    sweep_every: int = 1,
 ) -> StreamingQuery:
     """Run the load whenever change notices arrive, once a minute by default.
 
     `timed` also runs it at every trigger without a notice, by the rows of a clock: a row that is
     deleted from a source leaves no version and so no notice behind, and is found only then.
 
+    Every epoch whose number `sweep_every` divides is a sweep, all of them by default; the others
+    load what their notices name.
+
     `sources_at` gives the sources to read in an epoch. An epoch that is replayed after a failure
     finds its number in the manifest and does nothing twice.
     """
@@ -53,7 +59,7 @@ def start_incremental_stream(
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
 
-    def load(_: DataFrame, epoch: int) -> None:
+    def load(events: DataFrame, epoch: int) -> None:
         run_incremental(
             spark,
             sources_at(epoch),
@@ -61,6 +67,7 @@ def start_incremental_stream(
             clock(epoch) if clock else None,
             options,
             stream_epoch=f"{stream_name}:{epoch}",
+            notices=events if epoch % sweep_every else None,
         )
 
     events = reader.parquet(notices)
