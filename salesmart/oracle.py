@@ -527,6 +527,29 @@ def _queries() -> dict[str, str]:
             select order_id, product_id, line_no, cast(sum(quantity) as bigint) as quantity,
               {_sum("sale_amount")} as sale_amount, {_sum("freight_alloc")} as freight_alloc
             from led2 group by 1, 2, 3 having sum(quantity) <> 0""",
+        "kept_balances": f"""
+            select order_id, product_id, line_no, cast(sum(quantity) as bigint) as quantity,
+              {_sum("sale_amount")} as sale_amount, {_sum("freight_alloc")} as freight_alloc
+            from led2 group by 1, 2, 3 having sum(quantity) <> 0""",
+        "order_digests": "select order_id, count(*) as n from s2_lines group by 1",
+        "changed_line_sets": """
+            select coalesce(a.order_id, b.order_id) as order_id,
+              coalesce(b.n, 0) - coalesce(a.n, 0) as more, coalesce(a.n, 0) as were
+            from (select order_id, count(*) as n, list(distinct (product_id, line_no)
+                order by (product_id, line_no)) as own from s1_lines group by 1) a
+              full join (select order_id, count(*) as n, list(distinct (product_id, line_no)
+                order by (product_id, line_no)) as own from s2_lines group by 1) b
+              on a.order_id = b.order_id
+            where a.own is distinct from b.own""",
+        # every line of state 1 has its members and its day: a refresh books what a first load does
+        "refresh_then_incremental": f"select {_ENTRY}, batch_id from led2",
+        "ledger_by_notices": f"""
+            select {_ENTRY}, cast(case when tx_type = '{TX_DELETION}'
+                and order_id not in (select order_id from affected2) then 3 else batch_id end
+              as bigint) as batch_id from led2""",
+        "check_line_keys": """
+            select count(*) as lines, count(distinct (order_id, product_id, line_no)) as keys
+            from src_lines""",
         "full_fact": f"select {_ENTRY} from full_fact",
         "full_fact_money_ratio": "select * from full_rows_money",
         "check_row_counts": """

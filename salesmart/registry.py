@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.functions.dates import date_key, date_key_style112
-from salesmart.operators import dimensions, facts, ledger, quality
+from salesmart.operators import digests, dimensions, facts, ledger, quality
 from salesmart.operators.calendar import calendar_for
 from salesmart.operators.ordering import dense_ids
 from salesmart.operators.scd2 import next_versions
@@ -17,7 +17,7 @@ from salesmart.plans import kpis, reports
 from salesmart.schema import DIM_ATTRS, DIM_KEYS, DIM_SOURCE, FACT, TX_DELETION, TX_ORIGINAL, UNKNOWN_SK
 from salesmart.sources.tables import max_versions
 from salesmart.store import Snapshot
-from salesmart.streaming.check import stream_and_batch_ledgers
+from salesmart.streaming.check import ledger_by_notices, stream_and_batch_ledgers
 from salesmart.workspace import Workspace, workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -162,6 +162,44 @@ def _net_positions(w: Workspace) -> DataFrame:
     )
 
 
+def _kept_balances(w: Workspace) -> DataFrame:
+    """The store's own balances per line: roll-ups of buckets and the rows after them."""
+    kept = ledger.rolled_up(w.incremental.at(2).positions())
+    return kept.groupBy(*ledger.LINE).agg(
+        F.sum("quantity").alias("quantity"),
+        F.sum("sale_amount").cast("decimal(29,4)").alias("sale_amount"),
+        F.sum("freight_alloc").cast("decimal(29,4)").alias("freight_alloc"),
+    ).filter("quantity <> 0")
+
+
+def _order_digests(w: Workspace) -> DataFrame:
+    """How many lines of each order the stored digests tell of, after two batches."""
+    return digests.merged(w.incremental.at(2).read("digests")).select("order_id", "n")
+
+
+def _changed_line_sets(w: Workspace) -> DataFrame:
+    """Orders whose lines are others in state 2, found by digests."""
+    before, after = w.states.state(1).order_details, w.states.state(2).order_details
+    found = digests.changes(digests.of_orders(before), digests.of_orders(after))
+    return found.select("order_id", F.col("n").alias("more"), "were")
+
+
+def _refresh_then_incremental(w: Workspace) -> DataFrame:
+    """State 1 by a full refresh, state 2 by an incremental load after it."""
+    return w.refreshed.at(2).fact().select(*LEDGER, "batch_id")
+
+
+def _ledger_by_notices(w: Workspace) -> DataFrame:
+    return ledger_by_notices(w).select(*LEDGER, "batch_id")
+
+
+def _check_line_keys(w: Workspace) -> DataFrame:
+    lines = w.base.order_details
+    return lines.groupBy(*ledger.LINE).agg(F.count(F.lit(1)).alias("n")).agg(
+        F.sum("n").alias("lines"), F.count(F.lit(1)).alias("keys")
+    )
+
+
 def _control_after_batch(w: Workspace) -> DataFrame:
     return w.incremental.at(2).load_control().select("source_table", "last_row_version")
 
@@ -245,6 +283,12 @@ def all_queries() -> dict[str, Query]:
         "incremental_noop": _incremental_noop,
         "reconcile_deletes": _reconcile_deletes,
         "net_positions": _net_positions,
+        "kept_balances": _kept_balances,
+        "order_digests": _order_digests,
+        "changed_line_sets": _changed_line_sets,
+        "refresh_then_incremental": _refresh_then_incremental,
+        "ledger_by_notices": _ledger_by_notices,
+        "check_line_keys": _check_line_keys,
         "control_after_batch": _control_after_batch,
         **{f"full_{dim}": _loaded(dim) for dim in DIM_KEYS},
         "full_fact": _full_fact,

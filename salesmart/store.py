@@ -28,7 +28,6 @@ from collections.abc import Iterable
 from dataclasses import dataclass, field, replace
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -537,12 +536,9 @@ class Store:
         frame.write.mode("append").parquet(f"{self.root}/etl_log")
 
     def _log(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(ETL_LOG).parquet(f"{self.root}/etl_log")
-        except AnalysisException as e:
-            if e.getCondition() == "PATH_NOT_FOUND":
-                return self.spark.createDataFrame([], ETL_LOG)
-            raise
+        if not folder_names(self.spark, f"{self.root}/etl_log"):
+            return self.spark.createDataFrame([], ETL_LOG)
+        return self.spark.read.schema(ETL_LOG).parquet(f"{self.root}/etl_log")
 
     def log_history(self) -> DataFrame:
         """Log entries, newest first."""

@@ -63,6 +63,14 @@ class Workspace:
             run_incremental(self.spark, state, self.incremental, batch_time(number))
         return self.incremental
 
+    @cached_property
+    def refreshed(self) -> Store:
+        """The star after a full refresh from source state 1 and an incremental load of state 2."""
+        store = self.new_store("refreshed")
+        run_full_refresh(self.spark, self.states.state(1), store, batch_time(1))
+        run_incremental(self.spark, self.states.state(2), store, batch_time(2))
+        return store
+
     @cached_property
     def full_star(self) -> Star:
         return self.full.at().star()
