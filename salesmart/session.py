@@ -102,11 +102,15 @@ def bucketed(spark: SparkSession, path: str, schema: StructType, by: str, bucket
     return spark.table(name)
 
 
-def stage_bucketed(df: DataFrame, path: str, by: str, buckets: int) -> DataFrame:
-    """Write `df` in buckets of the column `by`, sorted in each, one file per bucket."""
+def stage_bucketed(
+    df: DataFrame, path: str, by: str, buckets: int, dealt: bool = False
+) -> DataFrame:
+    """Write `df` in buckets of the column `by`, sorted in each, one file per bucket. Rows of one
+    key that lie in one task already are `dealt`."""
     name = "salesmart_" + hashlib.md5(path.encode()).hexdigest()
-    dealt = df.repartition(buckets, by)  # the way that the buckets are dealt
-    writer = dealt.write.format("parquet").mode("overwrite").option("path", path)
+    if not dealt:
+        df = df.repartition(buckets, by)  # the way that the buckets are dealt
+    writer = df.write.format("parquet").mode("overwrite").option("path", path)
     writer.bucketBy(buckets, by).sortBy(by).saveAsTable(name)
     return df.sparkSession.table(name)
 
