@@ -540,7 +540,9 @@ def score_texts(
     roots = max(LEAST_PARTS, parts // 4)
 
     posts = read.mapInArrow(_posts(parts), _POST)
-    state, state_path = scratch.staged_alone(posts.groupBy("part").applyInArrow(_gather, _STATE))
+    # in buckets by part: the exchanges below move what parts say, not what they are
+    gathered = posts.repartition(2 * parts, "part").groupBy("part").applyInArrow(_gather, _STATE)
+    state, state_path = scratch.staged_by_key(gathered, "part", 2 * parts)
     ones, twos = _pairs_seen(state)
     discount = _discount(ones, twos)
     totals: list[_Totals] = []
