@@ -7,8 +7,11 @@ only one row per file meets in one place. There is one way for every size.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from salesmart.session import scratch_path, stage
 
@@ -78,66 +81,80 @@ def with_running_total(
 
     Equal values share one total, null ones too: nulls come first when ascending and last when
     descending. Rows of one value may fill several files, so values that many rows share are not
-    a hot key: a file is summed by itself, and what a value that crosses its borders has in other
-    files is carried over with the sums of the files before. The rows are written once and joined
-    with one row per file only. With `whole`, the totals over all rows are added too, under names
-    that end so.
+    a hot key: a file is summed by itself, and what a value that crosses its border has in the
+    files after it is carried over with the sums of the files before. The rows are written once;
+    a row per file comes to the driver, as many as the range exchange has partitions. With
+    `whole`, the totals over all rows are added too, under names that end so.
     """
-    names = list(totals)
+    spark, names = df.sparkSession, list(totals)
     column = F.col(value)
     order = column.desc_nulls_last() if descending else column.asc_nulls_first()
     located = _located(sorted_files(df, order, F.xxhash64(*df.columns)))
-    upto = Window.partitionBy(_FILE).orderBy(order)  # equal values included
-    same = Window.partitionBy(_FILE, value)
-    rows = located.withColumns(
-        {f"__upto_{n}": totals[n].over(upto) for n in names}
-        | {f"__same_{n}": totals[n].over(same) for n in names}
-    )
-    files = rows.groupBy(_FILE).agg(
+    files = located.groupBy(_FILE).agg(
         F.min_by(F.struct(value), _ROW)[value].alias("__first"),
         F.max_by(F.struct(value), _ROW)[value].alias("__last"),
-        *[F.max_by(f"__upto_{n}", _ROW).alias(f"__all_{n}") for n in names],
-        *[F.min_by(f"__same_{n}", _ROW).alias(f"__lead_{n}") for n in names],
-    )
-    before = Window.orderBy(*_by_file()).rowsBetween(Window.unboundedPreceding, -1)
-    led = Window.partitionBy("__first").orderBy(*_by_file())
-    every = Window.partitionBy()
-    zero = F.lit(0)
-    files = files.select(
-        "*",
-        *[F.coalesce(F.sum(f"__all_{n}").over(before), zero).alias(f"__before_{n}") for n in names],
-        *[F.sum(f"__lead_{n}").over(led).alias(f"__led_{n}") for n in names],
-        *[F.sum(f"__all_{n}").over(every).alias(f"__whole_{n}") for n in names],
-    )
-    # what the files that begin with a value have of it
-    leads = files.groupBy(F.col("__first").alias("__value")).agg(
-        *[F.sum(f"__lead_{n}").alias(f"__leads_{n}") for n in names]
-    )
-    alone = F.col("__first").eqNullSafe(F.col("__last"))
-    files = files.join(leads, F.col("__last").eqNullSafe(F.col("__value")), "left").select(
-        _FILE,
-        "__last",
-        *[f"__before_{n}" for n in names],
-        *[f"__whole_{n}" for n in names],
-        # ... of them those that come after this one
-        *[
-            (F.coalesce(f"__leads_{n}", zero) - F.when(alone, F.col(f"__led_{n}")).otherwise(zero))
-            .alias(f"__later_{n}")
-            for n in names
-        ],
-    )
+        *[totals[n].alias(n) for n in names],
+    ).orderBy(*_by_file()).collect()
+    # files that begin with the value with which the one before ends
+    follow = [i for i in range(1, len(files)) if files[i]["__first"] == files[i - 1]["__last"]]
+    leads: dict[str, tuple] = {}
+    if follow:
+        firsts = spark.createDataFrame(
+            [(files[i][_FILE], files[i]["__first"]) for i in follow],
+            T.StructType([T.StructField("__of", T.StringType()), T.StructField("__value", df.schema[value].dataType)]),
+        )
+        tied = located.join(
+            F.broadcast(firsts),
+            (F.col(_FILE) == F.col("__of")) & column.eqNullSafe(F.col("__value")),
+            "left_semi",
+        )
+        summed = tied.groupBy(_FILE).agg(*[totals[n].alias(n) for n in names]).collect()
+        leads = {r[_FILE]: tuple(r[n] or 0 for n in names) for r in summed}
+    carried, before = [], tuple(0 for _ in names)
+    for i, file in enumerate(files):
+        later = tuple(0 for _ in names)
+        for j in range(i + 1, len(files)):
+            if files[j]["__first"] != file["__last"] or j not in follow:
+                break
+            later = tuple(a + b for a, b in zip(later, leads[files[j][_FILE]], strict=True))
+            if files[j]["__last"] != file["__last"]:
+                break
+        carried.append((file[_FILE], file["__last"], *before, *later))
+        before = tuple(a + (file[n] or 0) for a, n in zip(before, names, strict=True))
+    upto = Window.partitionBy(_FILE).orderBy(order)  # equal values included
+    rows = located.withColumns({f"__upto_{n}": totals[n].over(upto) for n in names})
     kinds = {n: rows.schema[f"__upto_{n}"].dataType for n in names}
-    crosses = F.col(value).eqNullSafe(F.col("__last"))
+
+    def typed(kind, number):
+        return Decimal(number) if isinstance(kind, T.DecimalType) else number
+
+    wide = [kinds[n] for n in names] * 2
+    sums = spark.createDataFrame(
+        [(f, last, *[typed(k, x) for k, x in zip(wide, more, strict=True)]) for f, last, *more in carried],
+        T.StructType(
+            [
+                T.StructField(_FILE, T.StringType()),
+                T.StructField("__last", df.schema[value].dataType),
+                *[T.StructField(f"__before_{n}", kinds[n]) for n in names],
+                *[T.StructField(f"__later_{n}", kinds[n]) for n in names],
+            ]
+        ),
+    )
+    crosses = column.eqNullSafe(F.col("__last"))
     running = [
         (
             F.col(f"__upto_{n}")
             + F.col(f"__before_{n}")
-            + F.when(crosses, F.col(f"__later_{n}")).otherwise(zero)
+            + F.when(crosses, F.col(f"__later_{n}")).otherwise(F.lit(0))
         ).cast(kinds[n]).alias(n)
         for n in names
     ]
-    more = [F.col(f"__whole_{n}").cast(kinds[n]).alias(f"{n}{whole}") for n in names if whole]
-    return rows.join(files, _FILE).select(*df.columns, *running, *more)
+    more = [
+        F.lit(typed(kinds[n], x)).cast(kinds[n]).alias(f"{n}{whole}")
+        for n, x in zip(names, before, strict=True)
+        if whole
+    ]
+    return rows.join(F.broadcast(sums), _FILE).select(*df.columns, *running, *more)
 
 
 def running_total(
