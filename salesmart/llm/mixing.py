@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesmart.llm.common import WORD, Scratch, whole_text
@@ -121,6 +121,13 @@ def _ln(n: int) -> float:
     return math.log(n)
 
 
+def _quota(budget: float, target: Target) -> Column:
+    """Tokens to read of a source. Without a budget no source is read less than once, whatever
+    the powers of large numbers are rounded to."""
+    quota = F.floor(F.col("__weight") * F.lit(budget) + 1e-6)
+    return quota if target.budget is not None else F.greatest(quota, F.col("tokens"))
+
+
 def mix_sources(
     docs: DataFrame, target: Target, source: str = "source", key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -163,7 +170,7 @@ def mix_sources(
     exponent, powers, budget = find_exponent(shares, target)
     quotas = (
         shares.withColumn("__weight", F.pow("share", F.lit(exponent)) / F.lit(powers))
-        .withColumn("__quota", F.floor(F.col("__weight") * F.lit(budget) + 1e-6))
+        .withColumn("__quota", _quota(budget, target))
         .withColumn("__whole", F.floor(F.col("__quota") / F.col("tokens")).cast("int"))
         .withColumn("__rest", F.col("__quota") - F.col("__whole") * F.col("tokens"))
     )

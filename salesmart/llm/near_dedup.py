@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from salesmart.llm import graph
 from salesmart.llm.common import (
     SIMILARITY_PERCENT,
+    WORD,
     Scratch,
     WordHashes,
     shingle_hashes,
@@ -34,6 +35,8 @@ from salesmart.llm.common import (
 )
 
 COORDINATES = 64
+#: Numbers from here on stand for rows whose id is taken by another text.
+_OTHERS = 1 << 62
 #: A pair just similar enough has fewer common coordinates than asked for with this chance.
 MISS = 1e-6
 #: Documents of a group that are compared at once with as many others.
@@ -359,9 +362,27 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each component; rows that repeat the kept id: the one of the least text."""
-    kept = near_duplicates(docs, key, text).filter("kept and doc_id is not null")
+    """The documents without near-duplicates: one row of each group stays.
+
+    Where groups are concerned a row is its id and its text: the id of a group is the least of
+    its rows, rows that share an id have groups of their own where their texts are not alike.
+    Rows without words, or without id, are like nothing and stay, all of them. Of rows that agree
+    in id and text one stays.
+    """
+    scratch = Scratch(docs.sparkSession, "distinct")
+    own = F.xxhash64(F.col(text))
+    worded = F.col(key).isNotNull() & F.coalesce(F.col(text).rlike(WORD), F.lit(False))
+    # ids of several texts are few: the first text keeps the id, others get one above all ids
+    several = scratch.stage(
+        docs.filter(worded).groupBy(F.col(key).alias("__of"))
+        .agg(F.min(own).alias("__first"), F.max(own).alias("__last"))
+        .filter("__first <> __last")
+    )
+    other = F.lit(_OTHERS) + F.pmod(F.xxhash64(F.col(key), F.col(text)), F.lit(_OTHERS // 2))
+    row = F.when(F.col("__of").isNull() | (own == F.col("__first")), F.col(key)).otherwise(other)
+    rows = docs.filter(worded).join(several, F.col(key) == F.col("__of"), "left")
+    rows = rows.withColumn("__row", row).select(*docs.columns, "__row")
+    kept = near_duplicates(rows.select("__row", text), "__row", text).filter("kept")
     kept = kept.select(F.col("doc_id").alias("__kept")).distinct()
-    alone = docs.filter(F.col(key).isNull())
-    first = docs.join(kept, F.col(key) == F.col("__kept"), "left_semi")
-    return first.dropDuplicates([key]).unionByName(alone)
+    first = rows.join(kept, F.col("__row") == F.col("__kept"), "left_semi")
+    return first.dropDuplicates(["__row"]).drop("__row").unionByName(docs.filter(~worded))

@@ -108,6 +108,21 @@ def test_one_of_each_group_stays(frame):
     )
 
 
+def test_rows_that_share_an_id_stay_where_their_texts_differ(frame):
+    rng = random.Random(8)
+    one, two, three = (text_of(rng, 60) for _ in range(3))
+    rows = [(1, one), (1, two), (2, three)]
+    left = near_dedup.drop_near_duplicates(frame(rows)).collect()
+    assert sorted((r.doc_id, r.text) for r in left) == sorted(rows)
+    # a copy of the second text goes, whatever id it has; its row of id 1 may be the one that stays
+    rows += [(7, two), (1, two), (9, edited(rng, one, 1))]
+    left = near_dedup.drop_near_duplicates(frame(rows)).collect()
+    assert Counter(r.text for r in left) == Counter([one, two, three])
+    blank = [(1, ""), (1, None), (2, ""), (2, ""), (2, " "), (2, "one two")]
+    left = near_dedup.drop_near_duplicates(frame(blank)).collect()
+    assert Counter((r.doc_id, r.text) for r in left) == Counter(blank)
+
+
 def test_matches_needed():
     assert near_dedup.least_matches(64, 75) in range(26, 34)
     assert near_dedup.least_matches(64, 100) == 64

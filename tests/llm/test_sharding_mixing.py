@@ -124,3 +124,21 @@ def test_mix_of_odd_rows(frame):
     assert not mixing.mix_sources(frame([]), mixing.Target(repeats=2.0)).collect()
     with pytest.raises(ValueError):
         mixing.Target()
+
+
+def test_no_source_is_read_less_than_once_however_large(spark, monkeypatch):
+    """Shares of 1e9 to 1e11 tokens: powers are rounded, the quota of the largest source is not."""
+    rng = random.Random(12)
+    for _ in range(6):
+        sizes = [rng.randrange(10**9, 10**11) for _ in range(rng.randrange(3, 9))]
+        shares = spark.createDataFrame(
+            [(f"s{i}", n, n / sum(sizes)) for i, n in enumerate(sizes)], "source string, tokens long, share double"
+        )
+        target = mixing.Target(repeats=2.0)
+        exponent, powers, budget = mixing.find_exponent(shares, target)
+        weight = F.pow("share", F.lit(exponent)) / F.lit(powers)
+        quotas = shares.withColumn("__weight", weight).withColumn("q", mixing._quota(budget, target))
+        rows = quotas.collect()
+        assert all(r.q >= r.tokens for r in rows)
+        assert all(r.q <= 2 * r.tokens + 1e-6 * r.tokens for r in rows)
+        assert min(r.q / r.tokens for r in rows) < 1 + 1e-9
