@@ -37,8 +37,8 @@ class Model:
 
 
 #: Tokens of a batch of texts; bytes of text for each part.
-BATCH_TOKENS = 2_000_000
-PART_BYTES, LEAST_PARTS = 8 << 20, 32
+BATCH_TOKENS = 2_500_000
+PART_BYTES, LEAST_PARTS = 12 << 20, 32
 #: Pairs of more customers seat this many exactly, the rest in growing blocks.
 EXACT = 200
 _WORK = 1_000_000
