@@ -176,6 +176,19 @@ def test_similar_paragraphs_equal_brute_force(frame):
     assert len(got ^ want) <= 0.02 * len(want)
 
 
+def test_hashed_lines_equal_split_words():
+    rng = random.Random(25)
+    texts = [None, "", " \t\n\n", "A b\x0bB\x0ca\r\n a", "mit Ümläuten 漢字\u2003x 😀\n", "\n\nend"]
+    texts += [" ".join(text_of(rng, 3, ["ab", "ba", "AB", "a", "b", "\n"]) for _ in range(40))]
+    hashes, words, lines = passages.hashed_lines(texts, passages.Powers())
+    split = [[p.split() for p in (t or "").encode().lower().split(b"\n")] for t in texts]
+    assert lines.tolist() == [len(t) for t in split]
+    assert words.tolist() == [len(p) for t in split for p in t]
+    flat = [w for t in split for p in t for w in p]
+    assert len(set(zip(flat, hashes.tolist(), strict=True))) == len(set(flat)) == len(set(hashes.tolist()))
+    assert [len(x) for x in passages.hashed_lines([], passages.Powers())] == [0, 0, 0]
+
+
 def test_periodic_texts_and_ranges(frame):
     """Ranges follow a word repeated for ever, and a period of a few words."""
     rng = random.Random(24)
