@@ -1,6 +1,7 @@
 import random
 from collections import Counter
 
+import numpy as np
 from tests_llm_help import ODD, text_of
 
 from salesmart.llm import near_dedup
@@ -126,3 +127,50 @@ def test_rows_that_share_an_id_stay_where_their_texts_differ(frame):
 def test_matches_needed():
     assert near_dedup.least_matches(64, 75) in range(26, 34)
     assert near_dedup.least_matches(64, 100) == 64
+
+
+def test_blocks_of_many_groups_come_in_a_few_batches(spark):
+    """Groups of any size, cut anywhere into batches, give the components that all pairs give; the
+    plan makes no Python group of each pair of blocks."""
+    rng = random.Random(41)
+    members = []
+    for group in range(120):
+        base = rng.sample(range(10**6), 60)
+        for _ in range(rng.choice([1, 2, 2, 3, 6, 7, 20])):
+            own = sorted({*base[: rng.randrange(30, 61)], *rng.sample(range(10**6), rng.randrange(12))})
+            members.append((len(members), len(members), group, np.array(own, np.uint64).tobytes()))
+    big = [np.array(sorted(rng.sample(range(90), 70)), np.uint64).tobytes() for _ in range(600)]
+    members += [(1000 + len(members) + i, i % 7 + 5000, 120, x) for i, x in enumerate(big)]
+
+    def tops(links):
+        over = {}
+
+        def top(c):
+            while c in over:
+                c = over[c]
+            return c
+
+        for a, b in links:
+            p, q = top(a), top(b)
+            if p != q:
+                over[max(p, q)] = min(p, q)
+        return {i: top(c) for i, c, _, _ in members}
+
+    component = {i: c for i, c, _, _ in members}
+    sets = {i: set(np.frombuffer(x, np.uint64).tolist()) for i, _, _, x in members}
+    links = [
+        (component[i], component[j])
+        for i, x, g, _ in members for j, y, h, _ in members
+        if g == h and i < j and x != y and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])
+    ]
+    rows = spark.createDataFrame(members, "id long, component long, group long, shingles binary")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        found = near_dedup.link_in_blocks(rows.drop("shingles"), rows.select("id", "shingles"))
+        assert "FlatMapGroups" not in found._jdf.queryExecution().toString()
+        got = [(component[a], component[b]) for a, b in found.collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert links and tops(got) == tops(links)
+    assert not near_dedup.link_in_blocks(
+        rows.drop("shingles").limit(0), rows.select("id", "shingles")).collect()

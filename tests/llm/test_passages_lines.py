@@ -1,6 +1,7 @@
 import random
 from collections import Counter
 
+import numpy as np
 from pyspark.sql import functions as F
 from tests_llm_help import ODD, text_of
 
@@ -359,3 +360,14 @@ def test_lines_of_odd_rows(frame):
     assert not line_dedup.drop_repeated_lines(frame([])).collect()
     clash = line_dedup.drop_repeated_lines(df.withColumn("lines", F.lit(1)))
     assert set(clash.columns) == {*df.columns, "lines", "n_lines", "n_removed"}
+
+
+def test_bitmaps_hold_their_ids_and_few_others(spark):
+    """Bitmaps of 2^20 bits let one in fifty of the others through."""
+    rng = random.Random(42)
+    ids = [rng.getrandbits(64) - 2**63 for _ in range(20_000)]
+    bits = passages._low_bits(spark.createDataFrame([(i,) for i in ids], "id long"))
+    assert passages._may_hold(bits, np.array(ids, np.int64)).all()
+    others = np.array([rng.getrandbits(64) - 2**63 for _ in range(200_000)], np.int64)
+    assert passages._may_hold(bits, others).mean() < 0.003
+    assert not passages._may_hold(passages._low_bits(spark.createDataFrame([], "id long")), others).any()
