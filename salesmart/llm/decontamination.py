@@ -36,15 +36,26 @@ def words(text: str) -> Column:
     return F.array_remove(F.split(ascii_lower(whole_text(text)), _SPACE), "")
 
 
-def _shingle_starts(words_: str, size: int) -> Column:
-    last = F.size(words_) - (size - 1)
-    return F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
+def _with_run_hashes(rows: DataFrame, size: int) -> DataFrame:
+    """Add `hashes`: of each run of `size` words, put together from runs of 1, 2 and 4 words."""
 
+    def both(left: str, right: str, skip: int) -> Column:
+        after = F.slice(right, skip + 1, F.size(right))
+        return F.zip_with(left, after, lambda x, y: F.xxhash64(x, y))
+
+    rows = rows.withColumn("ones", F.transform("words", lambda w: F.xxhash64(w)))
+    rows, have = rows.withColumn("hashes", F.col("ones")), 1
+    while have < size:  # what reaches beyond the end is cut off below
+        double = 2 * have <= size
+        rows = rows.withColumn("hashes", both("hashes", "hashes" if double else "ones", have))
+        have += have if double else 1
+    runs = F.greatest(F.size("words") - (size - 1), F.lit(0))
+    return rows.withColumn("hashes", F.slice("hashes", 1, runs)).drop("ones")
 
-def _hashes(words_: str, size: int) -> Column:
-    return F.transform(
-        _shingle_starts(words_, size), lambda i: F.xxhash64(F.slice(F.col(words_), i, size))
-    )
+
+def _heaviness(run: Column) -> Column:
+    """One, and one more for each word of four letters or more."""
+    return F.size(F.filter(run, lambda w: F.char_length(w) > 3)) + 1
 
 
 def weighted_shingles(words_: str) -> Column:
@@ -57,8 +68,7 @@ def weighted_shingles(words_: str) -> Column:
 
     def shingle(i: Column) -> Column:
         run = F.slice(F.col(words_), i, size)
-        heavy = F.size(F.filter(run, lambda w: F.char_length(w) > 3))
-        return F.struct(F.xxhash64(run).alias("h"), (heavy + 1).alias("w"))
+        return F.struct(F.xxhash64(run).alias("h"), _heaviness(run).alias("w"))
 
     starts = F.when(
         F.size(words_) > 0, F.sequence(F.lit(1), F.size(words_) - size + 1)
@@ -66,19 +76,48 @@ def weighted_shingles(words_: str) -> Column:
     return F.array_distinct(F.transform(starts, shingle))
 
 
+#: Four bits of a fingerprint are summed at once, each in sixteen bits of a long.
+_LANES, _LANE = 4, 16
+_LOWEST = sum(1 << (_LANE * lane) for lane in range(_LANES))
+
+
 def simhash(shingles: str) -> Column:
-    """Bit b is set if the shingles whose hash has it weigh more than the others."""
+    """Bit b is set if the shingles whose hash has it weigh more than the others; their weight is
+    in a column of its own."""
+    total = F.col(shingles + "_weight")
+
+    def mark(bit: Column, heavier: Column) -> Column:
+        one = F.call_function("shiftleft", F.lit(1).cast("long"), bit)
+        return F.when(heavier, one).otherwise(F.lit(0).cast("long"))
 
     def bit(so_far: Column, b: Column) -> Column:
-        sum_ = F.aggregate(
+        weight = F.aggregate(
             F.col(shingles),
             F.lit(0),
             lambda s, x: s + F.when(F.getbit(x["h"], b) == 1, x["w"]).otherwise(-x["w"]),
         )
-        one = F.call_function("shiftleft", F.lit(1).cast("long"), b)
-        return so_far.bitwiseOR(F.when(sum_ > 0, one).otherwise(F.lit(0).cast("long")))
+        return so_far.bitwiseOR(mark(b, weight > 0))
+
+    def sums(k: Column) -> Column:
+        return F.struct(k.alias("k"), F.aggregate(
+            F.col(shingles),
+            F.lit(0).cast("long"),
+            lambda s, x: s + x["w"] * F.call_function("shiftrightunsigned", x["h"], k)
+            .bitwiseAND(F.lit(_LOWEST)),
+        ).alias("sums"))
+
+    def bits(so_far: Column, x: Column) -> Column:
+        for lane in range(_LANES):
+            own = F.shiftrightunsigned(x["sums"], _LANE * lane).bitwiseAND(F.lit((1 << _LANE) - 1))
+            so_far = so_far.bitwiseOR(mark(x["k"] + _LANE * lane, 2 * own > total))
+        return so_far
 
-    return F.aggregate(F.sequence(F.lit(0), F.lit(BITS - 1)), F.lit(0).cast("long"), bit)
+    none = F.lit(0).cast("long")
+    several = F.transform(F.sequence(F.lit(0), F.lit(_LANE - 1)), sums)
+    # a lane holds the weight of windows of thousands of words; longer ones are summed bit by bit
+    return F.when(total < 1 << (_LANE - 1), F.aggregate(several, none, bits)).otherwise(
+        F.aggregate(F.sequence(F.lit(0), F.lit(BITS - 1)), none, bit)
+    )
 
 
 def _flipped(block: int, value: Column):
@@ -108,6 +147,44 @@ def _weight(shingles: Column) -> Column:
     return F.aggregate(shingles, F.lit(0), lambda s, x: s + x["w"])
 
 
+def _windows_that_may_reach(
+    hits: DataFrame, least: DataFrame, percent: int, scratch: Scratch
+) -> DataFrame:
+    """(row, start, n_words, aligned) of the windows that hold a shingle of an item of their length
+    and may be similar to some item, of any length.
+
+    hits: row, p, n_words, size, w, ats: the places of items' shingles, once for each length of the
+    items; least: size, other, least: the least weight of the items of a length. What a window has in
+    common with an item weighs at most as much as its places with shingles of items of that item's
+    length, so these must weigh `percent` of the least of them. Few windows do, and only these are
+    made of words.
+    """
+    hits = scratch.stage(hits)
+    enough = F.expr(f"100 * shared >= {percent} * least")
+    other = hits.withColumnRenamed("n_words", "other")
+    whole = other.groupBy("row", "size", "other").agg(F.sum("w").alias("shared"))
+    strong = whole.join(F.broadcast(least), ["size", "other"]).filter(enough)
+    strong = scratch.stage(strong.select("row", "size", "other", "least"))
+    able = hits.join(strong.select("row", "size").distinct(), ["row", "size"], "left_semi")
+    lengths = able.select("row", "size", "n_words").distinct()
+
+    def spread(rows: DataFrame) -> DataFrame:
+        """With the start of every window that holds the shingle, those before the text too."""
+        return rows.withColumn("start", F.explode(F.sequence(
+            F.col("p") + F.col("size") - F.col("n_words"), F.col("p"))))
+
+    near = (
+        spread(other.join(strong, ["row", "size", "other"]).join(lengths, ["row", "size"]))
+        .groupBy("row", "start", "n_words", "other").agg(
+            F.sum("w").alias("shared"), F.first("least").alias("least"))
+        .filter(enough).select("row", "start", "n_words").distinct()
+    )
+    own = spread(able).groupBy("row", "start", "n_words").agg(
+        F.max(F.array_contains("ats", F.col("p") - F.col("start"))).alias("aligned")
+    )
+    return own.join(near, ["row", "start", "n_words"])
+
+
 def contamination(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -131,64 +208,76 @@ def contamination(
         benchmark.select(F.col(item_key).alias("item_id"), words(item_text).alias("words"))
         .filter(F.size("words") > 0)
         .withColumn("shingles", weighted_shingles("words"))
+        .withColumn("shingles_weight", _weight(F.col("shingles")))
         .withColumn("fingerprint", simhash("shingles"))
         .select("item_id", F.size("words").alias("n_words"), "words", "shingles", "fingerprint")
     )
     found = items.withColumn("size", F.least("n_words", F.lit(SHINGLE)))
+    least = found.groupBy("size", F.col("n_words").alias("other")).agg(
+        F.min(_weight(F.col("shingles"))).alias("least"))
     # the first place of each shingle in its item gives the alignment
-    posted = found.select(
-        "item_id", "n_words", "size",
-        F.posexplode(F.transform(
+    posted = None
+    for size in [r["size"] for r in found.select("size").distinct().collect()]:
+        some = _with_run_hashes(found.filter(F.col("size") == size), size)
+        weights = F.transform(
             F.sequence(F.lit(1), F.col("n_words") - F.col("size") + 1),
-            lambda i: F.xxhash64(F.slice("words", i, F.col("size"))),
-        )).alias("at", "hash"),
-    )
-    posted = scratch.stage(
-        posted.groupBy("item_id", "hash", "n_words", "size").agg(F.min("at").alias("at"))
-        .groupBy("hash", "n_words", "size").agg(F.collect_set("at").alias("ats"))
-    )
-    sizes = {r["size"]: r["n"] for r in posted.groupBy("size").agg(
-        F.count(F.lit(1)).alias("n")).collect()}
-    texts = docs.select(F.col(key).alias("doc_id"), words(text).alias("words"))
-    hits = None
-    for size, rows in sizes.items():
-        passes = -(-rows // BROADCAST_SHINGLES)
+            lambda i: _heaviness(F.slice("words", i, F.col("size"))),
+        )
+        some = some.select(
+            "item_id", "n_words", "size", F.posexplode(F.arrays_zip(
+                F.col("hashes").alias("hash"), weights.alias("w"))).alias("at", "of"),
+        ).select("item_id", "n_words", "size", "at", "of.hash", "of.w")
+        posted = some if posted is None else posted.union(some)
+    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+    rows = rows.withColumn("row", F.xxhash64("doc_id", whole_text()))
+    hits, sizes = None, {}
+    if posted is not None:
+        posted = scratch.stage(
+            posted.groupBy("item_id", "hash", "n_words", "size")
+            .agg(F.min("at").alias("at"), F.max("w").alias("w"))
+            .groupBy("hash", "n_words", "size")
+            .agg(F.collect_set("at").alias("ats"), F.max("w").alias("w"))
+        )
+        sizes = {r["size"]: r["n"] for r in posted.groupBy("size").agg(
+            F.count(F.lit(1)).alias("n")).collect()}
+    for size, n in sizes.items():
+        passes = -(-n // BROADCAST_SHINGLES)
+        hashed = _with_run_hashes(rows.select("row", words("text").alias("words")), size)
         for part in range(passes):
             some = posted.filter(
                 (F.col("size") == size) & (F.pmod("hash", F.lit(passes)) == part)
-            ).select("hash", "n_words", "ats")
+            )
+            # an outer explode has no filter pushed below it that would hash all runs once more
             hit = (
-                texts.select(
-                    "doc_id", "words", F.posexplode(_hashes("words", size)).alias("p", "hash")
-                )
+                hashed.select("row", F.posexplode_outer("hashes").alias("p", "hash"))
                 .join(F.broadcast(some), "hash")
-                # every window of the item's length that holds the shingle, those before the text too
-                .withColumn("start", F.explode(F.sequence(
-                    F.col("p") + F.lit(size) - F.col("n_words"), F.col("p"))))
-                .withColumn("from", F.greatest("start", F.lit(0)))
-                .select(
-                    "doc_id",
-                    (F.col("from") + 1).alias("start"),
-                    F.array_join(
-                        F.slice("words", F.col("from") + 1,
-                                F.col("start") + F.col("n_words") - F.col("from")), " "
-                    ).alias("window"),
-                    F.array_contains("ats", F.col("p") - F.col("start")).alias("aligned"),
-                )
+                .select("row", "p", "n_words", "size", "w", "ats")
             )
             hits = hit if hits is None else hits.union(hit)
     if hits is None:
-        hits = texts.select(
-            "doc_id", F.lit(1).alias("start"), F.lit("").alias("window"), F.lit(True).alias("aligned")
+        wanted = rows.select(
+            "row", F.lit(0).alias("start"), F.lit(1).alias("n_words"), F.lit(True).alias("aligned")
         ).filter(F.lit(False))
+    else:
+        wanted = scratch.stage(_windows_that_may_reach(hits, least, percent, scratch))
+    wanted = wanted.groupBy(F.col("row").alias("of")).agg(
+        F.collect_list(F.struct("start", "n_words", "aligned")).alias("wanted")
+    )
+    first = F.greatest("at.start", F.lit(0))
+    # the windows grow with the documents: the same join by shuffle whatever their number
     windows = scratch.stage(
-        hits.groupBy("doc_id", "start", "window").agg(F.max("aligned").alias("aligned"))
-        .withColumn("words", F.split("window", " "))
+        rows.join(wanted.hint("merge"), F.col("row") == F.col("of"))
+        .select("doc_id", words("text").alias("all"), "wanted")
+        .select("doc_id", "all", F.explode("wanted").alias("at"))
+        .select(
+            "doc_id", (first + 1).alias("start"), "at.aligned",
+            F.slice("all", first + 1, F.col("at.start") + F.col("at.n_words") - first).alias("words"),
+        )
         .withColumn("shingles", weighted_shingles("words"))
+        .withColumn("shingles_weight", _weight(F.col("shingles")))
         .withColumn("fingerprint", simhash("shingles"))
         .select(
-            "doc_id", "start", "fingerprint", "shingles", "aligned",
-            F.size("words").alias("n_words"), F.xxhash64("window").alias("window"),
+            "doc_id", "start", "fingerprint", "shingles", "aligned", F.size("words").alias("n_words"),
         )
     )
     # windows that say the same are looked up once

@@ -149,3 +149,40 @@ def test_no_python_in_the_plan(spark, small):
     for name in ("op1_secrets", "op2_decontamination", "op5_chat_format"):
         plan = queries.QUERIES[name](spark, small)._jdf.queryExecution().toString()
         assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_only_windows_that_may_be_similar_are_made(spark, frame, monkeypatch):
+    """A shingle that all texts share makes no windows; a whole item makes those at its place. An
+    item of one length is found by windows of another item's length too."""
+    rng = random.Random(31)
+    common = text_of(rng, 5)
+    bench = [(i, common + " " + text_of(rng, 25 + i)) for i in range(8)]
+    rows = [(i, text_of(rng, 40) + " " + common + " " + text_of(rng, 40)) for i in range(50)]
+    rows += [(50 + i, text_of(rng, 40) + " " + t + " " + text_of(rng, 40)) for i, t in bench]
+    made, reach = [], decontamination._windows_that_may_reach
+
+    def counted(hits, least, percent, scratch):
+        found = scratch.stage(reach(hits, least, percent, scratch))
+        made.append((hits.count(), found.groupBy("row").count().collect()))
+        return found
+
+    monkeypatch.setattr(decontamination, "_windows_that_may_reach", counted)
+    got = decontamination.contamination(frame(rows), items(spark, bench)).collect()
+    assert {(50 + i, i) for i, _ in bench} == {(r.doc_id, r.item_id) for r in got}
+    hits, windows = made[0]
+    assert hits > 50 * 8 and len(windows) == 8
+    assert max(r["count"] for r in windows) < 8 * 40
+
+
+def test_fingerprints_of_light_and_heavy_windows(spark):
+    rng = random.Random(32)
+    rows = [[(rng.getrandbits(64) - 2**63, rng.randrange(1, 7)) for _ in range(n)]
+            for n in (1, 2, 30, 9_000, 12_000)]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(rows)],
+                               "i int, s array<struct<h: long, w: int>>")
+    df = df.withColumn("s_weight", decontamination._weight(F.col("s")))
+    got = {r.i: r.f for r in df.select("i", decontamination.simhash("s").alias("f")).collect()}
+    assert sum(w for _, w in rows[3]) < 2**15 < sum(w for _, w in rows[4])
+    for i, x in enumerate(rows):
+        want = sum(1 << b for b in range(64) if sum(w if h >> b & 1 else -w for h, w in x) > 0)
+        assert got[i] % 2**64 == want
