@@ -13,19 +13,20 @@ many to a row.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import Scratch, mix, words_of
+from salesmart.llm.common import Scratch, mix
 
 
 @dataclass(frozen=True)
@@ -39,6 +40,8 @@ class Model:
 #: Tokens of a batch of texts; bytes of text for each part.
 BATCH_TOKENS = 2_000_000
 PART_BYTES, LEAST_PARTS = 8 << 20, 32
+#: Bytes of text that are split at once.
+_SPLIT_BYTES = 2 << 20
 #: Pairs of more customers seat this many exactly, the rest in growing blocks.
 EXACT = 200
 _WORK = 1_000_000
@@ -79,6 +82,12 @@ def _unpack_sorted(blob: bytes, kind: type = np.int64) -> np.ndarray:
     return np.cumsum(_unpack(blob, kind), dtype=kind)
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values; for integers faster than `np.unique`."""
+    values = np.sort(values)
+    return values[np.diff(values, prepend=values[:1] - 1) != 0]
+
+
 def _schema(ddl: str) -> pa.Schema:
     kinds = {
         "long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "double": pa.float64(),
@@ -113,26 +122,40 @@ class _Batch:
     def __init__(self, number: int, docs: list[tuple], ids: list[list[int]], words: _Numbers, parts: int):
         self.number, self.docs = number, docs
         self.lengths = np.array([len(x) for x in ids], np.int64)
-        self.word = np.fromiter(chain.from_iterable(ids), np.int64, int(self.lengths.sum()))
-        context = np.concatenate(([0], self.word[:-1]))
-        self.starts = np.cumsum(self.lengths) - self.lengths
-        context[self.starts] = 0
         hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-        pairs, self.pair = np.unique(context << 32 | self.word, return_inverse=True)
-        left, right = hashes[pairs >> 32], hashes[pairs & 0xFFFFFFFF]
-        part = (mix(mix(left) + right) % np.uint64(parts)).astype(np.int64)
-        order = np.lexsort((right, left, part))
+        # words are numbered anew by their hash: what is sorted by number is sorted by hash
+        self.hashes, rank = np.unique(hashes, return_inverse=True)
+        word = rank[np.concatenate(ids)]
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        pairs = np.concatenate((rank[:1], word[:-1]))
+        pairs[self.starts] = rank[0]
+        pairs <<= 32
+        pairs |= word
+        del word  # a task's memory is what these arrays take at once
+        order = np.argsort(pairs)
+        pairs = pairs[order]
+        new = np.ones(len(pairs), bool)
+        np.not_equal(pairs[1:], pairs[:-1], out=new[1:])
+        pair = np.empty(len(pairs), np.int32)
+        pair[order] = np.cumsum(new, dtype=np.int32) - np.int32(1)
+        pairs = pairs[new]
+        left, right = (pairs >> 32).astype(np.int32), pairs.astype(np.int32)
+        del order, pairs
+        part = mix(mix(self.hashes)[left] + self.hashes[right]) % np.uint64(parts)
+        part = part.astype(np.min_scalar_type(parts))  # the stable sort of short integers is by digits
+        order = np.argsort(part, kind="stable")
         self.left, self.right = left[order], right[order]
-        self.cuts = np.searchsorted(part[order], np.arange(parts + 1))
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
-        self.pair = place[self.pair]
+        self.cuts = np.concatenate(([0], np.cumsum(np.bincount(part, minlength=parts))))
+        place = np.empty(len(order), np.int32)
+        place[order] = np.arange(len(order), dtype=np.int32)
+        self.pair = place[pair]
 
     def digests(self) -> list[int]:
         """Per part, a digest of the pairs in their order."""
+        left, right = self.hashes[self.left], self.hashes[self.right]
         both = zip(self.cuts[:-1].tolist(), self.cuts[1:].tolist(), strict=True)
         out = [
-            xxhash.xxh3_64_intdigest(self.left[a:b].tobytes() + self.right[a:b].tobytes())
+            xxhash.xxh3_64_intdigest(left[a:b].tobytes() + right[a:b].tobytes())
             for a, b in both
         ]
         return np.array(out, np.uint64).view(np.int64).tolist()
@@ -141,21 +164,23 @@ class _Batch:
         """For each part its pairs, with how often the texts that teach have each."""
         teaches = np.repeat([not held for _, held in self.docs], self.lengths)
         count = np.bincount(self.pair[teaches], minlength=len(self.left))
+        at = np.empty(len(self.hashes), np.int64)
         out = []
         for part, digest in enumerate(self.digests()):
             a, b = self.cuts[part], self.cuts[part + 1]
             if a == b:
                 continue
             left, right = self.left[a:b], self.right[a:b]
-            words = np.unique(np.concatenate((left, right)))
+            words = _distinct(np.concatenate((left, right)))
+            at[words] = np.arange(len(words))
             out.append(
                 (
                     self.number,
                     part,
                     digest,
-                    _pack_sorted(words),
-                    _pack_sorted(np.searchsorted(words, left)),
-                    _pack(np.searchsorted(words, right)),
+                    _pack_sorted(self.hashes[words]),
+                    _pack_sorted(at[left]),
+                    _pack(at[right]),
                     _pack(count[a:b]),
                 )
             )
@@ -163,8 +188,10 @@ class _Batch:
 
     def asked(self) -> tuple:
         """The texts as the sorted numbers of their pairs."""
-        text = np.repeat(np.arange(len(self.lengths), dtype=np.int64), self.lengths)
-        pair = np.sort(text << 32 | self.pair) & 0xFFFFFFFF
+        pair = np.repeat(np.arange(len(self.lengths), dtype=np.int64) << 32, self.lengths)
+        pair |= self.pair
+        pair.sort()
+        pair &= 0xFFFFFFFF
         step = np.diff(pair, prepend=0)
         step[self.starts] = pair[self.starts]
         ids = pa.array([i for i, _ in self.docs], pa.int64())
@@ -178,21 +205,56 @@ class _Batch:
         return (self.number, -1, 0, _pack(step), _pack(self.lengths), sink.getvalue().to_pybytes())
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        size = pc.binary_length(batch.column(2)).fill_null(0).to_numpy().cumsum(dtype=np.int64)
+        cuts = [*np.flatnonzero(np.diff(size // _SPLIT_BYTES, prepend=-1)).tolist(), len(size)]
+        for a, b in itertools.pairwise(cuts):
+            yield batch.slice(a, b - a)
+
+
+def _split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of some texts after lower-casing A-Z, and how many each text has."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    words = lists.flatten()
+    some = pc.greater(pc.binary_length(words), 0)  # a text that begins or ends with space
+    owner = pc.list_parent_indices(lists).filter(some)
+    return words.filter(some), np.bincount(owner.to_numpy(), minlength=len(texts))
+
+
+def _numbered(found: pa.Array, lengths: np.ndarray, words: _Numbers) -> list[np.ndarray]:
+    """The numbers of each text's words and end."""
+    coded = found.dictionary_encode()
+    own = coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False)
+    own = np.fromiter(map(words.__getitem__, own), np.int32, len(own))
+    ends = np.cumsum(lengths + 1)
+    out = np.full(len(found) + len(lengths), words[_END], np.int32)
+    is_word = np.ones(len(out), bool)
+    is_word[ends - 1] = False
+    out[is_word] = own[coded.indices.to_numpy()]
+    return np.split(out, ends[:-1])
+
+
 def _read_batches(parts: int, batches: Iterator[pa.RecordBatch]) -> Iterator[_Batch]:
     """The texts of a partition in batches whose numbers a repeated task gives again."""
     number = TaskContext.get().partitionId() << 24
     docs, ids, words, tokens = [], [], _Numbers(), 0
-    for batch in batches:
-        for doc, held, text in zip(*[batch.column(i) for i in range(3)], strict=True):
-            own = list(map(words.__getitem__, words_of(text.as_py())))
-            own.append(1)
-            docs.append((doc.as_py(), held.as_py()))
-            ids.append(own)
-            tokens += len(own)
+    for some in _slices(batches):
+        rows = list(zip(some.column(0).to_pylist(), some.column(1).to_pylist(), strict=True))
+        found, lengths = _split(some.column(2))
+        while rows:
+            grown = tokens + np.cumsum(lengths + 1)
+            n = min(len(rows), int(np.searchsorted(grown, BATCH_TOKENS)) + 1)
+            here, tokens = int(lengths[:n].sum()), int(grown[n - 1])
+            docs += rows[:n]
+            ids += _numbered(found[:here], lengths[:n], words)
+            rows, found, lengths = rows[n:], found[here:], lengths[n:]
             if tokens >= BATCH_TOKENS:
-                yield _Batch(number, docs, ids, words, parts)
+                full = _Batch(number, docs, ids, words, parts)
                 number += 1
                 docs, ids, words, tokens = [], [], _Numbers(), 0
+                yield full
+                del full
     if docs:
         yield _Batch(number, docs, ids, words, parts)
 
@@ -221,12 +283,12 @@ def _gather(table: pa.Table) -> pa.Table:
     """The pairs of all batches as those of one part."""
     rows = sorted(table.to_pylist(), key=lambda r: r["batch"])
     lists = [_unpack_sorted(r["words"], np.uint64) for r in rows]
-    words = np.unique(np.concatenate(lists))
+    words = _distinct(np.concatenate(lists))
     codes = []
     for r, own in zip(rows, lists, strict=True):
         at = np.searchsorted(words, own)
         codes.append(at[_unpack_sorted(r["context"])] << 32 | at[_unpack(r["word"])])
-    pairs = np.unique(np.concatenate(codes))
+    pairs = _distinct(np.concatenate(codes))
     count, places = np.zeros(len(pairs), np.int64), []
     for r, own in zip(rows, codes, strict=True):
         at = np.searchsorted(pairs, own)  # the pairs of a batch are distinct

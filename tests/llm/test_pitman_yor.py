@@ -68,6 +68,45 @@ def test_seated_from_few_to_many(monkeypatch):
     assert not len(py.draw_tables(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), 0.5, 1.0, rng))
 
 
+# --- reading --------------------------------------------------------------------------------
+
+
+class Counted(py._Numbers):
+    looked_up = 0
+
+    def __getitem__(self, word):
+        Counted.looked_up += 1
+        return super().__getitem__(word)
+
+
+def test_texts_are_numbered_by_distinct_word_and_split_as_everywhere(monkeypatch):
+    monkeypatch.setattr(py, "_Numbers", Counted)
+    monkeypatch.setattr(py.TaskContext, "get", lambda: py.TaskContext)
+    monkeypatch.setattr(py.TaskContext, "partitionId", lambda: 0)
+    texts = [t for _, t in ODD]
+    texts += [None, "", " ", " a", "a ", "\t\x0b\x0cA\x1cB\n", "ÀÉ Zé x\u0085y\u00a0z", "A\x00 a\x00", "b a " * 5_000]
+
+    def read(parts=5):
+        table = pa.table({"d": range(len(texts)), "h": [False] * len(texts), "t": pa.array(texts, pa.string())})
+        return list(py._read_batches(parts, iter(table.to_batches())))
+
+    distinct = len({w for t in texts for w in words_of(t)})
+    Counted.looked_up = 0
+    (batch,) = read()
+    assert Counted.looked_up < distinct + 100  # not once for each of the 10,000 words
+    numbers = py._Numbers()
+    ids = [[*map(numbers.__getitem__, words_of(t)), 1] for t in texts]
+    want = py._Batch(0, [(i, False) for i in range(len(texts))], ids, numbers, 5)
+    assert batch.posts() == want.posts() and batch.asked() == want.asked()
+    monkeypatch.setattr(py, "BATCH_TOKENS", 7)
+    monkeypatch.setattr(py, "_SPLIT_BYTES", 16, raising=False)
+    cut = read()
+    assert [i for b in cut for i, _ in b.docs] == list(range(len(texts)))
+    assert [b.number for b in cut] == list(range(len(cut))) and len(cut) > 3
+    assert all(b.lengths[:-1].sum() < 7 for b in cut)
+    assert [n for b in cut for n in b.lengths.tolist()] == [len(x) for x in ids]
+
+
 # --- the model ------------------------------------------------------------------------------
 
 
