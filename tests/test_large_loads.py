@@ -140,3 +140,11 @@ def test_the_ledger_is_stored_compact(spark, root):
     for dataset in ("fact_sales", "positions", "digests"):
         files = [f for f in Path(f"{root}/{dataset}").rglob("*.parquet")]
         assert files and all(".zstd." in f.name for f in files)
+
+
+def test_new_lines_make_their_lookups_once(spark, small):
+    import __spark_entry__
+
+    plan = __spark_entry__.queries()["new_lines"](spark, small)
+    plan = plan._jdf.queryExecution().executedPlan().toString()
+    assert "fresh-" in plan and "order_details" not in plan
